@@ -1,6 +1,11 @@
 """Imports every query module, which fills the registry."""
 
-from monthwise.plans import monthly_queries  # noqa: F401
+from monthwise.plans import (  # noqa: F401
+    feature_queries,
+    forecast_queries,
+    monthly_queries,
+    replay_queries,
+)
 from monthwise.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
