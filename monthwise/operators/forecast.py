@@ -42,8 +42,10 @@ def forecast_windows(
     mode: Mode,
     series: Sequence[str] = (),
     scaler: Scaler | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per complete window: ``series..., month, position, next_month, recent, ahead``.
+    """One row per complete window: ``series..., month, position, next_month, recent, ahead``
+    and the columns of ``monthly`` named in ``carry``.
 
     ``month`` is the window's last month and ``position`` its number within the series;
     ``next_month`` is the series' next month with data. ``recent`` holds the last six months as
@@ -67,7 +69,7 @@ def forecast_windows(
         windows = _next_month_scores(rows, scorer, scaler)
     else:
         raise ValueError(f"mode must be 'compat' or 'corrected', not {mode!r}")
-    return windows.select(*series, "month", "position", "next_month", RECENT, AHEAD)
+    return windows.select(*series, "month", *carry, "position", "next_month", RECENT, AHEAD)
 
 
 def _known_month_scores(

@@ -41,11 +41,13 @@ def type_records(
     sales: str,
     patterns: Sequence[str] = (DAY_PATTERN,),
     corrupt: str | None = None,
+    sales_required: bool = False,
 ) -> DataFrame:
     """Add ``day`` and ``amount`` parsed from text columns, and ``reason``.
 
     ``corrupt`` names the column in which a reader kept lines that do not fit the schema.
-    Empty sales are legal: they count as zero in monthly totals.
+    Missing sales are legal in files, where they count as zero in monthly totals, but not in
+    messages; ``sales_required`` rejects them.
     """
     typed = records.withColumns(
         {
@@ -54,10 +56,11 @@ def type_records(
         }
     )
     malformed: Column = F.col(corrupt).isNotNull() if corrupt else F.lit(False)
+    given = F.lit(True) if sales_required else F.col(f"`{sales}`").isNotNull()
     reason = (
         F.when(malformed, "malformed line")
         .when(F.col("day").isNull(), "bad date")
-        .when(F.col("amount").isNull() & F.col(f"`{sales}`").isNotNull(), "bad sales")
+        .when(F.col("amount").isNull() & given, "bad sales")
     )
     return typed.withColumn(REASON, reason)
 

@@ -3,8 +3,11 @@
 from monthwise.plans import (  # noqa: F401
     feature_queries,
     forecast_queries,
+    ingest_queries,
+    model_queries,
     monthly_queries,
     replay_queries,
+    stream_queries,
 )
 from monthwise.plans.registry import ORACLES, QUERIES
 

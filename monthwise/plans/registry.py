@@ -31,6 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream of its files, be it one file or a directory of them."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with ``day``, ``sales`` and the arrival number ``seq``."""
     day = F.col("o_orderdate").cast("date")
