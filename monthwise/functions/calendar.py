@@ -13,9 +13,16 @@ MS_PER_DAY = 86_400_000
 SECONDS_PER_DAY = 86_400
 
 
+def _day_by(text: Column, pattern: str) -> Column:
+    if pattern != DAY_PATTERN:
+        return F.try_to_date(text, pattern)
+    # The cast is many times faster than a pattern and, on this shape, reads the same days.
+    return F.when(text.rlike(r"^(?!0000)\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
+
+
 def parse_day(text: Column, patterns: Sequence[str] = (DAY_PATTERN,)) -> Column:
     """Text to date by the first pattern that fits; null when none does."""
-    return F.coalesce(*[F.try_to_date(text, p) for p in patterns])
+    return F.coalesce(*[_day_by(text, p) for p in patterns])
 
 
 def parse_message_day(text: Column) -> Column:
@@ -24,9 +31,9 @@ def parse_message_day(text: Column) -> Column:
     Message producers rely on this rule: ``2014-02-30`` counts for 2014-02-28, while month 13
     or day 32 stays invalid (null).
     """
-    overflow = text.rlike(r"^\d{4}-(0[1-9]|1[0-2])-(29|30|31)$")
-    month_end = F.last_day(parse_day(F.concat(F.substring(text, 1, 8), F.lit("01"))))
-    return F.coalesce(parse_day(text), F.when(overflow, month_end))
+    past_end = F.substring(text, 9, 10).isin("29", "30", "31")
+    first = parse_day(F.concat(F.substring(text, 1, 8), F.lit("01")))
+    return F.coalesce(parse_day(text), F.when(past_end, F.last_day(first)))
 
 
 def day_start(day: Column) -> Column:

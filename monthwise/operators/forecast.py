@@ -72,25 +72,34 @@ def forecast_windows(
     return windows.select(*series, "month", *carry, "position", "next_month", RECENT, AHEAD)
 
 
+def _change(
+    rows: DataFrame,
+    scorer: Scorer,
+    scaler: Scaler | None,
+    features: Sequence[str],
+    ranges: Sequence[str],
+    result_range: str,
+    output: str,
+) -> DataFrame:
+    """Add the predicted change. ``ranges`` names the column whose range scales each feature."""
+    if scaler is None:
+        return scorer.score(rows, features, output)
+    scaled = {f"x_{i}": scaler.scale(F.col(f), r) for i, (f, r) in enumerate(zip(features, ranges))}
+    scored = scorer.score(rows.withColumns(scaled), list(scaled), "y")
+    back = scaler.unscale(F.col("y"), result_range)
+    return scored.withColumn(output, back).drop(*scaled, "y")
+
+
 def _known_month_scores(
     rows: DataFrame, scorer: Scorer, series: Sequence[str], scaler: Scaler | None
 ) -> DataFrame:
-    first_scored = WINDOW_MONTHS - HORIZON + 1
-    rows = rows.filter(F.col("position") >= first_scored)
-    columns = ["difference", *lag_names(SERVE_LAGS)]
-    inputs = [f"x_{c}" for c in columns]
-    rows = rows.withColumns(
-        {x: scaler.scale(F.col(c), c) if scaler else F.col(c) for x, c in zip(inputs, columns)}
-    )
-    scored = scorer.score(rows, inputs, "y")
-    change = scaler.unscale(F.col("y"), f"lag_{TRAIN_LAGS}") if scaler else F.col("y")
-    scored = scored.withColumn("change", change).drop(*inputs, "y")
+    rows = rows.filter(F.col("position") > WINDOW_MONTHS - HORIZON)
+    features = ["difference", *lag_names(SERVE_LAGS)]
+    scored = _change(rows, scorer, scaler, features, features, f"lag_{TRAIN_LAGS}", "change")
 
     order = by_month(series)
-    changes = {
-        f"change_{k}": F.lag("change", HORIZON - k).over(order) for k in range(1, HORIZON)
-    }
-    changes[f"change_{HORIZON}"] = F.col("change")
+    back = [F.lag("change", HORIZON - k).over(order) for k in range(1, HORIZON)]
+    changes = {f"change_{k}": c for k, c in enumerate([*back, F.col("change")], start=1)}
     levels = [F.col("sales") + F.col("change_1")]
     levels += [F.col(f"change_{k - 1}") + F.col(f"change_{k}") for k in range(2, HORIZON + 1)]
     return (
@@ -101,26 +110,16 @@ def _known_month_scores(
 
 
 def _next_month_scores(rows: DataFrame, scorer: Scorer, scaler: Scaler | None) -> DataFrame:
-    rows = rows.filter(F.col("position") >= WINDOW_MONTHS).withColumn("level_0", F.col("sales"))
-    known = ["difference", *lag_names(SERVE_LAGS)]
+    rows = rows.filter(F.col("position") >= WINDOW_MONTHS)
     lags = lag_names(TRAIN_LAGS)
+    known = ["difference", *lag_names(SERVE_LAGS)]
+    levels = [F.col("sales")]
     for step in range(1, HORIZON + 1):
-        inputs = [f"x_{c}" for c in lags]
-        rows = rows.withColumns(
-            {
-                x: scaler.scale(F.col(k), c) if scaler else F.col(k)
-                for x, k, c in zip(inputs, known, lags)
-            }
-        )
-        scored = scorer.score(rows, inputs, "y")
-        change = scaler.unscale(F.col("y"), "difference") if scaler else F.col("y")
-        rows = (
-            scored.withColumn(f"change_{step}", change)
-            .withColumn(f"level_{step}", F.col(f"level_{step - 1}") + F.col(f"change_{step}"))
-            .drop(*inputs, "y")
-        )
-        known = [f"change_{step}", *known[:-1]]
-    return rows.withColumn(AHEAD, F.array(*[f"level_{k}" for k in range(1, HORIZON + 1)]))
+        change = f"change_{step}"
+        rows = _change(rows, scorer, scaler, known, lags, "difference", change)
+        levels.append(levels[-1] + F.col(change))
+        known = [change, *known[:-1]]
+    return rows.withColumn(AHEAD, F.array(*levels[1:]))
 
 
 def _emit(

@@ -54,18 +54,18 @@ class PipelineScorer:
 class PythonScorer:
     """A Python model with ``predict(matrix) -> vector``.
 
-    The model is broadcast once and applied to Arrow batches, thousands of rows per call.
+    It travels with the function: Spark broadcasts that once it is larger than 1 MB. Calls get
+    Arrow batches of thousands of rows.
     """
 
     def __init__(self, model: Any):
         self.model = model
 
     def score(self, df: DataFrame, features: Sequence[str], output: str) -> DataFrame:
-        shared = df.sparkSession.sparkContext.broadcast(self.model)
+        model = self.model
 
         @F.pandas_udf("double")
         def predict(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-            model = shared.value
             for columns in batches:
                 matrix = np.column_stack([c.to_numpy(dtype=float) for c in columns])
                 yield pd.Series(np.asarray(model.predict(matrix), dtype=float).reshape(-1))

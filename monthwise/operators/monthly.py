@@ -22,7 +22,7 @@ def exact_sum(value: Column, scale: int) -> Column:
     neither overflows below 8e12 rows per group; a plain long sum of cents could at 100 TB.
     """
     factor = F.lit(float(10**scale))
-    units = F.round(value * factor, 0).cast("bigint")
+    units = F.rint(value * factor).cast("bigint")
     high = F.sum(F.shiftright(units, UNIT_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit(2**UNIT_BITS - 1))).cast("decimal(20,0)")
     whole = high * F.lit(2**UNIT_BITS).cast("decimal(8,0)") + low
@@ -64,23 +64,30 @@ def day_counts(records: DataFrame, day: str, series: Sequence[str] = ()) -> Data
     )
 
 
+LAST_DAY_NUMBER = 2932896  # 9999-12-31 as days since 1970
+DAY_BITS = 22
+
+
 def month_mode_day(records: DataFrame, day: str, series: Sequence[str] = ()) -> DataFrame:
     """``series..., month, mode_day, records``: the most frequent day of each month.
 
     Ties go to the earliest day. Days are counted first, so the second step sees at most 31
-    rows per month and no task ever holds a month's records.
+    rows per month and no task ever holds a month's records. Count and reversed day are packed
+    into one long, which a hash aggregate can take the maximum of; that leaves 41 bits for the
+    count of a day, 2e12 records.
     """
     counted = day_counts(records, day, series)
-    best = F.max(F.struct("records", F.negative(F.unix_date("day")).alias("d")))
-    return (
-        counted.groupBy(*series, month_of(F.col("day")).alias("month"))
-        .agg(best.alias("best"))
-        .select(
-            *series,
-            "month",
-            F.date_from_unix_date(F.negative(F.col("best.d"))).alias("mode_day"),
-            F.col("best.records").alias("records"),
-        )
+    from_end = F.lit(LAST_DAY_NUMBER).cast("bigint") - F.unix_date("day")
+    packed = F.shiftleft("records", DAY_BITS) + from_end
+    best = counted.groupBy(*series, month_of(F.col("day")).alias("month")).agg(
+        F.max(packed).alias("best")
+    )
+    day_number = F.lit(LAST_DAY_NUMBER) - F.col("best").bitwiseAND(F.lit(2**DAY_BITS - 1))
+    return best.select(
+        *series,
+        "month",
+        F.date_from_unix_date(day_number.cast("int")).alias("mode_day"),
+        F.shiftright("best", DAY_BITS).alias("records"),
     )
 
 

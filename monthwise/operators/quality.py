@@ -13,6 +13,16 @@ from monthwise.functions.calendar import parse_day, parse_message_day
 REASON = "reason"
 
 
+def _parsed_once(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pass ``columns`` through a generator of one row each.
+
+    Filters on them then stay above the parsing. Without this the optimiser copies the whole
+    parsing expression into the pushed-down filter and each record is parsed twice or more.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*columns))))
+
+
 def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Take ``day``, ``sales`` and ``reason`` out of ``{"payload": {...}}`` messages.
 
@@ -32,7 +42,8 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
         .when(F.col("day").isNull(), "bad date")
         .when(F.col("sales").isNull(), "bad sales")
     )
-    return typed.withColumn(REASON, reason).drop("payload")
+    checked = typed.withColumn(REASON, reason).drop("payload")
+    return _parsed_once(checked, ["day", "sales", REASON])
 
 
 def type_records(
@@ -62,7 +73,7 @@ def type_records(
         .when(F.col("day").isNull(), "bad date")
         .when(F.col("amount").isNull() & given, "bad sales")
     )
-    return typed.withColumn(REASON, reason)
+    return _parsed_once(typed.withColumn(REASON, reason), ["day", "amount", REASON])
 
 
 def good_records(checked: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ FROM windows"""
 
 def window_summary(windows, series):
     cents = F.aggregate(
-        F.transform("data", lambda i: F.round(i["sales"] * 100).cast("bigint")),
+        F.transform("data", lambda i: F.rint(i["sales"] * 100).cast("bigint")),
         F.lit(0).cast("bigint"),
         lambda a, b: a + b,
     )

@@ -18,11 +18,14 @@ from monthwise.plans.training import evaluate, train, training_rows
 from monthwise.session import materialise
 
 
-class OldestChange:
+def oldest_change_model():
     """A Python model: the oldest feature of each row."""
 
-    def predict(self, matrix: np.ndarray) -> np.ndarray:
-        return matrix[:, -1]
+    class OldestChange:
+        def predict(self, matrix: np.ndarray) -> np.ndarray:
+            return matrix[:, -1]
+
+    return OldestChange()
 
 
 @query(
@@ -32,7 +35,7 @@ class OldestChange:
 )
 def forecast_python_model(spark, sf_dir):
     windows = forecast_windows(
-        supplier_months(spark, sf_dir), PythonScorer(OldestChange()), "compat", SUPPLIER
+        supplier_months(spark, sf_dir), PythonScorer(oldest_change_model()), "compat", SUPPLIER
     )
     return result_table(windows, SUPPLIER)
 
