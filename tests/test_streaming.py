@@ -1,0 +1,203 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from monthwise.config import PipelineConfig
+from monthwise.operators import quality as ql
+from monthwise.operators.forecast import forecast_windows, result_table
+from monthwise.operators.models import oldest_feature
+from monthwise.operators.monthly import monthly_totals
+from monthwise.operators.replay import settled_months
+from monthwise.plans.training import TrainedForecaster, evaluate, train, train_from_csv
+from monthwise.sinks.batch_log import BatchLog
+from monthwise.sources import dropdir
+from monthwise.streaming.jobs import ForecastJob, PersistJob, run_batches
+from monthwise.streaming.months import closed_month_stream, with_event_time
+
+SCHEMA = "s string, day date, sales double"
+
+
+def records(seed=3, count=3000, months=30):
+    rng = random.Random(seed)
+    start = dt.date(2015, 11, 1).toordinal()
+    return [
+        (rng.choice("aaab"), dt.date.fromordinal(start + rng.randrange(months * 30)),
+         float(rng.randrange(1, 500)))
+        for _ in range(count)
+    ]
+
+
+def drop_files(spark, folder, rows, files):
+    """Files whose days ascend from file to file, each file's own rows in any order."""
+    rows = sorted(rows, key=lambda r: r[1])
+    size = -(-len(rows) // files)
+    for i in range(files):
+        part = spark.createDataFrame(rows[i * size:(i + 1) * size], SCHEMA).coalesce(1)
+        part.write.mode("append").parquet(str(folder))
+
+
+def stream(spark, folder, per_batch=1):
+    reader = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", per_batch)
+    return reader.parquet(str(folder))
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_closed_months_equal_batch(spark, tmp_path):
+    rows = records()
+    drop_files(spark, tmp_path / "in", rows, 6)
+    log = BatchLog(spark, str(tmp_path / "months"))
+    closed = closed_month_stream(stream(spark, tmp_path / "in"), series=["s"])
+    run_batches(closed, log.write, str(tmp_path / "checkpoint")).awaitTermination()
+    everything = spark.createDataFrame(rows, SCHEMA)
+    want = monthly_totals(everything, "day", "sales", ["s"]).join(
+        settled_months(everything, "day"), "month", "left_semi"
+    )
+    got = log.read()
+    assert rows_of(got.select("s", "month", "sales")) == rows_of(want.select("s", "month", "sales"))
+    order = [r.month for r in got.groupBy("month").agg(F.min("batch_id").alias("b"))
+             .orderBy("b", "month").collect()]
+    assert order == sorted(order)
+
+
+def test_forecast_job_equals_batch_and_survives_replays(spark, tmp_path):
+    rows = records()
+    drop_files(spark, tmp_path / "in", rows, 5)
+    job = ForecastJob(spark, str(tmp_path / "job"), oldest_feature(), "compat", ["s"])
+    closed = closed_month_stream(stream(spark, tmp_path / "in"), series=["s"])
+    job.start(closed).awaitTermination()
+
+    everything = spark.createDataFrame(rows, SCHEMA)
+    months = monthly_totals(everything, "day", "sales", ["s"]).join(
+        settled_months(everything, "day"), "month", "left_semi"
+    )
+    windows = forecast_windows(months, oldest_feature(), "compat", ["s"])
+    want = rows_of(result_table(windows, ["s"]).select("s", "date", "sales"))
+    assert rows_of(job.results.read().select("s", "date", "sales")) == want
+
+    ids = job.tails.committed()
+    assert len(ids) > 2
+    tail = job.tails.read(only=ids[-1]).groupBy("s").count().collect()
+    assert all(r["count"] == 16 for r in tail)
+    for batch_id in ids[-2:]:
+        again = job.months.read(only=batch_id).drop("batch_id")
+        job.handle(spark.createDataFrame(again.collect(), again.schema), batch_id)
+    assert rows_of(job.results.read().select("s", "date", "sales")) == want
+
+    later = [(s, dt.date(2018, 9, 5), 1.0) for s in "ab"]
+    drop_files(spark, tmp_path / "in", later, 1)
+    job.start(closed_month_stream(stream(spark, tmp_path / "in"), series=["s"])).awaitTermination()
+    complete = monthly_totals(everything, "day", "sales", ["s"])
+    windows = forecast_windows(complete, oldest_feature(), "compat", ["s"])
+    assert rows_of(job.results.read().select("s", "date", "sales")) == rows_of(
+        result_table(windows, ["s"]).select("s", "date", "sales")
+    )
+
+
+def test_late_records_are_dropped_after_their_month_closed(spark, tmp_path):
+    early = [("a", dt.date(2020, 1, 10), 1.0), ("a", dt.date(2020, 2, 2), 2.0)]
+    late = [("a", dt.date(2020, 1, 20), 100.0), ("a", dt.date(2020, 3, 2), 4.0)]
+    log = BatchLog(spark, str(tmp_path / "months"))
+    for part in (early, late):
+        drop_files(spark, tmp_path / "in", part, 1)
+        closed = closed_month_stream(stream(spark, tmp_path / "in"), series=["s"])
+        run_batches(closed, log.write, str(tmp_path / "checkpoint")).awaitTermination()
+    got = rows_of(log.read().select("month", "sales"))
+    assert got == [(dt.date(2020, 1, 1), 1.0), (dt.date(2020, 2, 1), 2.0)]
+
+
+def test_a_month_waits_for_the_second_of_the_next(spark, tmp_path):
+    drop_files(spark, tmp_path / "in",
+               [("a", dt.date(2020, 2, 29), 1.0), ("a", dt.date(2020, 3, 1), 2.0)], 1)
+    log = BatchLog(spark, str(tmp_path / "months"))
+
+    def run():
+        closed = closed_month_stream(stream(spark, tmp_path / "in"))
+        run_batches(closed, log.write, str(tmp_path / "checkpoint")).awaitTermination()
+        return rows_of(log.read().select("month", "sales"))
+
+    assert run() == []
+    drop_files(spark, tmp_path / "in", [("a", dt.date(2020, 3, 2), 4.0)], 1)
+    assert run() == [(dt.date(2020, 2, 1), 1.0)]
+
+
+def test_redelivered_records_count_once(spark, tmp_path):
+    rows = [("a", dt.date(2020, 1, 10), 1.0), ("a", dt.date(2020, 1, 11), 2.0)]
+    drop_files(spark, tmp_path / "in", rows + rows[:1], 1)
+    drop_files(spark, tmp_path / "in", [("a", dt.date(2020, 2, 3), 9.0)], 1)
+    log = BatchLog(spark, str(tmp_path / "months"))
+    closed = closed_month_stream(
+        stream(spark, tmp_path / "in"), unique_by=["s", "day", "sales"]
+    )
+    run_batches(closed, log.write, str(tmp_path / "checkpoint")).awaitTermination()
+    assert rows_of(log.read().select("month", "sales")) == [(dt.date(2020, 1, 1), 3.0)]
+
+
+def test_delay_bounds(spark, tmp_path):
+    drop_files(spark, tmp_path / "in", [("a", dt.date(2020, 1, 1), 1.0)], 1)
+    with pytest.raises(ValueError):
+        with_event_time(stream(spark, tmp_path / "in"), "day", 28)
+
+
+def test_persist_job_keeps_one_row_per_record(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    header = "Order Date,Sales\n"
+    (tmp_path / "in" / "transaction_data_1.csv").write_text(
+        header + "2014-01-03,1.5\n2014-01-04,x\n2014-01-05\n2014-01-03,1.5\n")
+    (tmp_path / "in" / "transaction_data_2.csv").write_text(header + "2014-01-03,1.5\n2014-01-06,2\n")
+    rows = dropdir.stream_csv(spark, str(tmp_path / "in"), files_per_batch=1)
+    checked = ql.type_records(rows, "Order Date", "Sales", corrupt="malformed", sales_required=True)
+    names = {"Order Date": "order_date", "Sales": "sales"}
+    job = PersistJob(spark, str(tmp_path / "job"), list(names.values()))
+    job.start(checked.withColumnsRenamed(names)).awaitTermination()
+    got = rows_of(job.table.read().select("order_date", "sales"))
+    assert got == [("2014-01-03", "1.5"), ("2014-01-06", "2")]
+    reasons = rows_of(job.rejected().select("reason", "batch_id"))
+    assert sorted(r for r, _ in reasons) == ["bad sales", "malformed line"]
+    job.table.compact()
+    assert rows_of(job.table.read().select("order_date", "sales")) == got
+
+
+def test_training_from_csv_saves_and_loads(spark, tmp_path):
+    rng = random.Random(8)
+    (tmp_path / "in").mkdir()
+    lines = ["Datum;x,Région,Betrag"]
+    lines[0] = "Datum,Région,Betrag"
+    for m in range(48):
+        day = dt.date(2014 + m // 12, m % 12 + 1, 7)
+        for region in ("süd", "nord"):
+            for _ in range(3):
+                lines.append(f"{day:%m/%d/%Y},{region},{rng.uniform(10, 500):.2f}")
+            lines.append(f"{day:%m/%d/%Y},{region},")
+    lines.append("07.01.2014,süd,1")
+    (tmp_path / "in" / "sales.csv").write_bytes("\n".join(lines).encode("iso-8859-1"))
+    config = PipelineConfig(
+        data_path=str(tmp_path / "in"), date_col="Datum", sales_col="Betrag", series=("Région",)
+    )
+    trained, rows = train_from_csv(spark, config, ["MM/dd/yyyy"])
+    assert rows.groupBy("Région").count().orderBy("Région").collect() == [
+        ("nord", 36), ("süd", 36)
+    ]
+    errors = evaluate(trained, rows, ["Région"]).collect()
+    assert [r.rows for r in errors] == [6, 6] and all(r.rmse >= r.mae > 0 for r in errors)
+    trained.save(spark, str(tmp_path / "model"))
+    loaded = TrainedForecaster.load(spark, str(tmp_path / "model"))
+    assert loaded.scaler.ranges == trained.scaler.ranges
+    again = sorted(evaluate(loaded, rows, ["Région"]).collect())
+    assert again == sorted(errors)
+
+
+def test_gradient_boosted_trees_can_be_trained(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    rng = random.Random(2)
+    months = [("a", dt.date(2010 + i // 12, i % 12 + 1, 1), rng.uniform(1, 9)) for i in range(60)]
+    monthly = spark.createDataFrame(months, "s string, month date, sales double")
+    trained, rows = train(monthly, ["s"], GBTRegressor(maxIter=2, seed=1))
+    windows = forecast_windows(monthly, trained.scorer, "corrected", ["s"], trained.scaler)
+    assert result_table(windows, ["s"]).count() == 60 - 11 + 6
+    assert rows.filter("is_test").count() == 6
