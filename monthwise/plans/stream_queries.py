@@ -93,7 +93,7 @@ required AS (SELECT * REPLACE (coalesce(reason, CASE WHEN amount IS NULL THEN 'b
            o_orderpriority FROM required WHERE reason IS NULL""",
 )
 def stream_persisted_records(spark, sf_dir):
-    persisted = csv_job(spark, sf_dir).table.read()
+    persisted = csv_job(spark, sf_dir).records()
     key = F.col("o_orderkey").try_cast("bigint").alias("o_orderkey")
     return persisted.select(key, "order_date", "sales", "o_orderpriority")
 

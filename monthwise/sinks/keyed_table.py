@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.operators.latest import latest_per_key
+from monthwise.operators.quality import REASON, dead_letters, good_records
 from monthwise.sinks.batch_log import BATCH, BatchLog
 
 COLUMNS_SET = "columns_set"
@@ -18,9 +19,11 @@ class KeyedTable:
     """Upserts are appended per batch and resolved when read: the greatest batch id wins, then
     the greatest ``order`` within a batch.
 
-    An upsert costs as much as the batch, never as much as the table, and replaying a batch id
-    changes nothing. :meth:`compact` folds the batches so far into a base, so that reads stay
-    cheap. The table is created by its first upsert and widened by new columns.
+    An upsert is one pass over its batch without a shuffle, however large the table is, and
+    replaying a batch id changes nothing. :meth:`compact` folds the batches so far into a base,
+    so that reads stay cheap. The first upsert creates the table, new columns widen it.
+
+    Rows that carry a ``reason``, and rows without a key, are kept as dead letters.
 
     With ``merge_columns`` an upsert only sets the columns it brings and leaves the others of
     the row as they were, as a database upsert does; otherwise it replaces the row.
@@ -34,52 +37,54 @@ class KeyedTable:
         order: Sequence[str] = (),
         merge_columns: bool = False,
     ):
-        self.keys, self.order, self.merge_columns = list(keys), list(order), merge_columns
+        self.keys, self.rank = list(keys), [BATCH, *order]
+        self.merge_columns = merge_columns
         self.changes = BatchLog(spark, f"{root}/changes")
         self.base = BatchLog(spark, f"{root}/base")
 
     def upsert(self, df: DataFrame, batch_id: int) -> None:
-        """Write one batch; its keys need not be unique if ``order`` tells them apart.
-
-        Rows with a null key are a caller's mistake and fail the write.
-        """
-        for key in self.keys:
-            message = F.lit(f"null in key column {key}")
-            checked = F.when(F.col(key).isNull(), F.raise_error(message)).otherwise(F.col(key))
-            df = df.withColumn(key, checked.cast(df.schema[key].dataType))
-        if self.order:
-            df = latest_per_key(df, self.keys, self.order)
-        if self.merge_columns:
-            df = df.withColumn(COLUMNS_SET, F.array(*[F.lit(c) for c in df.columns]))
-        self.changes.write(df, batch_id)
+        """Write one batch; its keys need not be unique if ``order`` tells them apart."""
+        reasons = [F.when(F.col(k).isNull(), f"no {k}") for k in self.keys]
+        if REASON in df.columns:
+            reasons.insert(0, F.col(REASON))
+        columns = [c for c in df.columns if c != REASON]
+        df = df.withColumn(REASON, F.coalesce(*reasons).cast("string"))
+        self.changes.write(self._with_columns_set(df, columns), batch_id)
 
     def read(self) -> DataFrame | None:
         """Current rows; None before the first upsert."""
         resolved = self._resolved()
         return None if resolved is None else resolved.drop(BATCH, COLUMNS_SET)
 
+    def rejected(self) -> DataFrame | None:
+        """Dead letters with reason and batch id."""
+        changes = self.changes.read()
+        return None if changes is None else dead_letters(changes).drop(COLUMNS_SET)
+
     def compact(self) -> None:
         """Fold all complete batches into a new base. Readers use it once it is complete."""
         ids = self.changes.committed()
         if ids and (not self.base.committed() or self.base.committed()[-1] < ids[-1]):
-            resolved = self._resolved().drop(BATCH)
-            if self.merge_columns:
-                names = [c for c in resolved.columns if c != COLUMNS_SET]
-                resolved = resolved.withColumn(COLUMNS_SET, F.array(*[F.lit(c) for c in names]))
-            self.base.write(resolved, ids[-1])
+            resolved = self._resolved().drop(BATCH, COLUMNS_SET)
+            self.base.write(self._with_columns_set(resolved, resolved.columns), ids[-1])
+
+    def _with_columns_set(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        if not self.merge_columns:
+            return df
+        return df.withColumn(COLUMNS_SET, F.array(*[F.lit(c) for c in columns]))
 
     def _resolved(self) -> DataFrame | None:
         bases = self.base.committed()
-        parts = [self.changes.read(above=bases[-1] if bases else None)]
+        changes = self.changes.read(above=bases[-1] if bases else None)
+        parts = [] if changes is None else [good_records(changes)]
         if bases:
             parts.append(self.base.read(only=bases[-1]))
-        parts = [p for p in parts if p is not None]
         if not parts:
             return None
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         if self.merge_columns:
             return self._latest_columns(rows)
-        return latest_per_key(rows, self.keys, [BATCH])
+        return latest_per_key(rows, self.keys, self.rank)
 
     def _latest_columns(self, rows: DataFrame) -> DataFrame:
         names = [c for c in rows.columns if c not in (*self.keys, BATCH, COLUMNS_SET)]
@@ -87,7 +92,7 @@ class KeyedTable:
         latest = [
             F.max_by(
                 F.struct(F.col(c).alias("v")),
-                F.when(F.array_contains(COLUMNS_SET, c), F.col(BATCH)),
+                F.when(F.array_contains(COLUMNS_SET, c), F.struct(*self.rank)),
             ).alias(c)
             for c in names
         ]

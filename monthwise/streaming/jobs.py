@@ -17,7 +17,7 @@ from monthwise.config import WINDOW_MONTHS
 from monthwise.functions.text import record_key
 from monthwise.operators.forecast import Mode, Scaler, forecast_records, forecast_windows
 from monthwise.operators.models import Scorer
-from monthwise.operators.quality import REASON, dead_letters, good_records
+from monthwise.operators.quality import REASON
 from monthwise.sinks.batch_log import BATCH, BatchLog
 from monthwise.sinks.keyed_table import KeyedTable
 
@@ -92,8 +92,8 @@ class PersistJob:
     """Checked raw records in, keyed table and dead letters out.
 
     ``columns`` are the record's own fields. The key is the hash of them, so a record that is
-    delivered twice, even in two files, is one row. A batch is parsed and written once, with
-    its unusable records; the table and the dead letters are taken from there.
+    delivered twice, even in two files, is one row. Good and bad records are parsed and written
+    in the same single pass.
     """
 
     def __init__(
@@ -101,18 +101,16 @@ class PersistJob:
     ):
         self.columns, self.key = list(columns), key
         self.checkpoint = f"{root}/checkpoint"
-        self.arrived = BatchLog(spark, f"{root}/arrived")
         self.table = KeyedTable(spark, f"{root}/table", [key])
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        self.arrived.write(batch, batch_id)
-        good = good_records(self.arrived.read(only=batch_id)).select(*self.columns)
-        self.table.upsert(good.withColumn(self.key, record_key(good)), batch_id)
-
-    def rejected(self) -> DataFrame | None:
-        """All dead letters so far, with reason and batch id."""
-        arrived = self.arrived.read()
-        return None if arrived is None else dead_letters(arrived)
+        self.table.upsert(batch.withColumn(self.key, record_key(batch, self.columns)), batch_id)
+
+    def records(self) -> DataFrame:
+        return self.table.read().select(self.key, *self.columns)
+
+    def rejected(self) -> DataFrame:
+        return self.table.rejected()
 
     def start(self, checked: DataFrame, every: str | None = None) -> StreamingQuery:
         if REASON not in checked.columns:

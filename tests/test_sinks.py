@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from monthwise.config import PipelineConfig
@@ -81,11 +80,15 @@ def test_new_columns_widen_and_absent_ones_stay(spark, tmp_path, compacted):
     assert got == {"x": (7, "new"), "y": (2, None), "z": (6, None)}
 
 
-def test_null_keys_are_refused(spark, tmp_path):
+def test_rows_without_key_and_rows_with_a_reason_are_dead_letters(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), ["k"])
-    with pytest.raises(PySparkException, match="null in key column k"):
-        table.upsert(frame(spark, [(None, 1)]), 0)
-    assert table.read() is None
+    table.upsert(frame(spark, [(None, 1), ("x", 2)]), 0)
+    table.upsert(frame(spark, [("x", 3, "bad"), ("y", 4, None)], "k string, a int, reason string"), 1)
+    assert content(table) == [("x", 2), ("y", 4)]
+    rejected = table.rejected().select("a", "reason", "batch_id")
+    assert sorted(map(tuple, rejected.collect())) == [(1, "no k", 0), (3, "bad", 1)]
+    table.compact()
+    assert content(table) == [("x", 2), ("y", 4)] and table.rejected().count() == 2
 
 
 def test_database_statements():

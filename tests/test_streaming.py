@@ -154,12 +154,12 @@ def test_persist_job_keeps_one_row_per_record(spark, tmp_path):
     names = {"Order Date": "order_date", "Sales": "sales"}
     job = PersistJob(spark, str(tmp_path / "job"), list(names.values()))
     job.start(checked.withColumnsRenamed(names)).awaitTermination()
-    got = rows_of(job.table.read().select("order_date", "sales"))
+    got = rows_of(job.records().select("order_date", "sales"))
     assert got == [("2014-01-03", "1.5"), ("2014-01-06", "2")]
     reasons = rows_of(job.rejected().select("reason", "batch_id"))
     assert sorted(r for r, _ in reasons) == ["bad sales", "malformed line"]
     job.table.compact()
-    assert rows_of(job.table.read().select("order_date", "sales")) == got
+    assert rows_of(job.records().select("order_date", "sales")) == got
 
 
 def test_training_from_csv_saves_and_loads(spark, tmp_path):
