@@ -47,9 +47,13 @@ def lag_matrix(monthly: DataFrame, count: int, series: Sequence[str] = ()) -> Da
 
 
 def sliding_windows(
-    monthly: DataFrame, series: Sequence[str] = (), size: int = WINDOW_MONTHS
+    monthly: DataFrame,
+    series: Sequence[str] = (),
+    size: int = WINDOW_MONTHS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``series..., month, data``: the last ``size`` months up to each month.
+    """``series..., month, data``: the last ``size`` months up to each month, with the columns
+    of ``monthly`` named in ``carry``.
 
     ``data`` is an array of ``date, sales`` in month order. Windows with fewer distinct months
     than ``size`` are left out. Input months must be unique per series; see
@@ -60,7 +64,7 @@ def sliding_windows(
     return (
         monthly.withColumn("data", F.collect_list(item).over(frame))
         .filter(F.size("data") == size)
-        .select(*series, "month", "data")
+        .select(*series, "month", *carry, "data")
     )
 
 

@@ -18,7 +18,7 @@ contains it. The batch form therefore scores each month once instead of six time
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -68,7 +68,7 @@ def forecast_windows(
     elif mode == "corrected":
         windows = _next_month_scores(rows, scorer, scaler)
     else:
-        raise ValueError(f"mode must be 'compat' or 'corrected', not {mode!r}")
+        raise _unknown(mode)
     return windows.select(*series, "month", *carry, "position", "next_month", RECENT, AHEAD)
 
 
@@ -90,63 +90,109 @@ def _change(
     return scored.withColumn(output, back).drop(*scaled, "y")
 
 
+def _unknown(mode: str) -> ValueError:
+    return ValueError(f"mode must be 'compat' or 'corrected', not {mode!r}")
+
+
+def _neighbour_levels(last: str) -> list[Column]:
+    """First change on top of the last sales, then each change on top of its predecessor."""
+    change = [F.col(f"change_{k}") for k in range(1, HORIZON + 1)]
+    return [F.col(last) + change[0], *[a + b for a, b in zip(change, change[1:])]]
+
+
+def _running_levels(last: str) -> list[Column]:
+    """All changes so far on top of the last sales."""
+    levels = [F.col(last)]
+    for k in range(1, HORIZON + 1):
+        levels.append(levels[-1] + F.col(f"change_{k}"))
+    return levels[1:]
+
+
+def _recursive_changes(
+    rows: DataFrame, scorer: Scorer, scaler: Scaler | None, known: Sequence[str]
+) -> DataFrame:
+    """Add ``change_1`` to ``change_6``; ``known`` names the latest changes, newest first."""
+    lags, known = lag_names(TRAIN_LAGS), list(known)
+    for k in range(1, HORIZON + 1):
+        rows = _change(rows, scorer, scaler, known, lags, "difference", f"change_{k}")
+        known = [f"change_{k}", *known[:-1]]
+    return rows
+
+
 def _known_month_scores(
     rows: DataFrame, scorer: Scorer, series: Sequence[str], scaler: Scaler | None
 ) -> DataFrame:
     rows = rows.filter(F.col("position") > WINDOW_MONTHS - HORIZON)
     features = ["difference", *lag_names(SERVE_LAGS)]
     scored = _change(rows, scorer, scaler, features, features, f"lag_{TRAIN_LAGS}", "change")
-
     order = by_month(series)
     back = [F.lag("change", HORIZON - k).over(order) for k in range(1, HORIZON)]
     changes = {f"change_{k}": c for k, c in enumerate([*back, F.col("change")], start=1)}
-    levels = [F.col("sales") + F.col("change_1")]
-    levels += [F.col(f"change_{k - 1}") + F.col(f"change_{k}") for k in range(2, HORIZON + 1)]
     return (
         scored.withColumns(changes)
         .filter(F.col("position") >= WINDOW_MONTHS)
-        .withColumn(AHEAD, F.array(*levels))
+        .withColumn(AHEAD, F.array(*_neighbour_levels("sales")))
     )
 
 
 def _next_month_scores(rows: DataFrame, scorer: Scorer, scaler: Scaler | None) -> DataFrame:
     rows = rows.filter(F.col("position") >= WINDOW_MONTHS)
-    lags = lag_names(TRAIN_LAGS)
-    known = ["difference", *lag_names(SERVE_LAGS)]
-    levels = [F.col("sales")]
-    for step in range(1, HORIZON + 1):
-        change = f"change_{step}"
-        rows = _change(rows, scorer, scaler, known, lags, "difference", change)
-        levels.append(levels[-1] + F.col(change))
-        known = [change, *known[:-1]]
-    return rows.withColumn(AHEAD, F.array(*levels[1:]))
-
-
-def _emit(
-    windows: DataFrame,
-    series: Sequence[str],
-    keep_actual: Callable[[int], Column],
-    keep_ahead: Callable[[Column], Column],
+    rows = _recursive_changes(rows, scorer, scaler, ["difference", *lag_names(SERVE_LAGS)])
+    return rows.withColumn(AHEAD, F.array(*_running_levels("sales")))
+
+
+def forecast_each(
+    windows: DataFrame, scorer: Scorer, mode: Mode, scaler: Scaler | None = None
 ) -> DataFrame:
-    def item(date: Column, sales: Column, step: int, keep: Column) -> Column:
-        return F.struct(
-            date.alias("date"),
-            sales.alias("sales"),
-            F.lit(step).cast("bigint").alias("step"),
-            keep.alias("keep"),
-        )
-
-    items = []
-    for i in range(1, HORIZON + 1):
-        recent = F.element_at(RECENT, i)
-        items.append(item(recent["date"], recent["sales"], i - HORIZON, keep_actual(i - HORIZON)))
-    for k in range(1, HORIZON + 1):
-        date = F.add_months("month", k)
-        items.append(item(date, F.element_at(AHEAD, k), k, keep_ahead(date)))
-    return (
-        windows.select(*series, F.col("month").alias("window_end"), F.inline(F.array(*items)))
-        .filter("keep")
-        .drop("keep")
+    """Add ``month``, ``recent`` and ``ahead`` to windows that come one by one.
+
+    ``windows`` has a ``data`` array of exactly 17 ``date, sales`` items, as parsed from window
+    messages. Each row is handled on its own, so this also runs on a stream.
+    """
+    sales = [F.element_at("data", i)["sales"] for i in range(1, WINDOW_MONTHS + 1)]
+    steps = {f"step_{i}": b - a for i, (a, b) in enumerate(zip(sales, sales[1:]), start=1)}
+    rows = windows.withColumns({**steps, "last_sales": sales[-1]})
+    latest = list(reversed(steps))
+    width = SERVE_LAGS + 1
+    if mode == "compat":
+        names = ["difference", *lag_names(SERVE_LAGS)]
+        for k in range(1, HORIZON + 1):
+            features = latest[HORIZON - k:HORIZON - k + width]
+            rows = _change(rows, scorer, scaler, features, names, f"lag_{TRAIN_LAGS}", f"change_{k}")
+        levels = _neighbour_levels("last_sales")
+    elif mode == "corrected":
+        rows = _recursive_changes(rows, scorer, scaler, latest[:width])
+        levels = _running_levels("last_sales")
+    else:
+        raise _unknown(mode)
+    added = {
+        "month": F.element_at("data", -1)["date"],
+        RECENT: F.slice("data", -HORIZON, HORIZON),
+        AHEAD: F.array(*levels),
+    }
+    return rows.withColumns(added).select(*windows.columns, *added)
+
+
+RECORD = "array<struct<date:date,sales:double,step:bigint>>"
+
+
+def _record(date: Column, sales: Column, step: int) -> Column:
+    return F.struct(
+        date.alias("date"), sales.alias("sales"), F.lit(step).cast("bigint").alias("step")
+    )
+
+
+def _actual_records(count: int) -> Column:
+    items = [(F.element_at(RECENT, -back), 1 - back) for back in range(count, 0, -1)]
+    return F.array(*[_record(item["date"], item["sales"], step) for item, step in items])
+
+
+def _ahead_records() -> Column:
+    return F.array(
+        *[
+            _record(F.add_months("month", k), F.element_at(AHEAD, k), k)
+            for k in range(1, HORIZON + 1)
+        ]
     )
 
 
@@ -155,23 +201,27 @@ def forecast_records(windows: DataFrame, series: Sequence[str] = ()) -> DataFram
 
     ``step`` is 0 for the window's last month, negative before it and 1 to 6 for forecasts.
     """
-    return _emit(windows, series, lambda step: F.lit(True), lambda date: F.lit(True))
+    records = F.concat(_actual_records(HORIZON), _ahead_records())
+    return windows.select(*series, F.col("month").alias("window_end"), F.inline(records))
 
 
 def result_table(windows: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     """``series..., date, sales, is_forecast``: the last record written per date.
 
-    Equal to upserting :func:`forecast_records` by date in window order, without writing the
+    Equal to upserting :func:`forecast_records` by date in window order, without making the
     records that later windows replace. A month with data ends up as actual: the first window
     brings its six months, each further one only its last. A forecast survives for months
-    before the series' next month with data. No shuffle.
+    before the series' next month with data. No shuffle, and one row for most windows.
     """
-    first = F.col("position") == WINDOW_MONTHS
     following = F.col("next_month")
-    last_written = _emit(
-        windows,
-        series,
-        lambda step: F.lit(True) if step == 0 else first,
-        lambda date: following.isNull() | (date < following),
+    actual = F.when(F.col("position") == WINDOW_MONTHS, _actual_records(HORIZON)).otherwise(
+        _actual_records(1)
+    )
+    no_gap = following == F.add_months("month", 1)
+    ahead = F.when(no_gap, F.array().cast(RECORD)).otherwise(_ahead_records())
+    records = windows.select(*series, "next_month", F.inline(F.concat(actual, ahead)))
+    is_forecast = F.col("step") > 0
+    survives = ~is_forecast | following.isNull() | (F.col("date") < following)
+    return records.filter(survives).select(
+        *series, "date", "sales", is_forecast.alias("is_forecast")
     )
-    return last_written.select(*series, "date", "sales", (F.col("step") > 0).alias("is_forecast"))

@@ -2,7 +2,7 @@
 
 A scorer has one method, ``score(df, features, output)``, which adds a double column computed
 from the feature columns of the same row, in the given order. That is the extension point for
-own models; all scorers here are narrow, so scoring never shuffles.
+own models. Scoring is a projection and never shuffles by itself.
 """
 
 from __future__ import annotations

@@ -37,6 +37,20 @@ def total(value: Column, scale: int | None = None, skip_nan: bool = False) -> Co
     return F.coalesce(summed, F.lit(0.0))
 
 
+def monthly_aggregate(
+    records: DataFrame, day: str, series: Sequence[str] = (), /, **aggregates: Column
+) -> DataFrame:
+    """``series..., month`` and one column per aggregate, built-in or user-defined.
+
+    Built-in aggregates combine before the shuffle. A Python aggregate gets a group's values
+    in one piece, so it only suits input that was reduced first, to days for example.
+    """
+    month = month_of(F.col(day)).alias("month")
+    return records.groupBy(*series, month).agg(
+        *[column.alias(name) for name, column in aggregates.items()]
+    )
+
+
 def monthly_totals(
     records: DataFrame,
     day: str,
@@ -51,9 +65,8 @@ def monthly_totals(
     per task. ``scale`` asks for exact sums of amounts with that many decimals; by default
     doubles are summed as they come. ``skip_nan`` treats NaN as missing.
     """
-    return (
-        records.groupBy(*series, month_of(F.col(day)).alias("month"))
-        .agg(total(F.col(sales), scale, skip_nan).alias("sales"))
+    return monthly_aggregate(
+        records, day, series, sales=total(F.col(sales), scale, skip_nan)
     )
 
 

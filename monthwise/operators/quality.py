@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.config import DATE_FIELD, DAY_PATTERN, SALES_FIELD
+from monthwise.config import DATE_FIELD, DAY_PATTERN, SALES_FIELD, WINDOW_MONTHS
 from monthwise.functions.calendar import parse_day, parse_message_day
+from monthwise.functions.text import window_data
 
 REASON = "reason"
 
@@ -46,6 +47,19 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     return _parsed_once(checked, ["day", "sales", REASON])
 
 
+def parse_windows(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Add the ``data`` array of window messages, and ``reason`` for those a model cannot take:
+    broken text, a missing date or number, or another count of months than 17."""
+    parsed = messages.withColumn("data", window_data(F.col(value)))
+    incomplete = F.exists("data", lambda i: i["date"].isNull() | i["sales"].isNull())
+    reason = (
+        F.when(F.col("data").isNull(), "no window")
+        .when(F.size("data") != WINDOW_MONTHS, "wrong number of months")
+        .when(incomplete, "missing value")
+    )
+    return _parsed_once(parsed.withColumn(REASON, reason), ["data", REASON])
+
+
 def type_records(
     records: DataFrame,
     date: str,

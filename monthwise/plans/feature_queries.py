@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from monthwise.config import SERVE_LAGS, TRAIN_LAGS
 from monthwise.operators import features as ft
 from monthwise.operators import scaling as sc
+from monthwise.operators.latest import latest_per_key
 from monthwise.operators.monthly import monthly_totals
 from monthwise.plans.monthly_queries import NATION_SQL, nation_months
 from monthwise.plans.registry import LINES_SQL, ORDERS_SQL, lineitem, months_sql, orders, query
@@ -134,6 +135,33 @@ def window_messages(spark, sf_dir):
     return ft.window_messages(windows)
 
 
+@query(
+    "windows_last_write",
+    f"""WITH {ORDERS_SQL},
+    first_sent AS (
+      SELECT o_orderpriority, CAST(date_trunc('month', day) AS DATE) AS month,
+             CAST(sum(amount) AS DOUBLE) AS sales FROM orders_in GROUP BY 1, 2),
+    sent_again AS (
+      SELECT o_orderpriority, CAST(date_trunc('month', day) AS DATE) AS month,
+             CAST(sum(amount) AS DOUBLE) AS sales FROM orders_in
+      WHERE o_orderstatus = 'F' AND year(day) = 1998 GROUP BY 1, 2),
+    months AS (
+      SELECT o_orderpriority, month, coalesce(a.sales, f.sales) AS sales
+      FROM first_sent f LEFT JOIN sent_again a USING (o_orderpriority, month)),
+    {windows_sql('o_orderpriority')} {WINDOW_SUMMARY_SQL.format(series='o_orderpriority')}""",
+)
+def windows_last_write(spark, sf_dir):
+    """Months of 1998 are sent a second time with other totals; the later total counts."""
+    source = orders(spark, sf_dir)
+    again = source.filter((F.col("o_orderstatus") == "F") & (F.year("day") == 1998))
+    sent = [
+        monthly_totals(part, "day", "sales", PRIORITY, scale=2).withColumn("sent", F.lit(i))
+        for i, part in enumerate([source, again])
+    ]
+    last = latest_per_key(sent[0].unionByName(sent[1]), [*PRIORITY, "month"], ["sent"])
+    return window_summary(ft.sliding_windows(last.drop("sent"), PRIORITY), PRIORITY)
+
+
 @query(
     "window_rows",
     f"""WITH {PRIORITY_SQL}

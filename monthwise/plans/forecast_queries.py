@@ -12,10 +12,13 @@ from monthwise.config import TRAIN_LAGS
 from monthwise.functions.text import forecast_message, forecast_payload
 from monthwise.operators import features as ft
 from monthwise.operators import scaling as sc
-from monthwise.operators.forecast import forecast_records, forecast_windows, result_table
+from monthwise.operators.forecast import (
+    forecast_each, forecast_records, forecast_windows, result_table,
+)
 from monthwise.operators.latest import latest_per_key
 from monthwise.operators.models import oldest_feature
 from monthwise.operators.monthly import monthly_totals
+from monthwise.operators.quality import good_records, parse_windows
 from monthwise.plans.feature_queries import (
     PRIORITY, PRIORITY_SQL, SUPPLIER, SUPPLIER_SQL, TRAIN_COLUMNS, lags_sql, priority_months,
     supplier_months,
@@ -103,6 +106,30 @@ def forecast_result_corrected(spark, sf_dir):
     return result_table(windows, SUPPLIER)
 
 
+@query(
+    "forecast_served",
+    f"WITH {PRIORITY_SQL}, {ahead_sql('months', 'o_orderpriority', 'corrected')} "
+    f"{records_sql('months', 'o_orderpriority')}",
+)
+def forecast_served(spark, sf_dir):
+    """Windows as messages, answered one by one without knowing the series they are from."""
+    windows = ft.sliding_windows(priority_months(spark, sf_dir), PRIORITY)
+    messages = ft.window_messages(windows).drop("month")
+    usable = good_records(parse_windows(messages))
+    return forecast_records(forecast_each(usable, oldest_feature(), "corrected"), PRIORITY)
+
+
+@query(
+    "results_view",
+    f"WITH {SERIES_SQL}, {ahead_sql('one', 'series', 'compat')}, "
+    f"results AS ({result_sql('one', 'series', '')}) SELECT date, sales FROM results",
+)
+def results_view(spark, sf_dir):
+    """The result table under a name, read with SQL."""
+    forecast_result_table(spark, sf_dir).createOrReplaceTempView("lstm_results")
+    return spark.sql("SELECT date, sales FROM lstm_results ORDER BY date ASC")
+
+
 CUSTOMER = ["o_custkey"]
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from monthwise.functions import calendar as cal
 from monthwise.functions.text import number_text
-from monthwise.operators.monthly import day_counts, fill_gaps, month_mode_day, monthly_totals
+from monthwise.operators.monthly import (
+    day_counts, exact_sum, fill_gaps, month_mode_day, monthly_aggregate, monthly_totals,
+)
 from monthwise.plans.registry import (
     LINES_SQL, ORDERS_SQL, lineitem, months_sql, orders, query, table,
 )
@@ -70,6 +72,26 @@ def monthly_sales_filled(spark, sf_dir):
     return fill_gaps(monthly, ["o_custkey"])
 
 
+@query(
+    "monthly_profile",
+    """SELECT l_returnflag, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
+       count(*) AS records, min(l_extendedprice) AS least, max(l_extendedprice) AS most,
+       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+    FROM lineitem GROUP BY 1, 2""",
+)
+def monthly_profile(spark, sf_dir):
+    """Any aggregates per month, not only the sum of sales."""
+    return monthly_aggregate(
+        lineitem(spark, sf_dir),
+        "day",
+        ["l_returnflag"],
+        records=F.count(F.lit(1)),
+        least=F.min("sales"),
+        most=F.max("sales"),
+        quantity=exact_sum(F.col("l_quantity"), 2),
+    )
+
+
 @query(
     "order_day_counts",
     "SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS records FROM orders GROUP BY ALL",

@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from monthwise.config import WINDOW_MONTHS
 from monthwise.functions.text import record_key
+from monthwise.operators.features import sliding_windows
 from monthwise.operators.forecast import Mode, Scaler, forecast_records, forecast_windows
 from monthwise.operators.models import Scorer
 from monthwise.operators.quality import REASON
@@ -38,30 +39,23 @@ def run_batches(
     return writer.start()
 
 
-class ForecastJob:
-    """Closed months in, table of actual and forecast months out.
+class MonthJob:
+    """Closed months in; subclasses make something of the windows that they complete.
 
     ``months`` logs every closed month. ``tails`` holds, per batch that closed something, the
     latest 16 months of every series: all the history the next windows can need, so a batch
     reads a bounded number of rows per series however long the stream has run.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        scorer: Scorer,
-        mode: Mode,
-        series: Sequence[str] = (),
-        scaler: Scaler | None = None,
-    ):
-        self.scorer, self.mode, self.series, self.scaler = scorer, mode, list(series), scaler
+    def __init__(self, spark: SparkSession, root: str, series: Sequence[str] = ()):
+        self.series = list(series)
         self.checkpoint = f"{root}/checkpoint"
         self.months = BatchLog(spark, f"{root}/months")
         self.tails = BatchLog(spark, f"{root}/tails")
-        self.results = KeyedTable(
-            spark, f"{root}/results", [*self.series, "date"], order=["window_end"]
-        )
+
+    def emit(self, history: DataFrame, batch_id: int) -> None:
+        """Use ``series..., month, sales, is_new``: the new months with those before them."""
+        raise NotImplementedError
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         self.months.write(batch, batch_id)
@@ -73,11 +67,7 @@ class ForecastJob:
         if past:
             tail = self.tails.read(only=past[-1]).drop(BATCH)
             history = history.unionByName(tail.withColumn("is_new", F.lit(False)))
-
-        windows = forecast_windows(
-            history, self.scorer, self.mode, self.series, self.scaler, carry=["is_new"]
-        )
-        self.results.upsert(forecast_records(windows.filter("is_new"), self.series), batch_id)
+        self.emit(history, batch_id)
 
         latest = Window.partitionBy(*self.series).orderBy(F.col("month").desc())
         kept = history.withColumn("rank", F.row_number().over(latest))
@@ -88,6 +78,49 @@ class ForecastJob:
         return run_batches(closed, self.handle, self.checkpoint, every)
 
 
+class WindowJob(MonthJob):
+    """Each completed 17-month window, once, to ``write(windows, batch_id)``."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        write: Callable[[DataFrame, int], None],
+        series: Sequence[str] = (),
+    ):
+        super().__init__(spark, root, series)
+        self.write = write
+
+    def emit(self, history: DataFrame, batch_id: int) -> None:
+        windows = sliding_windows(history, self.series, carry=["is_new"])
+        self.write(windows.filter("is_new").drop("is_new"), batch_id)
+
+
+class ForecastJob(MonthJob):
+    """A keyed table of actual and forecast months in ``results``."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        scorer: Scorer,
+        mode: Mode,
+        series: Sequence[str] = (),
+        scaler: Scaler | None = None,
+    ):
+        super().__init__(spark, root, series)
+        self.scorer, self.mode, self.scaler = scorer, mode, scaler
+        self.results = KeyedTable(
+            spark, f"{root}/results", [*self.series, "date"], order=["window_end"]
+        )
+
+    def emit(self, history: DataFrame, batch_id: int) -> None:
+        windows = forecast_windows(
+            history, self.scorer, self.mode, self.series, self.scaler, carry=["is_new"]
+        )
+        self.results.upsert(forecast_records(windows.filter("is_new"), self.series), batch_id)
+
+
 class PersistJob:
     """Checked raw records in, keyed table and dead letters out.
 

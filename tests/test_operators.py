@@ -289,3 +289,48 @@ def test_message_reasons(spark):
 def test_route(spark):
     df = spark.createDataFrame([("a_results",), ("results",), ("results_x",)], "topic string")
     assert sorted(r.topic for r in ql.route(df, ".*?results").collect()) == ["a_results", "results"]
+
+
+@pytest.mark.parametrize("mode", ["compat", "corrected"])
+@pytest.mark.parametrize("scaled", [False, True])
+def test_windows_one_by_one_give_the_same(spark, mode, scaled):
+    frame = months_frame(spark, some_months(26, 6, gaps=(5, 11)))
+    scaler = sc.MinMaxScaler.fit(ft.lag_matrix(frame, 11), ["difference", *ft.lag_names(11)])
+    scaler = scaler if scaled else None
+    series_way = forecast_windows(frame, weighted_scorer(), mode, scaler=scaler)
+    data = ft.sliding_windows(frame).select("data")
+    from monthwise.operators.forecast import forecast_each
+
+    one_by_one = forecast_each(data, weighted_scorer(), mode, scaler)
+    columns = ["month", "recent", "ahead"]
+    assert sorted(one_by_one.select(columns).collect()) == sorted(
+        series_way.select(columns).collect()
+    )
+    with pytest.raises(ValueError):
+        forecast_each(data, weighted_scorer(), "other")
+
+
+def test_window_reasons(spark):
+    def window(count, sales="1.5"):
+        items = ['{"date":"2014-%02d-01","sales":%s}' % (i % 12 + 1, sales) for i in range(count)]
+        return '{"data":[%s]}' % ",".join(items)
+
+    values = {window(17): None, window(16): "wrong number of months", window(18): "wrong number of months",
+              window(17, "null"): "missing value", "{oops": "no window", "{}": "no window"}
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    assert {r.value: r.reason for r in ql.parse_windows(df).collect()} == values
+
+
+def test_monthly_aggregate_takes_user_defined_aggregates(spark):
+    import pandas as pd
+
+    from monthwise.operators.monthly import monthly_aggregate
+
+    @F.pandas_udf("double")
+    def middle(v: pd.Series) -> float:
+        return float(v.median())
+
+    rows = [(dt.date(2014, 1, d), float(d)) for d in (1, 2, 30)] + [(dt.date(2014, 2, 1), 4.0)]
+    df = spark.createDataFrame(rows, "day date, x double")
+    got = monthly_aggregate(df, "day", middle=middle(F.col("x"))).orderBy("month").collect()
+    assert [tuple(r) for r in got] == [(dt.date(2014, 1, 1), 2.0), (dt.date(2014, 2, 1), 4.0)]

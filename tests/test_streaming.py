@@ -201,3 +201,56 @@ def test_gradient_boosted_trees_can_be_trained(spark):
     windows = forecast_windows(monthly, trained.scorer, "corrected", ["s"], trained.scaler)
     assert result_table(windows, ["s"]).count() == 60 - 11 + 6
     assert rows.filter("is_test").count() == 6
+
+
+def test_messages_to_windows_to_forecasts_to_results(spark, tmp_path):
+    """The whole chain over files that stand in for topics."""
+    from monthwise.functions.text import forecast_message
+    from monthwise.plans.jobs import refused_windows, result_rows, served
+    from monthwise.sinks.keyed_table import KeyedTable
+    from monthwise.sinks.topics import forecast_values, window_values
+    from monthwise.streaming.jobs import WindowJob
+
+    rows = sorted(records(seed=9, count=1500, months=26), key=lambda r: r[1])
+    texts = [f'{{"payload":{{"Order Date":"{d}","Sales":"{x}"}}}}' for _, d, x in rows]
+    texts.insert(700, '{"payload":{"Order Date":"nope","Sales":"1"}}')
+    third = len(texts) // 3 + 1
+    for i in range(3):
+        part = spark.createDataFrame([(t,) for t in texts[i * third:(i + 1) * third]], "value string")
+        part.coalesce(1).write.mode("append").text(str(tmp_path / "transactions"))
+
+    windows = BatchLog(spark, str(tmp_path / "windows"))
+
+    def send(found, batch_id):
+        windows.write(window_values(found), batch_id)
+
+    source = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "transactions"))
+    good = ql.good_records(ql.parse_messages(source)).select("day", "sales")
+    job = WindowJob(spark, str(tmp_path / "features"), send)
+    job.start(closed_month_stream(good)).awaitTermination()
+
+    everything = spark.createDataFrame(rows, SCHEMA)
+    months = monthly_totals(everything, "day", "sales").join(
+        settled_months(everything, "day"), "month", "left_semi"
+    )
+    assert windows.read().count() == months.count() - 16
+
+    windows.read().select("value").coalesce(1).write.text(str(tmp_path / "inbox"))
+    inbox = spark.readStream.text(str(tmp_path / "inbox"))
+    answers = BatchLog(spark, str(tmp_path / "answers"))
+    forecasts = forecast_values(served(inbox, oldest_feature(), "compat"))
+    run_batches(forecasts, answers.write, str(tmp_path / "serve")).awaitTermination()
+    sent = answers.read()
+    assert sent.count() == 12 * (months.count() - 16)
+
+    batch = served(windows.read(), oldest_feature(), "compat")
+    assert refused_windows(windows.read()).count() == 0
+    numbered = batch.withColumn("offset", F.unix_date("window_end").cast("bigint"))
+    value = forecast_message(F.col("date"), F.col("sales")).alias("value")
+    messages = numbered.select(value, "offset")
+    broken = spark.createDataFrame([("{oops", 1)], "value string, offset long")
+    table = KeyedTable(spark, str(tmp_path / "results"), ["date"], ["seq"])
+    table.upsert(result_rows(messages.unionByName(broken)), 0)
+    want = result_table(forecast_windows(months, oldest_feature(), "compat"))
+    assert rows_of(table.read().select("date", "sales")) == rows_of(want.select("date", "sales"))
+    assert rows_of(table.rejected().select("value", "reason")) == [("{oops", "no sales")]
