@@ -24,6 +24,7 @@ FILE_GLOB = "*transaction_data*.csv"
 class PipelineConfig:
     """Names and addresses of one deployment; every field has a usable default."""
 
+    # The names other parts of a deployment expect.
     job_name: str = "feature_aggregation_job"
     input_topic: str = "transaction_data"
     output_topic: str = "lstm_input"
@@ -58,6 +59,7 @@ class PipelineConfig:
     @classmethod
     def from_json(cls, text: str, section: str = "lstm-script") -> PipelineConfig:
         """Read the training section of a JSON config: data path, date and target column."""
+        # The section's keys.
         body = json.loads(text)[section]
         return replace(
             cls(),

@@ -176,24 +176,20 @@ def forecast_each(
 RECORD = "array<struct<date:date,sales:double,step:bigint>>"
 
 
-def _record(date: Column, sales: Column, step: int) -> Column:
-    return F.struct(
-        date.alias("date"), sales.alias("sales"), F.lit(step).cast("bigint").alias("step")
-    )
+def _records(items: list[tuple[str, str, int]]) -> Column:
+    """An array of records from ``(date, sales, step)`` with the first two as expressions."""
+    fields = "named_struct('date', {}, 'sales', {}, 'step', {}L)"
+    return F.expr(f"array({', '.join(fields.format(*item) for item in items)})")
 
 
 def _actual_records(count: int) -> Column:
-    items = [(F.element_at(RECENT, -back), 1 - back) for back in range(count, 0, -1)]
-    return F.array(*[_record(item["date"], item["sales"], step) for item, step in items])
+    items = [(f"element_at({RECENT}, -{back})", 1 - back) for back in range(count, 0, -1)]
+    return _records([(f"{item}.date", f"{item}.sales", step) for item, step in items])
 
 
 def _ahead_records() -> Column:
-    return F.array(
-        *[
-            _record(F.add_months("month", k), F.element_at(AHEAD, k), k)
-            for k in range(1, HORIZON + 1)
-        ]
-    )
+    steps = range(1, HORIZON + 1)
+    return _records([(f"add_months(month, {k})", f"element_at({AHEAD}, {k})", k) for k in steps])
 
 
 def forecast_records(windows: DataFrame, series: Sequence[str] = ()) -> DataFrame:

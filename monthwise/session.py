@@ -20,6 +20,7 @@ def build_session(app: str = "monthwise", master: str | None = None, **conf: str
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
     }
     settings.update(conf)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,14 +73,27 @@ class KeyedTable:
         return df.withColumn(COLUMNS_SET, F.array(*[F.lit(c) for c in columns]))
 
     def _resolved(self) -> DataFrame | None:
+        """The base without the keys that changed since, and those keys' current rows.
+
+        The join only carries keys. While few have changed since the last compaction, the
+        optimiser broadcasts them and the base is neither shuffled nor sorted.
+        """
         bases = self.base.committed()
         changes = self.changes.read(above=bases[-1] if bases else None)
-        parts = [] if changes is None else [good_records(changes)]
-        if bases:
-            parts.append(self.base.read(only=bases[-1]))
-        if not parts:
-            return None
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if not bases:
+            return None if changes is None else self._newest(good_records(changes))
+        base = self.base.read(only=bases[-1])
+        if changes is None:
+            return base
+        changes = good_records(changes)
+        touched = changes.select(*self.keys).distinct()
+        if self.merge_columns:
+            before = base.join(touched, self.keys, "left_semi")
+            changes = changes.unionByName(before, allowMissingColumns=True)
+        untouched = base.join(touched, self.keys, "left_anti")
+        return untouched.unionByName(self._newest(changes), allowMissingColumns=True)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
         if self.merge_columns:
             return self._latest_columns(rows)
         return latest_per_key(rows, self.keys, self.rank)

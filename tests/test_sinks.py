@@ -139,3 +139,14 @@ def test_export_is_sorted(spark, tmp_path, single):
     assert dates == ["2014-01-01,1.0", "2014-02-01,2.0", "2014-03-01,3.0", "2014-12-01,12.0"]
     if single:
         assert len(files) == 1
+
+
+def test_reading_after_compaction_does_not_shuffle_the_base(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["k"])
+    table.upsert(spark.range(1000).selectExpr("cast(id as string) as k", "id as a"), 0)
+    table.compact()
+    table.upsert(spark.range(5).selectExpr("cast(id as string) as k", "-1L as a"), 1)
+    result = table.read()
+    assert result.count() == 1000 and result.filter("a = -1").count() == 5
+    text = result._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text and "SortMergeJoin" not in text
