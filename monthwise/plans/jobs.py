@@ -25,7 +25,7 @@ from monthwise.operators.quality import (
     REASON, dead_letters, good_records, parse_messages, parse_windows, type_records,
 )
 from monthwise.plans.training import TrainedForecaster, evaluate, train_from_csv
-from monthwise.session import build_session, shared_dir
+from monthwise.session import build_session, shared_dir, state_session
 from monthwise.sinks.export import export_csv
 from monthwise.sinks.keyed_table import KeyedTable
 from monthwise.sinks.topics import forecast_values, stream_to_topic, window_values, write_topic
@@ -68,7 +68,7 @@ def features(spark: SparkSession, config: PipelineConfig) -> None:
         write_topic(window_values(windows), config)
 
     job = WindowJob(spark, job_root(spark, config, "features"), write)
-    good = good_records(parse_messages(stream_topic(spark, config))).select("day", "sales")
+    good = good_records(parse_messages(stream_topic(state_session(spark), config))).select("day", "sales")
     job.start(closed_month_stream(good), every=config.trigger).awaitTermination()
 
 

@@ -157,9 +157,9 @@ def calendar_days(spark, sf_dir):
 @query(
     "event_ordinal_time",
     """SELECT event_id,
-       epoch_ms(CAST((year(ts) * 12 + month(ts) - 1 - 1970 * 12) * 86400000
+       CAST((year(ts) * 12 + month(ts) - 1 - 1970 * 12) * 86400000
          + (day(ts) - 1) * 86400 + hour(ts) * 3600 + minute(ts) * 60
-         + floor(second(ts)) AS BIGINT)) AS ordinal,
+         + floor(second(ts)) AS BIGINT) AS ordinal_ms,
        CAST(date_trunc('month', ts) AS DATE) AS month
     FROM events""",
 )
@@ -167,7 +167,7 @@ def event_ordinal_time(spark, sf_dir):
     ordinal = cal.ordinal_month_time(F.col("ts"))
     return table(spark, sf_dir, "events").select(
         "event_id",
-        ordinal.cast("timestamp_ntz").alias("ordinal"),
+        F.unix_millis(ordinal).alias("ordinal_ms"),
         cal.month_from_ordinal(ordinal).alias("month"),
     )
 

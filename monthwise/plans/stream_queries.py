@@ -14,7 +14,7 @@ from monthwise.operators.models import oldest_feature
 from monthwise.plans.forecast_queries import ahead_sql, result_sql
 from monthwise.plans.ingest_queries import CSV_HEADER, LINES_CHECKED_SQL, write_order_files
 from monthwise.plans.registry import ORDERS_SQL, months_sql, query, stream_table
-from monthwise.session import fresh_dir
+from monthwise.session import fresh_dir, state_session
 from monthwise.sinks.batch_log import BatchLog
 from monthwise.sources import dropdir
 from monthwise.streaming.jobs import ForecastJob, PersistJob, run_batches
@@ -30,7 +30,7 @@ settled_in AS (
 
 
 def order_stream(spark, sf_dir):
-    return stream_table(spark, sf_dir, "orders").select(
+    return stream_table(state_session(spark), sf_dir, "orders").select(
         "o_orderkey",
         *PRIORITY,
         F.col("o_orderdate").cast("date").alias("day"),

@@ -45,6 +45,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A sister session for streams, with no more state partitions than the cluster has cores.
+
+    A stateful query keeps the partition count of its first start and opens one state store per
+    partition and batch, so the count should follow the state (a sum per series and open month)
+    and not the volume that batch shuffles are set up for.
+    """
+    sister = spark.newSession()
+    planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    sister.conf.set("spark.sql.shuffle.partitions", str(min(planned, cores)))
+    return sister
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
