@@ -16,6 +16,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     a key apart for the result to be unique.
     """
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    best = F.max_by(F.struct(*rest), rank).alias("best")
+    if not rest:
+        return df.distinct()
+    # As a struct the rank is never null, so a row whose order is null ranks lowest but counts.
+    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("best")
     return df.groupBy(*keys).agg(best).select(*keys, "best.*").select(*df.columns)

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from monthwise.functions.text import number_text
 
 
 def export_csv(results: DataFrame, path: str, key: str = "date", single: bool = True) -> None:
     """Write ``results`` as CSV with a header, sorted by ``key``.
 
     ``single`` makes one file, right for one series (twelve rows a year). Without it the sort
-    is spread by range and the files' order is the rows' order.
+    is spread by range and the files' order is the rows' order. Doubles are written out in
+    full, not in Spark's exponent form.
     """
+    doubles = {name: number_text(F.col(name)) for name, kind in results.dtypes if kind == "double"}
     ordered = results.coalesce(1).sortWithinPartitions(key) if single else results.orderBy(key)
-    ordered.write.mode("overwrite").option("header", "true").csv(path)
+    ordered.withColumns(doubles).write.mode("overwrite").option("header", "true").csv(path)

@@ -41,13 +41,13 @@ def closed_month_stream(
     or later has been seen. To be written in append mode.
 
     State is one sum per open month and series. ``unique_by`` drops redelivered records by the
-    hash of these columns; their keys stay in state until the watermark passes them.
+    hash of these columns. Hashes stay in state until their month closes: as long as a repeated
+    record could still be counted, and no longer.
     """
     timed = with_event_time(records, day, delay_days)
+    timed = timed.withColumn("span", F.window(ORDINAL, "1 day"))
     if unique_by is not None:
         timed = timed.withColumn("record_key", record_key(timed, unique_by))
-        timed = timed.dropDuplicatesWithinWatermark(["record_key"])
-    closed = timed.groupBy(F.window(ORDINAL, "1 day").alias("span"), *series).agg(
-        total(F.col(sales), scale).alias("sales")
-    )
+        timed = timed.dropDuplicates(["record_key", "span"])
+    closed = timed.groupBy("span", *series).agg(total(F.col(sales), scale).alias("sales"))
     return closed.select(*series, month_from_ordinal(F.col("span.start")).alias("month"), "sales")

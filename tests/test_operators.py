@@ -263,6 +263,10 @@ def test_latest_per_key(spark):
     df = spark.createDataFrame(rows, "k string, n long, v string")
     got = sorted((tuple(r) for r in latest_per_key(df, ["k"], ["n"]).collect()))
     assert got == [("a", 3, None), ("b", 1, "z")]
+    unordered = spark.createDataFrame([("a", None, "x"), ("b", None, "y"), ("b", 0, "z")], df.schema)
+    got = sorted((tuple(r) for r in latest_per_key(unordered, ["k"], ["n"]).collect()))
+    assert got == [("a", None, "x"), ("b", 0, "z")]
+    assert latest_per_key(df.select("k"), ["k"], []).count() == 2
 
 
 def test_message_reasons(spark):

@@ -125,16 +125,23 @@ def test_a_month_waits_for_the_second_of_the_next(spark, tmp_path):
     assert run() == [(dt.date(2020, 2, 1), 1.0)]
 
 
-def test_redelivered_records_count_once(spark, tmp_path):
-    rows = [("a", dt.date(2020, 1, 10), 1.0), ("a", dt.date(2020, 1, 11), 2.0)]
-    drop_files(spark, tmp_path / "in", rows + rows[:1], 1)
-    drop_files(spark, tmp_path / "in", [("a", dt.date(2020, 2, 3), 9.0)], 1)
+def test_redelivered_records_count_once_while_their_month_is_open(spark, tmp_path):
+    first = ("a", dt.date(2020, 1, 3), 1.0)
+    arrivals = [
+        [first, ("a", dt.date(2020, 1, 4), 2.0), first],
+        [("a", dt.date(2020, 1, 25), 4.0)],
+        [first, ("a", dt.date(2020, 1, 26), 8.0), ("b", dt.date(2020, 1, 3), 1.0)],
+        [("a", dt.date(2020, 2, 3), 9.0)],
+        [first, ("a", dt.date(2020, 2, 4), 9.0)],
+    ]
     log = BatchLog(spark, str(tmp_path / "months"))
-    closed = closed_month_stream(
-        stream(spark, tmp_path / "in"), unique_by=["s", "day", "sales"]
-    )
-    run_batches(closed, log.write, str(tmp_path / "checkpoint")).awaitTermination()
-    assert rows_of(log.read().select("month", "sales")) == [(dt.date(2020, 1, 1), 3.0)]
+    for part in arrivals:
+        drop_files(spark, tmp_path / "in", part, 1)
+        closed = closed_month_stream(
+            stream(spark, tmp_path / "in"), unique_by=["s", "day", "sales"]
+        )
+        run_batches(closed, log.write, str(tmp_path / "checkpoint")).awaitTermination()
+    assert rows_of(log.read().select("month", "sales")) == [(dt.date(2020, 1, 1), 16.0)]
 
 
 def test_delay_bounds(spark, tmp_path):
@@ -254,3 +261,32 @@ def test_messages_to_windows_to_forecasts_to_results(spark, tmp_path):
     want = result_table(forecast_windows(months, oldest_feature(), "compat"))
     assert rows_of(table.read().select("date", "sales")) == rows_of(want.select("date", "sales"))
     assert rows_of(table.rejected().select("value", "reason")) == [("{oops", "no sales")]
+
+
+def test_train_and_export_commands(spark, tmp_path):
+    from monthwise.functions.text import forecast_message
+    from monthwise.plans import jobs
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    rng = random.Random(4)
+    lines = ["Order Date,Sales"]
+    for m in range(40):
+        lines += [f"{2012 + m // 12}-{m % 12 + 1:02d}-{d:02d},{rng.uniform(1, 99):.3f}" for d in (3, 9)]
+    (folder / "sales.csv").write_text("\n".join(lines))
+    config = PipelineConfig(job_name=f"job-{tmp_path.name}", data_path=str(folder))
+    jobs.JOBS["train"](spark, config)
+    trained = TrainedForecaster.load(spark, jobs.job_root(spark, config, "train"))
+    assert len(trained.scaler.ranges) == 12
+
+    sent = spark.sql(
+        "select date'2014-02-01' as date, 2.5d as sales, 7L as offset"
+        " union all select date'2014-01-01', 12345678.5d, 8L"
+        " union all select date'2014-02-01', 3.5d, 9L"
+    )
+    message = forecast_message(F.col("date"), F.col("sales")).alias("value")
+    jobs.results_table(spark, config).upsert(jobs.result_rows(sent.select(message, "offset")), 0)
+    jobs.JOBS["export"](spark, config)
+    out = jobs.job_root(spark, config, "export")
+    text = spark.read.text(out).collect()
+    assert [r.value for r in text] == ["date,sales", "2014-01-01,12345678.5", "2014-02-01,3.5"]
