@@ -73,17 +73,18 @@ def month_text(text: Column) -> Column:
 def next_month_text(text: Column) -> Column:
     """Text of the same day number one month on, by field arithmetic on ``yyyy-MM-dd``.
 
-    Unlike :func:`add_months` the day field is kept as written.
+    Unlike :func:`add_months` the day field is kept as written. Null for other text.
     """
-    part = F.split(text, "-")
-    year, month = part[0].cast("int"), part[1].cast("int")
+    part = [F.get(F.split(text, "-"), F.lit(i)) for i in range(3)]
+    year, month = part[0].try_cast("int"), part[1].try_cast("int")
     wraps = month == 12
-    return F.concat_ws(
+    following = F.concat_ws(
         "-",
         F.when(wraps, (year + 1).cast("string")).otherwise(part[0]),
         F.when(wraps, F.lit("01")).otherwise(F.lpad((month + 1).cast("string"), 2, "0")),
         part[2],
     )
+    return F.when(month.between(1, 12) & year.isNotNull() & part[2].isNotNull(), following)
 
 
 def month_index(day: Column) -> Column:

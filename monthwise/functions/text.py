@@ -21,14 +21,29 @@ ENVELOPE_TYPE = (
 
 
 def number_text(value: Column) -> Column:
-    """Double to text the way Python's ``str`` writes it for magnitudes below 1e16.
+    """Double to text the way Python's ``str`` writes it.
 
-    Spark switches to exponents from 1e7 on; such values go through a decimal instead.
+    Spark uses exponents below 1e-3 and from 1e7 on, Python below 1e-4 and from 1e16 on, and
+    writes them as ``1e-05``.
     """
     plain = value.cast("string")
-    wide = F.regexp_replace(value.cast("decimal(38,10)").cast("string"), r"(\.\d+?)0*$", "$1")
-    in_range = (F.abs(value) >= 1e7) & (F.abs(value) < 1e16)
-    return F.when(in_range, wide).otherwise(plain)
+    size = F.abs(value)
+    in_full = F.regexp_replace(value.cast("decimal(38,10)").cast("string"), r"(\.\d+?)0*$", "$1")
+    mantissa = F.regexp_replace(F.substring_index(plain, "E", 1), r"\.0$", "")
+    exponent = F.get(F.split(plain, "E"), F.lit(1)).try_cast("int")
+    digits = F.regexp_replace(mantissa, r"[-.]", "")
+    sign = F.when(value < 0, "-").otherwise("")
+    marker = (
+        F.when(exponent <= -10, "e-").when(exponent < 0, "e-0").otherwise("e+")
+    )
+    return (
+        F.when(F.isnan(value), "nan")
+        .when(size == float("inf"), F.concat(sign, F.lit("inf")))
+        .when((size >= 1e7) & (size < 1e16), in_full)
+        .when((size >= 1e-4) & (size < 1e-3), F.concat(sign, F.lit("0.000"), digits))
+        .when(exponent.isNotNull(), F.concat(mantissa, marker, F.abs(exponent).cast("string")))
+        .otherwise(plain)
+    )
 
 
 def window_json(data: Column) -> Column:

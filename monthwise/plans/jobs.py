@@ -105,7 +105,7 @@ def train(spark: SparkSession, config: PipelineConfig) -> None:
 
 def export(spark: SparkSession, config: PipelineConfig) -> None:
     rows = results_table(spark, config).read().select("date", "sales")
-    export_csv(rows, job_root(spark, config, "export"))
+    export_csv(rows, job_root(spark, config, "export"), single=True)
 
 
 JOBS: dict[str, Callable[[SparkSession, PipelineConfig], None]] = {

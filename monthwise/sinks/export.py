@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from monthwise.functions.text import number_text
 
 
-def export_csv(results: DataFrame, path: str, key: str = "date", single: bool = True) -> None:
+def export_csv(results: DataFrame, path: str, key: str = "date", single: bool = False) -> None:
     """Write ``results`` as CSV with a header, sorted by ``key``.
 
-    ``single`` makes one file, right for one series (twelve rows a year). Without it the sort
-    is spread by range and the files' order is the rows' order. Doubles are written out in
+    The sort is spread by range and the files' order is the rows' order. ``single`` makes one
+    file in one task, which is right for one series only (twelve rows a year). Doubles are written out in
     full, not in Spark's exponent form.
     """
     doubles = {name: number_text(F.col(name)) for name, kind in results.dtypes if kind == "double"}
