@@ -14,19 +14,24 @@ blanks are merged as the library does, since their pieces tie.
 from __future__ import annotations
 
 import heapq
+import math
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from monthwise.llm.common import whole
 
 BLANK = "▁"
-REMEMBERED = 250_000
+REMEMBERED = 150_000  # words, in each of two generations; twice as many pairs
+SLICE = 512  # rows that are answered together
 PROBES = ("", " ", "a  b", " a", "x\ty\n\nz ", "▁a ▁", "　ｆ é́", "<s> </s>", "1" * 40 + " " * 40)
 
 
@@ -78,12 +83,19 @@ class PieceBpe:
             raise ValueError("a piece has a blank inside")
         self.silent = {i for i in range(size) if not self.shown[i]}  # these end a run of bytes
         self.text = {i: name for name, i in self.id.items()}
+        self.inside = {name[k : k + 2] for name in self.id for k in range(len(name) - 1)}
         self.pairs, self.words = Memory(REMEMBERED * 2), Memory(REMEMBERED)
+        self.parts = Memory(REMEMBERED)
         self.matcher = ahocorasick.Automaton()
         for name, i in self.id.items():
             # A piece that its own characters don't merge to is never produced.
             if self.remerge(name) == [i]:
                 self.matcher.add_word(name, (i, len(name)))
+        #: The next shorter piece that begins a piece.
+        self.shorter: dict[int, tuple[int, int] | None] = {}
+        for name, match in list(self.matcher.items()):
+            begins = (self.matcher.get(name[:n], None) for n in range(len(name) - 1, 0, -1))
+            self.shorter[match[0]] = next((m for m in begins if m is not None), None)
         self.matcher.make_automaton()
         letters = "".join(re.escape(name) for name in self.id if len(name) == 1)
         self.cut = re.compile(f"([^{letters}])")
@@ -93,6 +105,26 @@ class PieceBpe:
 
     def remerge(self, text: str) -> list[int]:
         """Merge neighbours, best score and then leftmost first, till nothing merges."""
+        if len(text) > 32:
+            return self._remerge_long(text)
+        score, never = self.score, -math.inf
+        parts = list(text)
+        scores = [score.get(a + b, never) for a, b in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == never:
+                break
+            at = scores.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at < len(scores):
+                scores[at] = score.get(parts[at] + parts[at + 1], never)
+            if at:
+                scores[at - 1] = score.get(parts[at - 1] + parts[at], never)
+        return [self.id[part] for part in parts]
+
+    def _remerge_long(self, text: str) -> list[int]:
+        """The same with a heap, for long runs."""
         parts: list[str | None] = list(text)
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
@@ -135,33 +167,37 @@ class PieceBpe:
     def search(self, text: str) -> list[int]:
         """Backtracking over a text of known characters."""
         size = len(text)
-        starts: list[list[tuple[int, int]]] = [[] for _ in range(size)]
+        longest: list[tuple[int, int] | None] = [None] * size
         for end, match in self.matcher.iter(text):
-            starts[end - match[1] + 1].append(match)  # shortest first
+            longest[end + 1 - match[1]] = match  # ends ascend, so the longest stays
+        fits, shorter, pairs = self.fits, self.shorter, self.pairs.young
         failed = 0
-        taken: list[int] = []
-        choices: list[int] = []
-        at, choice = 0, len(starts[0]) - 1 if size else -1
+        taken: list[tuple[int, int]] = []
+        last = None
+        at, match = 0, longest[0] if size else None
         while at < size:
-            last = taken[-1] if taken else None
-            here = starts[at]
-            while choice >= 0:
-                piece, length = here[choice]
-                if not failed >> (at + length) & 1 and (last is None or self.fits(last, piece)):
-                    break
-                choice -= 1
-            if choice >= 0:
-                taken.append(piece)
-                choices.append(choice)
-                at += length
-                choice = len(starts[at]) - 1 if at < size else -1
+            while match is not None:
+                if not failed >> (at + match[1]) & 1:
+                    if last is None:
+                        break
+                    known = pairs.get(last << 32 | match[0])
+                    if known or known is None and fits(last, match[0]):
+                        break
+                match = shorter[match[0]]
+            if match is not None:
+                taken.append(match)
+                last = match[0]
+                at += match[1]
+                match = longest[at] if at < size else None
             else:
                 failed |= 1 << at
                 if not taken:
                     raise ValueError("the vocabulary has no encoding of a known character")
-                at -= len(self.text[taken.pop()])
-                choice = choices.pop() - 1
-        return taken
+                piece, length = taken.pop()
+                at -= length
+                match = shorter[piece]
+                last = taken[-1][0] if taken else None
+        return [piece for piece, _ in taken]
 
     def _chunk(self, blanks: int, body: str) -> list[int]:
         """``blanks`` blanks, then ``body`` without any."""
@@ -170,7 +206,7 @@ class PieceBpe:
         for k in range(0, len(parts), 2):
             known = parts[k]
             if k == 0 and blanks:
-                found = self.search(BLANK + known)
+                found = self._known(BLANK + known)
                 alone = self.text[found[0]] == BLANK
                 run = blanks if alone else blanks - 1
                 if run > 1 or alone:
@@ -179,7 +215,7 @@ class PieceBpe:
                     out.append(self.id[BLANK])
                 out += found[1:] if alone else found
             elif known:
-                out += self.search(known)
+                out += self._known(known)
             if k + 1 < len(parts):
                 out += [self.bytes[b] for b in parts[k + 1].encode("utf-8", "surrogatepass")]
         return out
@@ -213,10 +249,26 @@ class PieceBpe:
         """A body behind one blank."""
         found = self.words.get(body)
         if found is None:
-            found = self._chunk(1, body)
+            found = tuple(self._chunk(1, body))
             self.words.put(body, found)
         return found
 
+    def _known(self, text: str):
+        """Ids of known characters. Between two that no piece holds side by side nothing merges."""
+        inside = self.inside
+        cuts = [at for at in range(1, len(text)) if text[at - 1 : at + 1] not in inside]
+        if not cuts:
+            return self.search(text)
+        out: list[int] = []
+        for start, end in zip([0, *cuts], [*cuts, len(text)]):
+            part = text[start:end]
+            found = self.parts.get(part)
+            if found is None:
+                found = tuple(self.search(part))
+                self.parts.put(part, found)
+            out += found
+        return out
+
     def decode(self, ids) -> str:
         """The text of ids: without the blank put in front, broken bytes as U+FFFD each."""
         raw = b"".join(map(self.shown.__getitem__, ids))
@@ -258,24 +310,39 @@ def piece_bpe(path: str) -> PieceBpe:
 
 
 def encode_and_decode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``_ids`` (array of int) and ``_decoded``, the text that these ids give.
+    """``docs`` with ``_ids`` (array of int) and ``_decoded``, the text that these ids give, instead of
+    its text.
 
     Null and empty texts have no ids and decode to an empty text. Rows, repeated ones included, are
     independent of each other.
     """
 
-    @pandas_udf("struct<ids:array<int>,decoded:string>")
-    def both(texts: pd.Series) -> pd.DataFrame:
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_bpe(model)
-        ids = [codec.encode(t) for t in texts]
-        return pd.DataFrame({
-            "ids": pd.Series([np.array(x, dtype=np.int32) for x in ids], dtype=object),
-            "decoded": pd.Series([codec.decode(x) for x in ids], dtype=object),
-        })
-
-    return docs.withColumn("_both", both(whole(F.col(text)))).select(
-        *docs.columns, F.col("_both.ids").alias("_ids"), F.col("_both.decoded").alias("_decoded")
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                ids, ends, decoded = [], [0], []
+                for text in part.column("_text").to_pylist():
+                    found = codec.encode(text)
+                    ids.append(np.array(found, dtype=np.int32))
+                    ends.append(ends[-1] + len(found))
+                    decoded.append(codec.decode(found))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.concatenate(ids))
+                )
+                kept = [part.column(c) for c in others]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, lists, pa.array(decoded, pa.string())], names=names
+                )
+
+    others = [c for c in docs.columns if c != text]
+    names = [*others, "_ids", "_decoded"]
+    schema = StructType(
+        [*(docs.schema[c] for c in others), StructField("_ids", ArrayType(IntegerType())),
+         StructField("_decoded", StringType())]
     )
+    return docs.select(*others, whole(F.col(text)).alias("_text")).mapInArrow(both, schema)
 
 
 def decode(frame: DataFrame, model: str, ids: str = "_ids") -> DataFrame:
