@@ -18,17 +18,21 @@ from monthwise.session import fresh_dir, materialise
 HASH = ["_h1", "_h2"]
 
 
-def line_key(line: Column) -> Column:
-    """What makes two lines equal: no white space at the ends, A-Z in lower case."""
-    return ascii_lower(F.btrim(line, F.lit(WHITE)))
+def line_keys(lines: Column) -> Column:
+    """What makes lines equal: no white space at the ends, A-Z in lower case.
 
+    Step by step, as an expression that a lambda names twice is computed twice.
+    """
+    return F.transform(F.transform(lines, lambda x: F.btrim(x, F.lit(WHITE))), ascii_lower)
 
-def _hashes(line: Column) -> Column:
-    """128 bits of the key, null for a key of no characters."""
-    key = line_key(line)
-    return F.when(
-        key != "", F.struct(F.xxhash64(key).alias("_h1"), F.xxhash64(F.lit(1), key).alias("_h2"))
-    )
+
+def _hashes(lines: Column) -> Column:
+    """128 bits of each line's key, null for a key of no characters."""
+    def both(key: Column) -> Column:
+        h1, h2 = F.xxhash64(key).alias("_h1"), F.xxhash64(F.lit(1), key).alias("_h2")
+        return F.when(key != "", F.struct(h1, h2))
+
+    return F.transform(line_keys(lines), both)
 
 
 class LineRuns:
@@ -100,7 +104,7 @@ def drop_common_lines(
     mark = [F.col(ident).alias("_id"), F.xxhash64(body).alias("_t1"),
             F.xxhash64(F.lit(1), body).alias("_t2")]
 
-    distinct = F.filter(F.array_distinct(F.transform(lines, _hashes)), lambda h: h.isNotNull())
+    distinct = F.filter(F.array_distinct(_hashes(lines)), lambda h: h.isNotNull())
     keys = docs.select(
         F.pmod(F.xxhash64(body), F.lit(batches)).alias("_batch"), F.explode(distinct).alias("_h")
     ).select("_batch", "_h.*")
@@ -111,7 +115,7 @@ def drop_common_lines(
     common = materialise(runs.common(), "line-common")
 
     places = (
-        docs.select(*mark, F.posexplode(F.transform(lines, _hashes)).alias("_pos", "_h"))
+        docs.select(*mark, F.posexplode(_hashes(lines)).alias("_pos", "_h"))
         .where(F.col("_h").isNotNull())
         .select("_id", "_t1", "_t2", "_pos", "_h.*")
         .join(common, HASH, "left_semi")
