@@ -116,7 +116,7 @@ def lattice(path: str) -> Lattice:
 
 
 BLOCKS = (
-    "_kind string, _block bigint, _id {kind}, _held boolean, _n bigint, _at binary, _tf binary, "
+    "_kind string, _block bigint, _id string, _held boolean, _n bigint, _at binary, _tf binary, "
     "_word string, _place int, _count bigint"
 )
 
@@ -124,12 +124,11 @@ BLOCKS = (
 def _blocks(docs: DataFrame, ident: str, text: str, folds: int, size: int) -> tuple[DataFrame, DataFrame]:
     """Documents as places of their distinct words, and the words of each block with training counts."""
     rows = docs.select(
-        F.col(ident).alias("_id"),
+        F.col(ident).cast("string").alias("_id"),
         (remainder(F.col(ident), folds) == 0).alias("_held"),
         whole(F.col(text)).alias("_text"),
     )
-    schema = BLOCKS.format(kind=dict(rows.dtypes)["_id"])
-    columns = [c.split()[0] for c in schema.split(", ")]
+    columns = [c.split()[0] for c in BLOCKS.split(", ")]
 
     def flush(number: int, block: list, index: dict) -> Iterator[pd.DataFrame]:
         uses = np.zeros(len(index), dtype=np.int64)
@@ -170,12 +169,12 @@ def _blocks(docs: DataFrame, ident: str, text: str, folds: int, size: int) -> tu
             yield from flush(next(numbers), block, index)
 
     path = fresh_dir(docs.sparkSession, "lm-blocks")
-    rows.mapInPandas(read, schema).write.partitionBy("_kind").option(
+    rows.mapInPandas(read, BLOCKS).write.partitionBy("_kind").option(
         "compression", "zstd"
     ).parquet(path)
 
     def back(part: str) -> DataFrame:
-        return docs.sparkSession.read.schema(schema).parquet(path).where(F.col("_kind") == part)
+        return docs.sparkSession.read.schema(BLOCKS).parquet(path).where(F.col("_kind") == part)
 
     return (
         back("doc").select("_block", "_id", "_held", "_n", "_at", "_tf"),
@@ -266,8 +265,6 @@ def lattice_scores(
     returned = words.select("_block", "_word", "_place").join(scored, "_word").select(
         "_block", "_place", (F.col("_c") > 0).alias("_known"), "_base", "_score"
     )
-    kind = dict(texts.dtypes)["_id"]
-
     def add(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         base, score = np.zeros(len(found)), np.zeros(len(found))
         known = np.zeros(len(found), dtype=np.int64)
@@ -288,10 +285,10 @@ def lattice_scores(
 
     result = texts.groupBy("_block").cogroup(returned.groupBy("_block")).applyInPandas(
         add,
-        f"_id {kind}, _held boolean, _n bigint, n_known bigint, base_score double, score double",
+        "_id string, _held boolean, _n bigint, n_known bigint, base_score double, score double",
     )
     return result.select(
-        F.col("_id").alias(ident),
+        F.col("_id").cast(docs.schema[ident].dataType).alias(ident),
         F.col("_held").alias("held_out"),
         F.col("_n").alias("n_tokens"),
         "n_known",

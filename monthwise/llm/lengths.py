@@ -9,6 +9,7 @@ from pyspark.sql.functions import pandas_udf
 
 from monthwise.llm.common import whole
 from monthwise.llm.tokens import byte_bpe
+from monthwise.session import materialise
 
 
 def encoded_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -29,15 +30,16 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     the latter, ``truncated_tokens`` the total when each document is cut at the limit, and
     ``quantile`` the share of documents that are not longer. An empty table gives no rows.
 
-    The histogram is summed in ranges of lengths first, so no task sees more than its own range.
+    The histogram is written, then summed in ranges of lengths, so no task sees more than its own range.
     """
     counts = lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
-    width = 4096
+    counts = materialise(counts, "length-counts")
+    width = 64
     counts = counts.withColumn("_range", F.floor(F.col("n_tokens") / width))
     ranges = counts.groupBy("_range").agg(
         F.sum("n_docs").alias("_docs"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("_tokens")
     )
-    # One row for each 4096 tokens of the longest document.
+    # One row for each 64 tokens of the longest document.
     later = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(
         "_range",

@@ -81,7 +81,7 @@ class LineRuns:
         return self._summed(paths).where(F.col("_docs") >= self.min_docs).select(*HASH)
 
 
-def drop_common_lines(
+def without_common_lines(
     docs: DataFrame,
     text: str = "text",
     ident: str = "doc_id",
@@ -89,61 +89,59 @@ def drop_common_lines(
     batches: int = 4,
     fanout: int = 2,
 ) -> DataFrame:
-    """``docs`` with ``_kept`` (text without common lines), ``_n_lines`` and ``_n_dropped``.
+    """``row`` (all columns of ``docs`` as they are), ``kept`` (the text without common lines),
+    ``n_lines`` and ``n_dropped``.
 
     Each row is a document, repeated rows and rows with a null id included. A null text is one
-    empty line. Empty keys are never common. A text whose lines all go becomes empty. Other columns
-    pass through untouched; names that start with ``_`` are reserved. An empty table stays empty.
+    empty line. Empty keys are never common. A text whose lines all go becomes empty. An empty table
+    stays empty.
 
     What is dropped from a text depends on the text alone, so rows are matched by id and a 128-bit
     hash of the text. That also holds for repeated rows, which get the same answer.
     """
     spark = docs.sparkSession
-    body = whole(F.col(text))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    body = whole(F.col("row")[text])
     lines = F.split(body, "\n", -1)
-    mark = [F.col(ident).alias("_id"), F.xxhash64(body).alias("_t1"),
-            F.xxhash64(F.lit(1), body).alias("_t2")]
+    mark = [F.col("row")[ident].alias("id"), F.xxhash64(body).alias("t1"),
+            F.xxhash64(F.lit(1), body).alias("t2")]
 
     distinct = F.filter(F.array_distinct(_hashes(lines)), lambda h: h.isNotNull())
-    keys = docs.select(
-        F.pmod(F.xxhash64(body), F.lit(batches)).alias("_batch"), F.explode(distinct).alias("_h")
-    ).select("_batch", "_h.*")
+    keys = rows.select(
+        F.pmod(F.xxhash64(body), F.lit(batches)).alias("batch"), F.explode(distinct).alias("h")
+    ).select("batch", "h.*")
     keys = materialise(keys, "line-keys")
     runs = LineRuns(spark, min_docs, fanout)
     for batch in range(batches):
-        runs.add(keys.where(F.col("_batch") == batch).select(*HASH))
+        runs.add(keys.where(F.col("batch") == batch).select(*HASH))
     common = materialise(runs.common(), "line-common")
 
     places = (
-        docs.select(*mark, F.posexplode(_hashes(lines)).alias("_pos", "_h"))
-        .where(F.col("_h").isNotNull())
-        .select("_id", "_t1", "_t2", "_pos", "_h.*")
+        rows.select(*mark, F.posexplode(_hashes(lines)).alias("pos", "h"))
+        .where(F.col("h").isNotNull())
+        .select("id", "t1", "t2", "pos", "h.*")
         .join(common, HASH, "left_semi")
-        .groupBy("_id", "_t1", "_t2")
-        .agg(F.collect_set("_pos").alias("_drop"))
-        .select(F.col("_id").alias("_oid"), F.col("_t1").alias("_o1"), F.col("_t2").alias("_o2"),
-                "_drop")
+        .groupBy("id", "t1", "t2")
+        .agg(F.collect_set("pos").alias("drop"))
+        .toDF("of_id", "of_t1", "of_t2", "drop")
     )
-    marked = docs.withColumns({"_id": mark[0], "_t1": mark[1], "_t2": mark[2]})
-    found = marked.join(
-        places,
-        F.col("_id").eqNullSafe(F.col("_oid"))
-        & (F.col("_t1") == F.col("_o1"))
-        & (F.col("_t2") == F.col("_o2")),
-        "left",
+    same = (
+        F.col("id").eqNullSafe(F.col("of_id"))
+        & (F.col("t1") == F.col("of_t1"))
+        & (F.col("t2") == F.col("of_t2"))
     )
-    found = found.withColumn("_lines", lines)
-    every = F.transform(F.col("_lines"), lambda _, i: i)
+    found = rows.select("row", *mark).join(places, same, "left")
+    found = found.select("row", "drop", body.alias("body"), lines.alias("lines"))
+    every = F.transform(F.col("lines"), lambda _, i: i)
     rest = F.array_join(
         F.transform(
-            F.array_except(every, F.col("_drop")),
-            lambda i: F.get(F.col("_lines"), i),
+            F.array_except(every, F.col("drop")), lambda i: F.get(F.col("lines"), i)
         ),
         "\n",
     )
     return found.select(
-        *docs.columns,
-        F.when(F.col("_drop").isNull(), body).otherwise(rest).alias("_kept"),
-        F.size("_lines").cast("bigint").alias("_n_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).cast("bigint").alias("_n_dropped"),
+        "row",
+        F.when(F.col("drop").isNull(), F.col("body")).otherwise(rest).alias("kept"),
+        F.size("lines").cast("bigint").alias("n_lines"),
+        F.coalesce(F.size("drop"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )

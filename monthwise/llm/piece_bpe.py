@@ -311,7 +311,7 @@ def piece_bpe(path: str) -> PieceBpe:
 
 def encode_and_decode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` with ``_ids`` (array of int) and ``_decoded``, the text that these ids give, instead of
-    its text.
+    its text; other columns pass through, unless they have one of these two names.
 
     Null and empty texts have no ids and decode to an empty text. Rows, repeated ones included, are
     independent of each other.
@@ -323,7 +323,7 @@ def encode_and_decode(docs: DataFrame, model: str, text: str = "text") -> DataFr
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)
                 ids, ends, decoded = [], [0], []
-                for text in part.column("_text").to_pylist():
+                for text in part.column(len(others)).to_pylist():
                     found = codec.encode(text)
                     ids.append(np.array(found, dtype=np.int32))
                     ends.append(ends[-1] + len(found))
@@ -331,18 +331,19 @@ def encode_and_decode(docs: DataFrame, model: str, text: str = "text") -> DataFr
                 lists = pa.ListArray.from_arrays(
                     pa.array(ends, pa.int32()), pa.array(np.concatenate(ids))
                 )
-                kept = [part.column(c) for c in others]
+                kept = part.columns[:-1]
                 yield pa.RecordBatch.from_arrays(
                     [*kept, lists, pa.array(decoded, pa.string())], names=names
                 )
 
-    others = [c for c in docs.columns if c != text]
+    others = [c for c in docs.columns if c not in (text, "_ids", "_decoded")]
     names = [*others, "_ids", "_decoded"]
     schema = StructType(
         [*(docs.schema[c] for c in others), StructField("_ids", ArrayType(IntegerType())),
          StructField("_decoded", StringType())]
     )
-    return docs.select(*others, whole(F.col(text)).alias("_text")).mapInArrow(both, schema)
+    body = max(others, key=len, default="") + "_text"  # no other column has this name
+    return docs.select(*others, whole(F.col(text)).alias(body)).mapInArrow(both, schema)
 
 
 def decode(frame: DataFrame, model: str, ids: str = "_ids") -> DataFrame:

@@ -59,12 +59,9 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.drop_common_lines(
-        _table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10
-    )
-    return kept.select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_common_lines(docs, min_docs=10).select(
+        "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 

@@ -214,16 +214,16 @@ def keep_one_of_each(
     )
     kept = kept.select(F.col("_kid"), F.col("_kfp"))
     once = kept.join(repeated, F.col("_kid").eqNullSafe(F.col("_rid")), "left_anti")
-    rows = docs.join(once, F.col(ident) == F.col("_kid"), "left_semi")
+    all_rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    own = F.col("_row")[ident]
+    rows = all_rows.join(once, own == F.col("_kid"), "left_semi").select("_row.*")
     if repeated.isEmpty():
         return rows
     # Only rows that share their id need their fingerprint again.
-    same = docs.join(repeated, F.col(ident).eqNullSafe(F.col("_rid")), "left_semi")
-    same = with_fingerprints(same, text, shingle).join(
-        kept, F.col(ident).eqNullSafe(F.col("_kid")) & (F.col("_fp") == F.col("_kfp"))
-    )
-    own = F.struct(*docs.columns)
+    same = all_rows.join(repeated, own.eqNullSafe(F.col("_rid")), "left_semi")
+    same = with_fingerprints(same.withColumn("_body", F.col("_row")[text]), "_body", shingle)
+    same = same.join(kept, own.eqNullSafe(F.col("_kid")) & (F.col("_fp") == F.col("_kfp")))
     chosen = same.groupBy("_kid", "_kfp").agg(
-        F.min_by(own, F.xxhash64(whole(F.col(text)))).alias("_row")
+        F.min_by("_row", F.xxhash64(whole(F.col("_body")))).alias("_row")
     )
     return rows.unionAll(chosen.select("_row.*"))

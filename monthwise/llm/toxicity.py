@@ -328,10 +328,10 @@ def fit(
 
 def _calibrate(model: Model, rows) -> None:
     """Fit offset and weights to the labels, drawn to what the classes weigh at first."""
-    x = np.array([[1.0, r["_more"], *r["_values"]] for r in rows]).reshape(len(rows), -1)
-    y = np.array([r["_label"] for r in rows], dtype=float)
-    if not len(y):
+    if not rows:
         return
+    x = np.array([[1.0, r["_more"], *r["_values"]] for r in rows])
+    y = np.array([r["_label"] for r in rows], dtype=float)
     hit = x[:, 2:].any(axis=1)
     unmatched = y[~hit]
     model.share = min(0.49, float((unmatched.sum() + 0.5) / (len(unmatched) + 2)))
