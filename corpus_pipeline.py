@@ -27,11 +27,15 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that ten or more of them share; ``n_chars`` follows."""
-    kept = line_dedup.drop_common_lines(docs, min_docs=10).withColumn("text", F.col("_kept"))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        kept = kept.withColumn("n_chars", F.length("text").cast(kind))
-    return kept.select(*docs.columns)
+    found = line_dedup.without_common_lines(docs, min_docs=10)
+    changed = {"text": F.col("kept"), "n_chars": F.length("kept")}
+    return found.select(
+        *[
+            changed[f.name].cast(f.dataType).alias(f.name) if f.name in changed
+            else F.col("row")[f.name].alias(f.name)
+            for f in docs.schema
+        ]
+    )
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
