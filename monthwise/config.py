@@ -36,11 +36,22 @@ class PipelineConfig:
     sales_col: str = SALES_FIELD
     series: tuple[str, ...] = ()
     trigger: str = "3 seconds"
+    #: Forecast arithmetic of ``serve``: ``compat`` or ``corrected``.
+    mode: str = "compat"
+    #: State partitions of the ``features`` stream. They stay as at its first start.
+    state_partitions: int = 200
+    #: Where ``persist`` moves files that it has read; they stay in place without it.
+    archive_dir: str | None = None
+    #: Most files that ``persist`` takes in one batch.
+    files_per_batch: int = 1000
+    #: Change batches of a keyed table after which they are folded into its base.
+    compact_every: int = 100
 
     @classmethod
     def from_args(cls, argv: Sequence[str]) -> PipelineConfig:
         """Read ``--job-name x --input-topic y ...``; ``-in``, ``-out`` and ``-broker`` are
-        short forms of the topic and broker arguments."""
+        short forms of the topic and broker arguments. ``--config`` names a JSON file for
+        :meth:`from_json`, whose values the other arguments override."""
         short = {"input_topic": "-in", "output_topic": "-out", "brokers": "-broker"}
         also = {"brokers": "--kafka-address"}
         parser = argparse.ArgumentParser(allow_abbrev=False)
@@ -50,11 +61,19 @@ class PipelineConfig:
             if f.name == "series":
                 parser.add_argument(*names, dest=f.name, nargs="*", default=None)
             else:
-                parser.add_argument(*names, dest=f.name, default=None)
+                kind = int if isinstance(f.default, int) else str
+                parser.add_argument(*names, dest=f.name, default=None, type=kind)
+        parser.add_argument("--config", dest="from_file", default=None)
         given = {k: v for k, v in vars(parser.parse_args(list(argv))).items() if v is not None}
         if "series" in given:
             given["series"] = tuple(given["series"])
-        return cls(**given)
+        if given.get("mode", "compat") not in ("compat", "corrected"):
+            parser.error("--mode is compat or corrected")
+        base = cls()
+        if file := given.pop("from_file", None):
+            with open(file, encoding="utf-8") as text:
+                base = cls.from_json(text.read())
+        return replace(base, **given)
 
     @classmethod
     def from_json(cls, text: str, section: str = "lstm-script") -> PipelineConfig:

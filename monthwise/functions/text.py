@@ -46,6 +46,13 @@ def number_text(value: Column) -> Column:
     )
 
 
+def finite_number(text: Column) -> Column:
+    """A decimal number, with or without exponent; null for anything else and beyond doubles."""
+    plain = text.cast("string").rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
+    value = text.try_cast("double")
+    return F.when(plain & (F.abs(value) < float("inf")), value)
+
+
 def window_json(data: Column) -> Column:
     """A feature window as ``{"data":[{"date":"2014-01-01","sales":3278.23}, ...]}``."""
     return F.to_json(F.struct(data.alias("data")))

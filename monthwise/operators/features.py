@@ -30,8 +30,8 @@ def add_difference(monthly: DataFrame, series: Sequence[str] = ()) -> DataFrame:
 
 
 def differences(monthly: DataFrame, series: Sequence[str] = ()) -> DataFrame:
-    """:func:`add_difference` without rows that miss a value."""
-    return add_difference(monthly, series).dropna()
+    """:func:`add_difference` without rows that miss a difference. Null keys are kept."""
+    return add_difference(monthly, series).dropna(subset=["prev_sales", "difference"])
 
 
 def add_lags(monthly: DataFrame, count: int, series: Sequence[str] = ()) -> DataFrame:
@@ -42,8 +42,11 @@ def add_lags(monthly: DataFrame, count: int, series: Sequence[str] = ()) -> Data
 
 
 def lag_matrix(monthly: DataFrame, count: int, series: Sequence[str] = ()) -> DataFrame:
-    """``series..., month, sales, difference, lag_1 .. lag_count``, complete rows only."""
-    return add_lags(monthly, count, series).dropna()
+    """``series..., month, sales, difference, lag_1 .. lag_count``, rows with all of them only.
+
+    Only these computed columns decide; a null series key or carried column loses no row.
+    """
+    return add_lags(monthly, count, series).dropna(subset=["difference", *lag_names(count)])
 
 
 def sliding_windows(

@@ -195,10 +195,12 @@ def _ahead_records() -> Column:
 def forecast_records(windows: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     """``series..., window_end, date, sales, step``: all twelve records of every window.
 
-    ``step`` is 0 for the window's last month, negative before it and 1 to 6 for forecasts.
+    ``step`` is 0 for the window's last month, negative before it and 1 to 6 for forecasts. A
+    series that its scaler has no range for has actual records only.
     """
     records = F.concat(_actual_records(HORIZON), _ahead_records())
-    return windows.select(*series, F.col("month").alias("window_end"), F.inline(records))
+    rows = windows.select(*series, F.col("month").alias("window_end"), F.inline(records))
+    return rows.filter((F.col("step") <= 0) | F.col("sales").isNotNull())
 
 
 def result_table(windows: DataFrame, series: Sequence[str] = ()) -> DataFrame:
@@ -217,7 +219,8 @@ def result_table(windows: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     ahead = F.when(no_gap, F.array().cast(RECORD)).otherwise(_ahead_records())
     records = windows.select(*series, "next_month", F.inline(F.concat(actual, ahead)))
     is_forecast = F.col("step") > 0
-    survives = ~is_forecast | following.isNull() | (F.col("date") < following)
+    open_month = following.isNull() | (F.col("date") < following)
+    survives = ~is_forecast | (open_month & F.col("sales").isNotNull())
     return records.filter(survives).select(
         *series, "date", "sales", is_forecast.alias("is_forecast")
     )

@@ -20,9 +20,12 @@ def exact_sum(value: Column, scale: int) -> Column:
     Each amount becomes a whole number of its smallest unit, whose high and low bits are
     summed apart. Both sums are longs, so they stay in the code-generated hash map, and
     neither overflows below 8e12 rows per group; a plain long sum of cents could at 100 TB.
+    Values that are not finite, or beyond 64 bits of units, count as missing: the parsers set such
+    records aside as bad sales.
     """
     factor = F.lit(float(10**scale))
-    units = F.rint(value * factor).cast("bigint")
+    scaled = F.rint(value * factor)
+    units = F.when(F.abs(scaled) < F.lit(float(2**63)), scaled).cast("bigint")
     high = F.sum(F.shiftright(units, UNIT_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit(2**UNIT_BITS - 1))).cast("decimal(20,0)")
     whole = high * F.lit(2**UNIT_BITS).cast("decimal(8,0)") + low
@@ -87,9 +90,14 @@ def month_mode_day(records: DataFrame, day: str, series: Sequence[str] = ()) ->
     Ties go to the earliest day. Days are counted first, so the second step sees at most 31
     rows per month and no task ever holds a month's records. Count and reversed day are packed
     into one long, which a hash aggregate can take the maximum of; that leaves 41 bits for the
-    count of a day, 2e12 records.
+    count of a day, 2e12 records. A count beyond that fails the job.
     """
-    counted = day_counts(records, day, series)
+    counted = day_counts(records, day, series).withColumn(
+        "records",
+        F.when(F.col("records") < 2 ** (63 - DAY_BITS), F.col("records")).otherwise(
+            F.raise_error(F.lit("a day has more records than 41 bits can count"))
+        ),
+    )
     from_end = F.lit(LAST_DAY_NUMBER).cast("bigint") - F.unix_date("day")
     packed = F.shiftleft("records", DAY_BITS) + from_end
     best = counted.groupBy(*series, month_of(F.col("day")).alias("month")).agg(

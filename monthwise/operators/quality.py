@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from monthwise.config import DATE_FIELD, DAY_PATTERN, SALES_FIELD, WINDOW_MONTHS
 from monthwise.functions.calendar import parse_day, parse_message_day
-from monthwise.functions.text import window_data
+from monthwise.functions.text import finite_number, window_data
 
 REASON = "reason"
 
@@ -24,18 +24,24 @@ def _parsed_once(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*kept, F.inline(F.array(F.struct(*columns))))
 
 
-def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
+def parse_messages(
+    messages: DataFrame,
+    value: str = "value",
+    date_field: str = DATE_FIELD,
+    sales_field: str = SALES_FIELD,
+) -> DataFrame:
     """Take ``day``, ``sales`` and ``reason`` out of ``{"payload": {...}}`` messages.
 
-    ``reason`` is null for usable records and otherwise says what is wrong.
+    ``reason`` is null for usable records and otherwise says what is wrong. Sales must be a finite
+    decimal number.
     """
-    date, sales = f"payload.`{DATE_FIELD}`", f"payload.`{SALES_FIELD}`"
-    schema = f"payload struct<`{DATE_FIELD}`:string,`{SALES_FIELD}`:string>"
+    date, sales = f"payload.`{date_field}`", f"payload.`{sales_field}`"
+    schema = f"payload struct<`{date_field}`:string,`{sales_field}`:string>"
     parsed = messages.withColumn("payload", F.from_json(F.col(value), schema)["payload"])
     typed = parsed.withColumns(
         {
             "day": parse_message_day(F.col(date)),
-            "sales": F.col(sales).try_cast("double"),
+            "sales": finite_number(F.col(sales)),
         }
     )
     reason = (
@@ -77,7 +83,7 @@ def type_records(
     typed = records.withColumns(
         {
             "day": parse_day(F.col(f"`{date}`"), patterns),
-            "amount": F.col(f"`{sales}`").try_cast("double"),
+            "amount": finite_number(F.col(f"`{sales}`")),
         }
     )
     malformed: Column = F.col(corrupt).isNotNull() if corrupt else F.lit(False)

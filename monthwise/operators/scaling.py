@@ -110,7 +110,9 @@ class MinMaxScaler:
 class SeriesScaler:
     """Fitted ranges per series, kept as a table and joined on the series key.
 
-    Both sides are partitioned by series already when the rows come out of a month window.
+    A null key is a key like any other. Rows of a series without a range stay: what is scaled by it
+    is null, and :meth:`refused` names the series. Without series there is one range, two numbers per
+    column, that is carried as literals.
     """
 
     def __init__(self, params: DataFrame, columns: Sequence[str], series: Sequence[str]):
@@ -130,7 +132,22 @@ class SeriesScaler:
         return cls(min_max_params(rows, columns, series), columns, series)
 
     def attach(self, rows: DataFrame) -> DataFrame:
-        return rows.join(self.wide, self.series)
+        if not self.series:
+            only = self.wide.first()
+            return rows.withColumns({c: F.lit(only[c]).cast("double") for c in self.added})
+        wide = self.wide.toDF(*[f"of_{c}" for c in self.series], *self.added)
+        same = F.lit(True)
+        for c in self.series:
+            same = same & rows[c].eqNullSafe(wide[f"of_{c}"])
+        return rows.join(wide, same, "left").drop(*[f"of_{c}" for c in self.series])
+
+    def refused(self, rows: DataFrame) -> DataFrame:
+        """``series..., reason``: the series of ``rows`` that have no complete range."""
+        missing = F.lit(False)
+        for c in self.added:
+            missing = missing | F.col(c).isNull()
+        found = self.attach(rows.select(*self.series).distinct()).filter(missing)
+        return found.select(*self.series, F.lit("no range for this series").alias("reason"))
 
     def scale(self, x: Column, column: str) -> Column:
         return scale(x, F.col(f"low_{column}"), F.col(f"high_{column}"))

@@ -7,6 +7,7 @@ from monthwise.plans import (  # noqa: F401
     model_queries,
     monthly_queries,
     replay_queries,
+    source_queries,
     stream_queries,
 )
 from monthwise.plans.registry import ORACLES, QUERIES

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from monthwise.config import SERVE_LAGS, TRAIN_LAGS
 from monthwise.operators import features as ft
 from monthwise.operators import scaling as sc
+from monthwise.operators.forecast import forecast_records, forecast_windows
 from monthwise.operators.latest import latest_per_key
+from monthwise.operators.models import oldest_feature
 from monthwise.operators.monthly import monthly_totals
 from monthwise.plans.monthly_queries import NATION_SQL, nation_months
 from monthwise.plans.registry import LINES_SQL, ORDERS_SQL, lineitem, months_sql, orders, query
@@ -261,7 +263,7 @@ def minmax_scaled(spark, sf_dir):
 @query(
     "minmax_inverse",
     f"WITH {PRIORITY_SPLIT_SQL} SELECT o_orderpriority, month, is_test, "
-    "round(difference, 4) AS difference, round(lag_11, 4) AS lag_11 FROM split",
+    + ", ".join(f"round({c}, 4) AS {c}" for c in TRAIN_COLUMNS) + " FROM split",
 )
 def minmax_inverse(spark, sf_dir):
     rows = split_rows(spark, sf_dir)
@@ -272,6 +274,46 @@ def minmax_inverse(spark, sf_dir):
         scaled = scaler.scale(F.col(column), column)
         return F.round(scaler.unscale(scaled, column), 4).alias(column)
 
-    return bound.select(
-        *PRIORITY, "month", "is_test", back_and_forth("difference"), back_and_forth("lag_11")
+    return bound.select(*PRIORITY, "month", "is_test", *map(back_and_forth, TRAIN_COLUMNS))
+
+
+NULL_SERIES_SQL = f"""{ORDERS_SQL},
+keyed AS (SELECT *, CASE WHEN o_orderpriority LIKE '5%' THEN NULL ELSE o_orderpriority END AS kind
+          FROM orders_in),
+{months_sql('keyed', 'kind').strip()}"""
+
+
+@query(
+    "lag_matrix_null_series",
+    f"WITH {NULL_SERIES_SQL}, {lags_sql('kind', TRAIN_LAGS)} "
+    f"SELECT kind, month, sales, {lag_columns(TRAIN_LAGS)} FROM lags",
+)
+def lag_matrix_null_series(spark, sf_dir):
+    """A series without a name is a series."""
+    kind = F.when(~F.col("o_orderpriority").startswith("5"), F.col("o_orderpriority"))
+    records = orders(spark, sf_dir).withColumn("kind", kind)
+    monthly = monthly_totals(records, "day", "sales", ["kind"], scale=2)
+    return ft.lag_matrix(monthly, TRAIN_LAGS, ["kind"])
+
+
+@query(
+    "forecast_series_scaled",
+    f"""WITH {PRIORITY_SQL}, counted AS (
+      SELECT o_orderpriority, greatest(count(*) - 16, 0) AS windows FROM months GROUP BY ALL)
+    SELECT o_orderpriority,
+      CAST(CASE WHEN o_orderpriority[1:1] IN ('2', '4') THEN 0 ELSE windows * 6 END AS BIGINT)
+        AS forecasts,
+      CASE WHEN o_orderpriority[1:1] IN ('2', '4') THEN 'no range for this series' END AS reason
+    FROM counted""",
+)
+def forecast_series_scaled(spark, sf_dir):
+    """Two of five series are new since training: they are refused by name, the others forecast."""
+    monthly = priority_months(spark, sf_dir)
+    known = ~F.substring("o_orderpriority", 1, 1).isin("2", "4")
+    train = split_rows(spark, sf_dir).filter(~F.col("is_test") & known)
+    scaler = sc.SeriesScaler.fit(train, TRAIN_COLUMNS, PRIORITY)
+    windows = forecast_windows(monthly, oldest_feature(), "corrected", PRIORITY, scaler)
+    made = forecast_records(windows, PRIORITY).groupBy(*PRIORITY).agg(
+        F.count_if(F.col("step") > 0).alias("forecasts")
     )
+    return made.join(scaler.refused(monthly), PRIORITY, "left")

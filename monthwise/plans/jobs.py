@@ -6,6 +6,10 @@
 ``results``   forecast messages to the keyed result table
 ``train``     a CSV to a saved scaler and model
 ``export``    the result table to one sorted CSV
+
+The topic and result jobs work on one total series; with ``--series`` they refuse to start, only
+``train`` pools the rows of several. What a job can't use is kept with a reason: messages and windows
+in ``rejected`` below the job's folder, lines and files of ``persist`` in its table and ``quarantine``.
 """
 
 from __future__ import annotations
@@ -17,21 +21,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from monthwise.config import DATE_FIELD, DAY_PATTERN, SALES_FIELD, PipelineConfig
+from monthwise.config import DAY_PATTERN, PipelineConfig
 from monthwise.functions.text import forecast_payload
 from monthwise.operators.forecast import Mode, Scaler, forecast_each, forecast_records
 from monthwise.operators.models import Scorer
 from monthwise.operators.quality import (
-    REASON, dead_letters, good_records, parse_messages, parse_windows, type_records,
+    REASON, dead_letters, good_records, parse_messages, parse_windows,
 )
 from monthwise.plans.training import TrainedForecaster, evaluate, train_from_csv
 from monthwise.session import build_session, shared_dir, state_session
+from monthwise.sinks.batch_log import BatchLog
 from monthwise.sinks.export import export_csv
 from monthwise.sinks.keyed_table import KeyedTable
 from monthwise.sinks.topics import forecast_values, stream_to_topic, window_values, write_topic
-from monthwise.sources.dropdir import MALFORMED, header_schema, stream_csv
+from monthwise.sources.dropdir import stream_files
 from monthwise.sources.topics import stream_topic
-from monthwise.streaming.jobs import PersistJob, WindowJob, run_batches
+from monthwise.streaming.jobs import CsvPersistJob, WindowJob, run_batches
 from monthwise.streaming.months import closed_month_stream
 
 
@@ -39,6 +44,17 @@ def job_root(spark: SparkSession, config: PipelineConfig, job: str) -> str:
     return f"{shared_dir(spark)}/{config.job_name}/{job}"
 
 
+def one_series(config: PipelineConfig) -> None:
+    if config.series:
+        raise ValueError("this job works on one total series; run it without --series")
+
+
+def keep_rejected(refused: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
+    """Write a stream of dead letters to ``rejected`` below ``root``."""
+    log = BatchLog(refused.sparkSession, f"{root}/rejected")
+    return run_batches(refused, log.write, f"{root}/rejected-checkpoint", every)
+
+
 def served(
     messages: DataFrame, scorer: Scorer, mode: Mode, scaler: Scaler | None = None
 ) -> DataFrame:
@@ -60,34 +76,60 @@ def result_rows(messages: DataFrame) -> DataFrame:
 
 
 def results_table(spark: SparkSession, config: PipelineConfig) -> KeyedTable:
-    return KeyedTable(spark, job_root(spark, config, "results") + "/table", ["date"], ["seq"])
+    one_series(config)
+    root = job_root(spark, config, "results") + "/table"
+    return KeyedTable(spark, root, ["date"], ["seq"], compact_every=config.compact_every)
 
 
 def features(spark: SparkSession, config: PipelineConfig) -> None:
     def write(windows: DataFrame, batch_id: int) -> None:
         write_topic(window_values(windows), config)
 
-    job = WindowJob(spark, job_root(spark, config, "features"), write)
-    good = good_records(parse_messages(stream_topic(state_session(spark), config))).select("day", "sales")
-    job.start(closed_month_stream(good), every=config.trigger).awaitTermination()
-
-
-def serve(spark: SparkSession, config: PipelineConfig, mode: Mode = "compat") -> None:
+    one_series(config)
+    root = job_root(spark, config, "features")
+    job = WindowJob(spark, root, write)
+    session = state_session(spark, config.state_partitions)
+    fields = {"date_field": config.date_col, "sales_field": config.sales_col}
+    good = good_records(parse_messages(stream_topic(session, config), **fields))
+    job.start(closed_month_stream(good.select("day", "sales")), every=config.trigger)
+    refused = dead_letters(parse_messages(stream_topic(spark, config), **fields))
+    keep_rejected(refused, root, config.trigger)
+    wait_for_any(spark, session)
+
+
+def wait_for_any(*sessions: SparkSession) -> None:
+    """Until one of the started streams ends; if it failed, its error is raised."""
+    queries = [q for session in sessions for q in session.streams.active]
+    while all(q.isActive for q in queries):
+        queries[0].awaitTermination(5)
+    for q in queries:
+        if not q.isActive:
+            q.awaitTermination()
+
+
+def serve(spark: SparkSession, config: PipelineConfig, mode: Mode | None = None) -> None:
+    one_series(config)
     trained = TrainedForecaster.load(spark, job_root(spark, config, "train"))
     messages = stream_topic(spark, config, topic=config.output_topic, from_start=True)
-    rows = served(messages, trained.scorer, mode, trained.scaler)
-    checkpoint = job_root(spark, config, "serve") + "/checkpoint"
+    rows = served(messages, trained.scorer, mode or config.mode, trained.scaler)
+    root = job_root(spark, config, "serve")
     stream_to_topic(
-        forecast_values(rows), config, checkpoint, config.result_topic
-    ).start().awaitTermination()
+        forecast_values(rows), config, f"{root}/checkpoint", config.result_topic
+    ).start()
+    keep_rejected(refused_windows(messages), root, config.trigger)
+    wait_for_any(spark)
 
 
 def persist(spark: SparkSession, config: PipelineConfig) -> None:
-    schema = header_schema(spark, config.data_path)
-    rows = stream_csv(spark, config.data_path, schema)
-    checked = type_records(rows, DATE_FIELD, SALES_FIELD, corrupt=MALFORMED, sales_required=True)
-    job = PersistJob(spark, job_root(spark, config, "persist"), schema.names)
-    job.start(checked, every=config.trigger).awaitTermination()
+    """Records are kept as they are; date and sales are only checked where they are forecast from."""
+    files = stream_files(
+        spark, config.data_path, archive_dir=config.archive_dir,
+        files_per_batch=config.files_per_batch,
+    )
+    job = CsvPersistJob(
+        spark, job_root(spark, config, "persist"), compact_every=config.compact_every
+    )
+    job.start(files, every=config.trigger).awaitTermination()
 
 
 def results(spark: SparkSession, config: PipelineConfig) -> None:
@@ -104,7 +146,10 @@ def train(spark: SparkSession, config: PipelineConfig) -> None:
 
 
 def export(spark: SparkSession, config: PipelineConfig) -> None:
-    rows = results_table(spark, config).read().select("date", "sales")
+    rows = results_table(spark, config).read()
+    if rows is None:
+        raise ValueError("there are no results to export yet")
+    rows = rows.select("date", "sales")  # one row a month
     export_csv(rows, job_root(spark, config, "export"), single=True)
 
 

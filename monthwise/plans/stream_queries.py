@@ -21,6 +21,7 @@ from monthwise.streaming.jobs import ForecastJob, PersistJob, run_batches
 from monthwise.streaming.months import closed_month_stream
 
 PRIORITY = ["o_orderpriority"]
+STATE_PARTITIONS = 8  # the state is one sum for each of five priorities and open month
 
 SETTLED_SQL = f"""
 {ORDERS_SQL},
@@ -30,7 +31,9 @@ settled_in AS (
 
 
 def order_stream(spark, sf_dir):
-    return stream_table(state_session(spark), sf_dir, "orders").select(
+    return stream_table(
+        state_session(spark, STATE_PARTITIONS), sf_dir, "orders"
+    ).select(
         "o_orderkey",
         *PRIORITY,
         F.col("o_orderdate").cast("date").alias("day"),

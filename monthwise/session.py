@@ -45,17 +45,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def state_session(spark: SparkSession) -> SparkSession:
-    """A sister session for streams, with no more state partitions than the cluster has cores.
+def state_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A sister session for streams with this many state partitions.
 
-    A stateful query keeps the partition count of its first start and opens one state store per
-    partition and batch, so the count should follow the state (a sum per series and open month)
-    and not the volume that batch shuffles are set up for.
+    A stateful query keeps the partition count of its first start for good and opens one state
+    store per partition and batch. So the count is stated by the caller and should follow the state:
+    a sum per series and open month, or a hash per record where redelivered records are dropped. It
+    never depends on the machines that happen to be there.
     """
+    if partitions < 1:
+        raise ValueError("at least one state partition")
     sister = spark.newSession()
-    planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    sister.conf.set("spark.sql.shuffle.partitions", str(min(planned, cores)))
+    sister.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return sister
 
 

@@ -12,8 +12,9 @@ BATCH = "batch_id"
 class BatchLog:
     """Rows written under the id of the batch that produced them.
 
-    Writing a batch again replaces it, which makes replays harmless. A batch counts once its
-    directory has Spark's ``_SUCCESS`` marker, so a batch cut short by a lost driver is unseen.
+    A complete batch is never written again, so a replay changes nothing and readers never see its
+    rows vanish. A batch counts once its directory has Spark's ``_SUCCESS`` marker, so a batch cut
+    short by a lost driver is unseen and written anew.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -23,14 +24,29 @@ class BatchLog:
         return f"{self.root}/{BATCH}={batch_id}"
 
     def write(self, df: DataFrame, batch_id: int, sort: Sequence[str] = ()) -> None:
+        if self.has(batch_id):
+            return
         if sort:
             df = df.sortWithinPartitions(*sort)
         df.write.mode("overwrite").parquet(self.path(batch_id))
 
+    def _files(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def has(self, batch_id: int) -> bool:
+        """Whether a batch is complete."""
+        marker, files = self._files(f"{self.path(batch_id)}/_SUCCESS")
+        return files.exists(marker)
+
+    def drop(self, batch_id: int) -> None:
+        """Remove a batch that nothing reads any more."""
+        path, files = self._files(self.path(batch_id))
+        files.delete(path, True)
+
     def committed(self) -> list[int]:
         """Ids of complete batches in order, from a listing of marker files."""
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{BATCH}=*/_SUCCESS")
-        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        pattern, files = self._files(f"{self.root}/{BATCH}=*/_SUCCESS")
         found = files.globStatus(pattern)
         names = [status.getPath().getParent().getName() for status in found or []]
         return sorted(int(name.split("=", 1)[1]) for name in names)

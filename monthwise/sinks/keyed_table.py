@@ -20,7 +20,11 @@ class KeyedTable:
 
     An upsert is one pass over its batch without a shuffle, however large the table is, and
     replaying a batch id changes nothing. :meth:`compact` folds the batches so far into a base,
-    so that reads stay cheap. The first upsert creates the table, new columns widen it.
+    so that reads stay cheap; with ``compact_every`` an upsert does so once that many batches have
+    come together. Then the batches that the base before had folded, and older bases, are removed, so
+    the number of directories is bounded and a reader of the last base loses nothing. Batches with
+    dead letters move to ``rejected`` when folded. The first upsert creates the table, new columns
+    widen it.
 
     Rows that carry a ``reason``, and rows without a key, are kept as dead letters.
 
@@ -35,20 +39,33 @@ class KeyedTable:
         keys: Sequence[str],
         order: Sequence[str] = (),
         merge_columns: bool = False,
+        compact_every: int | None = None,
     ):
         self.keys, self.rank = list(keys), [BATCH, *order]
         self.merge_columns = merge_columns
         self.changes = BatchLog(spark, f"{root}/changes")
         self.base = BatchLog(spark, f"{root}/base")
+        self.refused = BatchLog(spark, f"{root}/rejected")
+        self.compact_every = compact_every
 
     def upsert(self, df: DataFrame, batch_id: int) -> None:
-        """Write one batch; its keys need not be unique if ``order`` tells them apart."""
+        """Write one batch; its keys need not be unique if ``order`` tells them apart.
+
+        A batch that a base holds already is not written again.
+        """
+        bases = self.base.committed()
+        if bases and batch_id <= bases[-1]:
+            return
         reasons = [F.when(F.col(k).isNull(), f"no {k}") for k in self.keys]
         if REASON in df.columns:
             reasons.insert(0, F.col(REASON))
         columns = [c for c in df.columns if c != REASON]
         df = df.withColumn(REASON, F.coalesce(*reasons).cast("string"))
         self.changes.write(self._with_columns_set(df, columns), batch_id)
+        if self.compact_every:
+            open_batches = [i for i in self.changes.committed() if not bases or i > bases[-1]]
+            if len(open_batches) >= self.compact_every:
+                self.compact()
 
     def read(self) -> DataFrame | None:
         """Current rows; None before the first upsert."""
@@ -57,15 +74,32 @@ class KeyedTable:
 
     def rejected(self) -> DataFrame | None:
         """Dead letters with reason and batch id."""
-        changes = self.changes.read()
-        return None if changes is None else dead_letters(changes).drop(COLUMNS_SET)
+        done = self.refused.committed()
+        old = self.refused.read()
+        changes = self.changes.read(above=done[-1] if done else None)
+        new = None if changes is None else dead_letters(changes).drop(COLUMNS_SET)
+        if old is None or new is None:
+            return new if old is None else _own_batch(old)
+        return _own_batch(old).unionByName(new, allowMissingColumns=True)
 
     def compact(self) -> None:
         """Fold all complete batches into a new base. Readers use it once it is complete."""
         ids = self.changes.committed()
         if ids and (not self.base.committed() or self.base.committed()[-1] < ids[-1]):
+            kept = self.refused.committed()
+            letters = dead_letters(self.changes.read(above=kept[-1] if kept else None))
+            # Every fold adds its own dead letters; each row tells its batch, the directory the fold.
+            letters = letters.drop(COLUMNS_SET).withColumnRenamed(BATCH, "folded")
+            self.refused.write(letters, ids[-1])
             resolved = self._resolved().drop(BATCH, COLUMNS_SET)
             self.base.write(self._with_columns_set(resolved, resolved.columns), ids[-1])
+            bases = self.base.committed()
+            if len(bases) > 1:
+                for old in bases[:-2]:
+                    self.base.drop(old)
+                for folded in ids:
+                    if folded <= bases[-2]:
+                        self.changes.drop(folded)
 
     def _with_columns_set(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
         if not self.merge_columns:
@@ -111,3 +145,7 @@ class KeyedTable:
         return rows.groupBy(*self.keys).agg(*latest).select(
             *self.keys, *[F.col(c)["v"].alias(c) for c in names]
         )
+
+
+def _own_batch(letters: DataFrame) -> DataFrame:
+    return letters.drop(BATCH).withColumnRenamed("folded", BATCH)

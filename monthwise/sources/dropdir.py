@@ -6,6 +6,7 @@ the job, and every row carries the file it came from in ``source_file``.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthwise.config import FILE_GLOB
+from monthwise.functions.text import record_key
 
 MALFORMED = "malformed"
 SOURCE_FILE = "source_file"
@@ -45,6 +47,116 @@ def header_schema(spark: SparkSession, path: str, **options: str) -> T.StructTyp
     return spark.read.options(**csv_options(**options)).csv(path).schema
 
 
+def list_files(spark: SparkSession, path: str, glob: str = FILE_GLOB) -> list[str]:
+    """The files of a directory that fit ``glob``, or the one file."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    status = files.getFileStatus(where)
+    if not status.isDirectory():
+        return [status.getPath().toString()]
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(where, glob)) or []
+    return sorted(s.getPath().toString() for s in found if s.isFile())
+
+
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(conf).open(where)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+        source = codec.createInputStream(stream) if codec else stream
+        decoder = jvm.java.nio.charset.Charset.forName(encoding).newDecoder()
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, decoder)).readLine()
+    finally:
+        stream.close()
+
+
+def file_headers(
+    spark: SparkSession, paths: Sequence[str], sep: str = COMMA, encoding: str = "UTF-8"
+) -> tuple[dict[tuple[str, ...], list[str]], dict[str, str]]:
+    """Files by header, and unreadable files with the reason. Reads the first line of each file."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    refused: dict[str, str] = {}
+    for path in paths:
+        try:
+            line = _first_line(spark, path, encoding)
+        except Exception as problem:  # whatever the file system or the decoder says
+            refused[path] = "unreadable file: " + str(problem).strip().splitlines()[-1][:200]
+            continue
+        names = next(csv.reader([(line or "").lstrip("\ufeff")], delimiter=sep), [])
+        if not any(names):
+            refused[path] = "no header"
+        elif len(set(names)) < len(names):
+            refused[path] = "repeated column name"
+        else:
+            groups.setdefault(tuple(names), []).append(path)
+    return groups, refused
+
+
+def read_csv_files(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: T.StructType | None = None,
+    sep: str = COMMA,
+    encoding: str = "UTF-8",
+    key: str | None = None,
+) -> tuple[DataFrame | None, dict[str, str]]:
+    """Rows of files whose columns come in any order and number, matched by name; and the files
+    that can't be read, with the reason.
+
+    Each header is read with a schema of its own. Without ``schema`` the columns are those of all
+    files, as strings; with one, exactly its columns, in its types. A column that a file lacks is
+    null there; if it lacks all of them, its lines are malformed. ``key`` adds the hash of the columns that the own file has. None instead of rows if no
+    file can be read.
+    """
+    groups, refused = file_headers(spark, paths, sep, encoding)
+    declared = {f.name: f for f in schema.fields} if schema else {}
+    rows = None
+    for names, files in sorted(groups.items()):
+        own = T.StructType([declared.get(n, T.StructField(n, T.StringType())) for n in names])
+        options = csv_options(sep, encoding) | {"pathGlobFilter": "*"}
+        if declared and not declared.keys() & set(names):
+            # Nothing of the file can be used, so all its lines are misfits.
+            options |= {"sep": "\u0001", "quote": ""}
+            part = _with_file(spark.read.schema(f"{MALFORMED} string").options(
+                **{k: v for k, v in options.items() if k != "columnNameOfCorruptRecord"}
+            ).csv(files))
+            names = (MALFORMED,)
+        else:
+            part = _with_file(
+                spark.read.schema(with_malformed(own)).options(**options).csv(files)
+            )
+        if key:
+            part = part.withColumn(key, record_key(part, names))
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    if rows is not None and schema:
+        have = rows.columns
+        rows = rows.select(
+            *[F.col(f"`{n}`") if n in have else F.lit(None).cast(f.dataType).alias(n)
+              for n, f in declared.items() if n not in (MALFORMED, SOURCE_FILE)],
+            MALFORMED, SOURCE_FILE, *([key] if key else []),
+        )
+    return rows, refused
+
+
+def refused_files(spark: SparkSession, refused: dict[str, str]) -> DataFrame:
+    """``source_file, reason`` of unreadable files."""
+    return spark.createDataFrame(sorted(refused.items()), f"{SOURCE_FILE} string, reason string")
+
+
+def stream_files(
+    spark: SparkSession,
+    path: str,
+    glob: str = FILE_GLOB,
+    archive_dir: str | None = None,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """``path`` of each new file once, without reading it. The directory may still be empty."""
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob)
+    return reader.options(**file_stream_options(archive_dir, files_per_batch)).load(path).select("path")
+
+
 def with_malformed(schema: T.StructType) -> T.StructType:
     if MALFORMED in schema.names:
         return schema
@@ -58,10 +170,15 @@ def _with_file(df: DataFrame) -> DataFrame:
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, **options: str
 ) -> DataFrame:
-    """All matching files of a directory, or one file. Without ``schema`` the header decides
-    and all columns are strings; with one, fields are converted to its types."""
-    schema = with_malformed(schema or header_schema(spark, path, **options))
-    return _with_file(spark.read.schema(schema).options(**csv_options(**options)).csv(path))
+    """All matching files of a directory, or one file, their columns matched by name as in
+    :func:`read_csv_files`. Fails on files that can't be read; that function lists them instead."""
+    glob = options.pop("glob", FILE_GLOB)
+    rows, refused = read_csv_files(spark, list_files(spark, path, glob), schema, **options)
+    if refused:
+        raise ValueError(f"files that can't be read: {refused}")
+    if rows is None:
+        raise ValueError(f"no file in {path} fits {glob}")
+    return rows
 
 
 def stream_csv(

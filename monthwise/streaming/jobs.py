@@ -21,6 +21,7 @@ from monthwise.operators.models import Scorer
 from monthwise.operators.quality import REASON
 from monthwise.sinks.batch_log import BATCH, BatchLog
 from monthwise.sinks.keyed_table import KeyedTable
+from monthwise.sources.dropdir import MALFORMED, SOURCE_FILE, read_csv_files, refused_files
 
 
 def run_batches(
@@ -130,22 +131,91 @@ class PersistJob:
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, columns: Sequence[str], key: str = "postgres_pk"
+        self,
+        spark: SparkSession,
+        root: str,
+        columns: Sequence[str],
+        key: str = "postgres_pk",
+        compact_every: int | None = None,
     ):
         self.columns, self.key = list(columns), key
         self.checkpoint = f"{root}/checkpoint"
-        self.table = KeyedTable(spark, f"{root}/table", [key])
+        self.table = KeyedTable(spark, f"{root}/table", [key], compact_every=compact_every)
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         self.table.upsert(batch.withColumn(self.key, record_key(batch, self.columns)), batch_id)
 
-    def records(self) -> DataFrame:
-        return self.table.read().select(self.key, *self.columns)
+    def records(self) -> DataFrame | None:
+        """Current records; None before the first batch."""
+        rows = self.table.read()
+        return None if rows is None else rows.select(self.key, *self.columns)
 
-    def rejected(self) -> DataFrame:
+    def rejected(self) -> DataFrame | None:
         return self.table.rejected()
 
     def start(self, checked: DataFrame, every: str | None = None) -> StreamingQuery:
         if REASON not in checked.columns:
             raise ValueError("records must have gone through type_records or parse_messages")
         return run_batches(checked, self.handle, self.checkpoint, every)
+
+
+class CsvPersistJob:
+    """New CSV files in, keyed raw table out, with lists of refused lines and files.
+
+    Files are matched by column name. A record is kept as it was written; only a line that doesn't
+    fit the header of its file is a dead letter. Its key is the hash of the columns of its file in the
+    order of their names, so it depends neither on their order nor on files read beside it. A file that can't be read, or breaks
+    off, goes to ``quarantine`` with the reason and doesn't hold up the others.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        key: str = "postgres_pk",
+        compact_every: int | None = None,
+        **options: str,
+    ):
+        self.spark, self.key, self.options = spark, key, options
+        self.checkpoint = f"{root}/checkpoint"
+        self.table = KeyedTable(spark, f"{root}/table", [key], compact_every=compact_every)
+        self.quarantine = BatchLog(spark, f"{root}/quarantine")
+
+    def handle(self, files: DataFrame, batch_id: int) -> None:
+        """``files``: the paths of one batch, as many as the stream was told to take at most."""
+        paths = [row["path"] for row in files.collect()]
+        try:
+            refused = self._persist(paths, batch_id)
+        except Exception:
+            # Some file breaks off: find out which by reading each alone.
+            broken = {p: r for p in paths if (r := self._broken(p))}
+            if not broken:
+                raise
+            refused = self._persist([p for p in paths if p not in broken], batch_id) | broken
+        if refused:
+            self.quarantine.write(refused_files(self.spark, refused), batch_id)
+
+    def _persist(self, paths: list[str], batch_id: int) -> dict[str, str]:
+        rows, refused = read_csv_files(self.spark, paths, key=self.key, **self.options)
+        if rows is not None:
+            reason = F.when(F.col(MALFORMED).isNotNull(), "malformed line")
+            self.table.upsert(rows.withColumn(REASON, reason), batch_id)
+        return refused
+
+    def _broken(self, path: str) -> str | None:
+        try:
+            self.spark.read.text(path).write.format("noop").mode("overwrite").save()
+        except Exception as problem:
+            return "unreadable file: " + str(problem).strip().splitlines()[0][:200]
+        return None
+
+    def records(self) -> DataFrame | None:
+        """Current records; None before the first batch."""
+        rows = self.table.read()
+        return None if rows is None else rows.drop(MALFORMED, SOURCE_FILE)
+
+    def rejected(self) -> DataFrame | None:
+        return self.table.rejected()
+
+    def start(self, files: DataFrame, every: str | None = None) -> StreamingQuery:
+        return run_batches(files, self.handle, self.checkpoint, every)

@@ -12,7 +12,8 @@ from monthwise.operators import replay as rp
 from monthwise.operators import scaling as sc
 from monthwise.operators.forecast import forecast_records, forecast_windows, result_table
 from monthwise.operators.latest import latest_per_key
-from monthwise.operators.monthly import fill_gaps, month_mode_day, monthly_totals
+from monthwise.functions.text import finite_number
+from monthwise.operators.monthly import exact_sum, fill_gaps, month_mode_day, monthly_totals
 from tests import simulate as sim
 
 NAN = float("nan")
@@ -338,3 +339,31 @@ def test_monthly_aggregate_takes_user_defined_aggregates(spark):
     df = spark.createDataFrame(rows, "day date, x double")
     got = monthly_aggregate(df, "day", middle=middle(F.col("x"))).orderBy("month").collect()
     assert [tuple(r) for r in got] == [(dt.date(2014, 1, 1), 2.0), (dt.date(2014, 2, 1), 4.0)]
+
+
+def test_null_and_new_series_are_kept_or_named(spark):
+    months = [(s, dt.date(2020 + m // 12, m % 12 + 1, 1), float(m * m + k))
+              for k, s in enumerate(["a", "b", None]) for m in range(30)]
+    monthly = spark.createDataFrame(months, "s string, month date, sales double")
+    matrix = ft.lag_matrix(monthly, 3, ["s"])
+    assert {r["s"] for r in matrix.collect()} == {"a", "b", None}
+    columns = ["difference", *ft.lag_names(3)]
+    scaler = sc.SeriesScaler.fit(matrix.filter("s is null or s = 'a'"), columns, ["s"])
+    assert scaler.attach(matrix).count() == matrix.count()
+    assert [tuple(r) for r in scaler.refused(matrix).collect()] == [("b", "no range for this series")]
+    alone = sc.SeriesScaler.fit(matrix, columns, [])
+    scaled = alone.attach(matrix).select(alone.scale(F.col("difference"), "difference").alias("x"))
+    assert scaled.agg(F.min("x"), F.max("x")).first() == (-1.0, 1.0)
+
+
+def test_sums_survive_what_is_not_finite(spark):
+    values = [(1.25,), (float("nan"),), (float("inf"),), (-float("inf"),), (1e300,), (None,), (2.5,)]
+    frame = spark.createDataFrame(values, "v double")
+    assert frame.agg(exact_sum(F.col("v"), 2)).first()[0] == 3.75
+
+
+def test_only_finite_decimal_numbers_are_numbers(spark):
+    texts = ["1", " -1.5e3 ", ".5", "5.", "NaN", "Infinity", "1d", "1f", "", "0x1", "1e999", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in frame.select(finite_number(F.col("t"))).collect()]
+    assert got == [1.0, -1500.0, 0.5, 5.0, *[None] * 8]

@@ -19,7 +19,7 @@ def content(table):
     return sorted(tuple(r) for r in table.read().collect())
 
 
-def test_batch_log_replaces_a_batch_and_hides_unfinished_ones(spark, tmp_path):
+def test_batch_log_writes_a_batch_once_and_hides_unfinished_ones(spark, tmp_path):
     log = BatchLog(spark, str(tmp_path / "log"))
     assert log.committed() == [] and log.read() is None
     log.write(spark.range(3), 0)
@@ -29,7 +29,7 @@ def test_batch_log_replaces_a_batch_and_hides_unfinished_ones(spark, tmp_path):
     assert log.committed() == [0, 2, 10]
     (tmp_path / "log" / "batch_id=2" / "_SUCCESS").rename(tmp_path / "moved")
     assert log.committed() == [0, 10]
-    assert log.read().count() == 8 and log.read(below=10).count() == 3
+    assert log.read().count() == 6 and log.read(below=10).count() == 3
     assert log.read(above=10) is None
 
 
@@ -150,3 +150,37 @@ def test_reading_after_compaction_does_not_shuffle_the_base(spark, tmp_path):
     assert result.count() == 1000 and result.filter("a = -1").count() == 5
     text = result._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "LeftAnti" in text and "SortMergeJoin" not in text
+
+
+def test_fifty_upserts_leave_few_directories(spark, tmp_path):
+    target = KeyedTable(spark, str(tmp_path / "t"), ["k"], compact_every=8)
+    for batch in range(50):
+        rows = [(batch % 7, batch, None), (100 + batch, batch, None), (None, batch, None), (1, 0, "bad")]
+        target.upsert(spark.createDataFrame(rows, "k int, v int, reason string"), batch)
+    target.upsert(spark.createDataFrame([(0, -1)], "k int, v int"), 3)  # replayed
+    want = {k: max(b for b in range(50) if b % 7 == k) for k in range(7)} | {100 + b: b for b in range(50)}
+    assert {r["k"]: r["v"] for r in target.read().collect()} == want
+    rejected = target.rejected().collect()
+    assert sorted(r["batch_id"] for r in rejected) == sorted([*range(50), *range(50)])
+    assert {r["reason"] for r in rejected} == {"bad", "no k"}
+    folders = [p for kind in ("changes", "base") for p in (tmp_path / "t" / kind).iterdir()]
+    assert len(folders) <= 2 + 2 * 8
+
+
+def test_arguments_are_honoured_or_refused(spark, tmp_path):
+    from monthwise.plans import jobs
+
+    file = tmp_path / "job.json"
+    file.write_text('{"lstm-script": {"dataFrame-path": "d.csv", "date-col": "Day", "target-col": "Amount"}}')
+    config = PipelineConfig.from_args(["--config", str(file), "--sales-col", "Net", "--mode", "corrected",
+                                       "--state-partitions", "16"])
+    assert (config.data_path, config.date_col, config.sales_col) == ("d.csv", "Day", "Net")
+    assert (config.mode, config.state_partitions) == ("corrected", 16)
+    with pytest.raises(SystemExit):
+        PipelineConfig.from_args(["--mode", "other"])
+    keyed = PipelineConfig(job_name="keyed", series=("a",))
+    for job in (jobs.features, jobs.serve, jobs.results, jobs.export):
+        with pytest.raises(ValueError, match="one total series"):
+            job(spark, keyed)
+    with pytest.raises(ValueError, match="no results"):
+        jobs.export(spark, PipelineConfig(job_name="fresh"))

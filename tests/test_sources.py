@@ -214,3 +214,22 @@ def test_config_from_arguments_and_json():
     text = '{"lstm-script":{"dataFrame-path":"/d.csv","date-col":"D","target-col":"T"}}'
     trained = PipelineConfig.from_json(text)
     assert (trained.data_path, trained.date_col, trained.sales_col) == ("/d.csv", "D", "T")
+
+
+def test_headers_in_any_order_number_and_state(spark, tmp_path):
+    put(tmp_path / "in", "transaction_data_1.csv", "Order Date,Sales,Cost\n2020-01-01,5,900\n")
+    put(tmp_path / "in", "transaction_data_2.csv", "Order Date,Cost,Sales\n2020-01-02,900,5\n")
+    put(tmp_path / "in", "transaction_data_3.csv", '"Sales",Order Date\n5,2020-01-03\n1,2,3\n')
+    put(tmp_path / "in", "transaction_data_4.csv", "A,A\n1,2\n")
+    put(tmp_path / "in", "other.csv", "Order Date,Sales\n2020-01-04,7\n")
+    paths = dropdir.list_files(spark, str(tmp_path / "in"))
+    rows, refused = dropdir.read_csv_files(spark, paths)
+    good = {(r["Order Date"], r["Sales"], r["Cost"]) for r in rows.collect() if not r["malformed"]}
+    assert good == {("2020-01-01", "5", "900"), ("2020-01-02", "5", "900"), ("2020-01-03", "5", None)}
+    assert [r["malformed"] for r in rows.collect() if r["malformed"]] == ["1,2,3"]
+    assert list(refused.values()) == ["repeated column name"]
+    with pytest.raises(ValueError, match="repeated column name"):
+        dropdir.read_csv(spark, str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="no file"):
+        (tmp_path / "empty").mkdir()
+        dropdir.read_csv(spark, str(tmp_path / "empty"))

@@ -290,3 +290,38 @@ def test_train_and_export_commands(spark, tmp_path):
     out = jobs.job_root(spark, config, "export")
     text = spark.read.text(out).collect()
     assert [r.value for r in text] == ["date,sales", "2014-01-01,12345678.5", "2014-02-01,3.5"]
+
+
+def test_csv_persist_job_from_an_empty_directory_on(spark, tmp_path):
+    """Records kept as written; odd lines and files set aside; a record in two files is one row."""
+    from monthwise.sources import dropdir
+    from monthwise.streaming.jobs import CsvPersistJob
+
+    drop = tmp_path / "in"
+    drop.mkdir()
+    job = CsvPersistJob(spark, str(tmp_path / "job"), compact_every=2)
+
+    def run():
+        job.start(dropdir.stream_files(spark, str(drop), archive_dir=str(tmp_path / "done"))).awaitTermination()
+
+    run()
+    assert job.records() is None and job.rejected() is None and job.quarantine.read() is None
+    (drop / "transaction_data_1.csv").write_text("Order Date,Sales\n2020-01-01,\nsurplus,2,3\n2020-01-02,7\n")
+    (drop / "transaction_data_2.csv").write_bytes("Größe\n1\n".encode("latin-1"))
+    run()
+    (drop / "transaction_data_3.csv").write_text("Sales,Order Date\n7,2020-01-02\nabc,never\n")
+    run()
+    rows = {(r["Order Date"], r["Sales"]) for r in job.records().collect()}
+    assert rows == {("2020-01-01", None), ("2020-01-02", "7"), ("never", "abc")}
+    assert job.records().count() == 3
+    assert [r["reason"] for r in job.rejected().collect()] == ["malformed line"]
+    assert [r["source_file"].rsplit("/", 1)[1] for r in job.quarantine.read().collect()] == ["transaction_data_2.csv"]
+
+
+def test_state_partitions_are_stated(spark):
+    from monthwise.session import state_session
+
+    assert state_session(spark, 37).conf.get("spark.sql.shuffle.partitions") == "37"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    with pytest.raises(ValueError):
+        state_session(spark, 0)
