@@ -54,7 +54,7 @@ def finite_number(text: Column) -> Column:
 
 
 def window_json(data: Column) -> Column:
-    """A feature window as ``{"data":[{"date":"2014-01-01","sales":3278.23}, ...]}``."""
+    """A feature window as ``{"data":[{"date":"2019-07-01","sales":41.5}, ...]}``."""
     return F.to_json(F.struct(data.alias("data")))
 
 

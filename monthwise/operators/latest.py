@@ -12,8 +12,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     """The row with the greatest ``order`` for each key, all columns kept.
 
     An aggregate, not a ranking: each task first reduces a key to one row, so a key with a
-    third of all rows reaches its reducer as one row per task. ``order`` must tell the rows of
-    a key apart for the result to be unique.
+    third of all rows reaches its reducer as one row per task. As whole rows are kept, Spark sorts
+    by key in the task before and after the exchange; columns of their own would not need that, but
+    could mix rows that tie. ``order`` must tell the rows of a key apart for the result to be unique.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:

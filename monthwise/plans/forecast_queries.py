@@ -190,46 +190,55 @@ RANGE_COLUMNS = ", ".join(
 )
 
 
-def _scaled_score(mode: str) -> tuple[str, str, str]:
+def _ranges_used(mode: str) -> tuple[str, str]:
+    """Whose range scales the oldest feature, and whose the result."""
+    return ("lag_10", "lag_11") if mode == "compat" else ("lag_11", "difference")
+
+
+def scaled_levels_sql(mode: str) -> str:
+    """The six levels after each window with pooled scaling of all series."""
+    inner, outer = _ranges_used(mode)
+    w = "OVER (PARTITION BY o_orderpriority ORDER BY month)"
+    # The scored change of step k, as without scaling.
+    back = 16 if mode == "compat" else 11
+    scores = ", ".join(
+        f"((CAST(2.0 AS DOUBLE) * (lag(difference, {back - k}) {w} - low_{inner}) "
+        f"/ (high_{inner} - low_{inner}) - 1.0) + 1.0) / 2.0 * (high_{outer} - low_{outer}) "
+        f"+ low_{outer} AS y{k}"
+        for k in range(1, 7)
+    )
     if mode == "compat":
-        return "lag_10", "lag_10", "lag_11"
-    return "lag_10", "lag_11", "difference"
-
-
-def scaled_step_sql(mode: str) -> str:
-    """First forecast level of each window with pooled scaling of all series."""
-    feature, inner, outer = _scaled_score(mode)
-    back = 5 if mode == "compat" else 0
+        levels = ["sales + y1"] + [f"y{k - 1} + y{k}" for k in range(2, 7)]
+    else:
+        levels = ["sales" + "".join(f" + y{i}" for i in range(1, k + 1)) for k in range(1, 7)]
     return f"""
 WITH {PRIORITY_SQL}, {lags_sql('o_orderpriority', TRAIN_LAGS)},
 ranges AS (SELECT {RANGE_COLUMNS} FROM (
   SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY month DESC) AS back
   FROM lags) WHERE back > 6),
-serve AS (SELECT *, lag(difference, 10) OVER (PARTITION BY o_orderpriority ORDER BY month)
-          AS lag_10 FROM diffs),
-scaled AS (
-  SELECT serve.*, CAST(2.0 AS DOUBLE) * ({feature} - low_{inner}) / (high_{inner} - low_{inner})
-           - 1.0 AS y, low_{outer} AS lo, high_{outer} AS hi
-  FROM serve, ranges WHERE pos >= 12),
-changed AS (SELECT *, (y + 1.0) / 2.0 * (hi - lo) + lo AS change FROM scaled)
-SELECT o_orderpriority, month, round(level, 4) AS first_level FROM (
-  SELECT *, sales + lag(change, {back}) OVER (PARTITION BY o_orderpriority ORDER BY month) AS level
-  FROM changed) WHERE pos >= 17"""
-
-
-def scaled_first_level(spark, sf_dir, mode):
+scored AS (SELECT *, {scores} FROM diffs, ranges),
+ahead AS (SELECT *, [{', '.join(levels)}] AS levels FROM scored WHERE pos >= 17)
+SELECT o_orderpriority, month, k AS step, round(levels[k], 4) AS level
+FROM ahead, (SELECT unnest(range(1, 7)) AS k)"""
+
+
+def scaled_levels(spark, sf_dir, mode):
     monthly = priority_months(spark, sf_dir)
     rows = ft.holdout_split(ft.lag_matrix(monthly, TRAIN_LAGS, PRIORITY), PRIORITY)
     scaler = sc.MinMaxScaler.fit(rows.filter(~F.col("is_test")), TRAIN_COLUMNS)
     windows = forecast_windows(monthly, oldest_feature(), mode, PRIORITY, scaler)
-    return windows.select(*PRIORITY, "month", F.round(F.col("ahead")[0], 4).alias("first_level"))
+    levels = windows.select(*PRIORITY, "month", F.posexplode("ahead").alias("at", "level"))
+    return levels.select(
+        *PRIORITY, "month", (F.col("at") + 1).cast("bigint").alias("step"),
+        F.round("level", 4).alias("level"),
+    )
 
 
-@query("forecast_scaled_compat", scaled_step_sql("compat"))
+@query("forecast_scaled_compat", scaled_levels_sql("compat"))
 def forecast_scaled_compat(spark, sf_dir):
-    return scaled_first_level(spark, sf_dir, "compat")
+    return scaled_levels(spark, sf_dir, "compat")
 
 
-@query("forecast_scaled_corrected", scaled_step_sql("corrected"))
+@query("forecast_scaled_corrected", scaled_levels_sql("corrected"))
 def forecast_scaled_corrected(spark, sf_dir):
-    return scaled_first_level(spark, sf_dir, "corrected")
+    return scaled_levels(spark, sf_dir, "corrected")

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 
 from monthwise.config import TRAIN_LAGS
 from monthwise.operators.forecast import forecast_windows, result_table
-from monthwise.operators.models import PythonScorer, holdout_error, linear_scorer
+from monthwise.operators.models import PythonScorer, holdout_error, linear_scorer, train_pooled
+from monthwise.operators.scaling import MinMaxScaler
 from monthwise.plans.feature_queries import (
     SPLIT_SQL, SUPPLIER, SUPPLIER_SQL, lags_sql, supplier_months,
 )
 from monthwise.plans.forecast_queries import ahead_sql, result_sql
 from monthwise.plans.registry import query
-from monthwise.plans.training import evaluate, train, training_rows
-from monthwise.session import materialise
+from monthwise.plans.training import TrainedForecaster, evaluate, train, training_rows
+from monthwise.session import fresh_dir, materialise
 
 
 def oldest_change_model():
@@ -55,6 +56,34 @@ def holdout_error_naive(spark, sf_dir):
     )
 
 
+ONE = [f"lag_{TRAIN_LAGS}"]
+
+
+@query(
+    "model_one_feature",
+    f"""WITH {SUPPLIER_SQL}, {lags_sql('l_suppkey', TRAIN_LAGS)}, {SPLIT_SQL.format(series='l_suppkey')},
+    fitted AS (SELECT regr_slope(difference, lag_11) AS slope,
+                      regr_intercept(difference, lag_11) AS intercept FROM split WHERE NOT is_test)
+    SELECT round(any_value(slope), 6) AS slope, round(any_value(intercept), 3) AS intercept,
+           count(*) AS rows, round(sqrt(avg((slope * lag_11 + intercept - difference) ** 2)), 3) AS rmse
+    FROM split, fitted WHERE is_test""",
+)
+def model_one_feature(spark, sf_dir):
+    """Least squares on one feature, saved, loaded and applied to the held-out rows."""
+    rows = materialise(training_rows(supplier_months(spark, sf_dir), SUPPLIER), "one-feature")
+    model = train_pooled(rows.filter(~F.col("is_test")), ONE)
+    path = fresh_dir(spark, "one-feature-model")
+    TrainedForecaster(MinMaxScaler.fit(rows, ONE), model).save(spark, path)
+    loaded = TrainedForecaster.load(spark, path)
+    held = loaded.scorer.score(rows.filter("is_test").withColumn("actual", F.col("difference")), ONE, "y")
+    line = loaded.model.stages[-1]
+    return holdout_error(held, "y", "actual").select(
+        F.round(F.lit(float(line.coefficients[0])), 6).alias("slope"),
+        F.round(F.lit(float(line.intercept)), 3).alias("intercept"),
+        "rows", F.round("rmse", 3).alias("rmse"),
+    )
+
+
 @query("holdout_error_trained")
 def holdout_error_trained(spark, sf_dir):
     trained, rows = train(supplier_months(spark, sf_dir), SUPPLIER)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from monthwise.config import FILE_GLOB
 from monthwise.functions.text import record_key
+from monthwise.session import materialise
 
 MALFORMED = "malformed"
 SOURCE_FILE = "source_file"
@@ -251,8 +252,9 @@ def parse_log(
     types. ``reason`` is set for lines whose file has no or contradicting ``#Fields:`` lines
     and for lines with a wrong number of values.
 
-    The header side has one row per file. It is joined by file name without a hint: adaptive
-    execution broadcasts it when small and splits the partition of a huge file otherwise.
+    The header side has one row per file. It is written first, so its size is known when the join
+    is planned: below the broadcast limit the lines stay where they are, beyond it they are joined by
+    file name and adaptive execution splits the partition of a huge file.
     """
     is_header = F.col(value).startswith("#Fields:")
     names = F.split(F.trim(F.regexp_replace(value, "^#Fields:", "")), r"\s+")
@@ -261,6 +263,7 @@ def parse_log(
         .groupBy(file)
         .agg(F.min(names).alias("names"), F.max(names).alias("other_names"))
     )
+    headers = materialise(headers, "log-headers")
     tokens = F.regexp_extract_all(value, F.lit(r'("(?:[^"]|"")*"|\S+)'), F.lit(1))
     tokens = F.transform(tokens, _log_value)
     records = (

@@ -44,6 +44,19 @@ def test_series_operators_share_one_shuffle_and_sort(spark):
         assert count(r"- Sort \[", text) == 1
 
 
+def test_nation_months_aggregate_once_after_the_join(spark):
+    text = plan(QUERIES["monthly_sales_by_nation"](spark, data_dir()))
+    assert count(r"\bExchange hashpartitioning\(n_name", text) == 1
+    assert count("HashAggregate", text) == 2
+    assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in text
+
+
+def test_log_lines_are_not_shuffled(spark):
+    text = plan(QUERIES["log_rows"](spark, data_dir()))
+    joins = text[: text.index("BroadcastHashJoin")]
+    assert "Exchange hashpartitioning" not in joins and "SortMergeJoin" not in text
+
+
 def test_filters_reach_the_scan(spark):
     recent = lineitem(spark, data_dir()).filter(F.col("l_suppkey") == 7)
     text = plan(monthly_totals(recent, "day", "sales", ["l_suppkey"]))
@@ -66,8 +79,6 @@ def test_messages_are_parsed_once(spark):
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
 def test_no_cross_joins_and_no_row_at_a_time_python(spark, name):
-    if name in ("forecast_trained", "holdout_error_trained"):
-        pytest.skip("trains a model")
     text = plan(QUERIES[name](spark, data_dir()))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text
