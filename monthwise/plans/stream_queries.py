@@ -1,7 +1,8 @@
 """Streaming jobs run to the end of the given tables.
 
-All input is taken in one micro-batch, so what is closed and what stays open is settled by the
-data alone and SQL can state it. State and results live in the shared folder.
+Most take all input in one micro-batch, so what is closed and what stays open is settled by the data
+alone; the ``stream_batches`` queries take a file at a time, and SQL states what each batch may still
+count. State and results live in the shared folder.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from monthwise.operators import quality as ql
 from monthwise.operators.models import oldest_feature
 from monthwise.plans.forecast_queries import ahead_sql, result_sql
 from monthwise.plans.ingest_queries import CSV_HEADER, LINES_CHECKED_SQL, write_order_files
-from monthwise.plans.registry import ORDERS_SQL, months_sql, query, stream_table
+from monthwise.plans.registry import ORDERS_SQL, months_sql, orders, query, stream_table
 from monthwise.session import fresh_dir, state_session
 from monthwise.sinks.batch_log import BatchLog
 from monthwise.sources import dropdir
@@ -68,6 +69,59 @@ def stream_forecast_table(spark, sf_dir):
     return result.select(*PRIORITY, "date", "sales", (F.col("step") > 0).alias("is_forecast"))
 
 
+# Orders arriving up to 880 days late, year by year: one file, and so one micro-batch, for each year of arrival. A batch
+# drops what was late under the watermark its predecessor ran with, so what it may still count was
+# settled by the days seen two batches before and earlier.
+BATCHED_SQL = f"""
+{ORDERS_SQL},
+arrived AS (SELECT *, year(day + CAST(o_orderkey % 45 * 20 AS INTEGER)) AS batch FROM orders_in),
+seen AS (SELECT batch, max(max(day)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING
+                AND 2 PRECEDING) AS latest FROM arrived GROUP BY batch),
+settled_in AS (
+  SELECT arrived.* FROM arrived JOIN seen USING (batch)
+  WHERE (latest IS NULL OR date_trunc('month', day) + INTERVAL 1 MONTH + INTERVAL 1 DAY > latest)
+    AND date_trunc('month', day) + INTERVAL 1 MONTH + INTERVAL 1 DAY
+      <= (SELECT max(day) FROM orders_in))"""
+
+
+def yearly_job(spark, sf_dir) -> ForecastJob:
+    """Forecasts from orders that arrive in several micro-batches, late ones among them."""
+    path = fresh_dir(spark, "arrivals")
+    source = orders(spark, sf_dir).select("o_orderkey", *PRIORITY, "day", "sales")
+    arrival = F.date_add("day", (F.col("o_orderkey") % 45 * 20).cast("int"))
+    source = source.withColumn("batch", F.year(arrival))
+    for row in source.select("batch").distinct().orderBy("batch").collect():
+        year = source.filter(F.col("batch") == row["batch"]).drop("batch")
+        year.coalesce(1).write.mode("append").parquet(path)
+    session = state_session(spark, STATE_PARTITIONS)
+    stream = session.readStream.schema(source.drop("batch").schema)
+    stream = stream.option("maxFilesPerTrigger", "1").parquet(path)
+    closed = closed_month_stream(stream, series=PRIORITY, scale=2)
+    job = ForecastJob(spark, fresh_dir(spark, "yearly"), oldest_feature(), "compat", PRIORITY)
+    job.start(closed).awaitTermination()
+    return job
+
+
+@query(
+    "stream_batches_closed",
+    f"WITH {BATCHED_SQL}, {months_sql('settled_in', 'o_orderpriority')} "
+    "SELECT o_orderpriority, month, sales FROM months",
+)
+def stream_batches_closed(spark, sf_dir):
+    return yearly_job(spark, sf_dir).months.read().drop("batch_id")
+
+
+@query(
+    "stream_batches_forecast",
+    f"WITH {BATCHED_SQL}, {months_sql('settled_in', 'o_orderpriority')}, "
+    f"{ahead_sql('months', 'o_orderpriority', 'compat')} "
+    f"{result_sql('months', 'o_orderpriority', 'o_orderpriority,')}",
+)
+def stream_batches_forecast(spark, sf_dir):
+    result = yearly_job(spark, sf_dir).results.read()
+    return result.select(*PRIORITY, "date", "sales", (F.col("step") > 0).alias("is_forecast"))
+
+
 def csv_job(spark, sf_dir) -> PersistJob:
     """Drop files with damaged lines, through the CSV stream into the keyed table."""
     path = write_order_files(spark, sf_dir)
