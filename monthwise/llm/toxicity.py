@@ -205,16 +205,21 @@ def _candidates(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in BEGINNINGS if len(w) >= n}
 
 
-def _apart(texts: list[set[str]]) -> list[int]:
-    """Which texts to count: of copies, told by equal least hashes of their words, only the first."""
+def _least_hashes(features: set[str]) -> tuple[int, ...]:
+    """Texts that share many words share most of these."""
     import xxhash
 
+    words = [f for f in features if not f.endswith("*")]
+    return tuple(
+        min((xxhash.xxh64_intdigest(w, seed) for w in words), default=0) for seed in range(8)
+    )
+
+
+def _apart(hashes: list[tuple[int, ...]]) -> list[int]:
+    """Which texts to count: of copies, told by equal least hashes, only the first."""
     seen: dict[tuple[int, int], int] = {}
     out = []
-    for at, words in enumerate(texts):
-        least = [
-            min((xxhash.xxh64_intdigest(w, seed) for w in words), default=0) for seed in range(8)
-        ]
+    for at, least in enumerate(hashes):
         alike = Counter(seen[k] for k in enumerate(least) if k in seen)
         if not alike or max(alike.values()) < 4:
             out.append(at)
@@ -223,19 +228,20 @@ def _apart(texts: list[set[str]]) -> list[int]:
     return out
 
 
-def _chosen(table: dict[str, tuple[int, int]], toxic: list[set[str]], n_clean: int):
+def _chosen(
+    table: dict[str, tuple[int, int]], toxic: list[tuple[tuple[int, ...], list[str]]], n_clean: int
+) -> dict[str, float]:
     """Weights of the fewest words and beginnings that explain the toxic texts, copies aside.
 
     Each must occur in some share of the texts, be rare in clean ones and explain two texts that nothing
     chosen before explains. Words that toxic texts share for other reasons explain none. At the end come
     words that always stood beside chosen ones, if they are as common and as rare in clean texts.
     """
-    texts = [toxic[at] for at in _apart([{f for f in t if not f.endswith("*")} for t in toxic])]
+    texts = [toxic[at][1] for at in _apart([hashes for hashes, _ in toxic])]
     owners: dict[str, list[int]] = {}
     for at, features in enumerate(texts):
         for f in features:
-            if f in table:
-                owners.setdefault(f, []).append(at)
+            owners.setdefault(f, []).append(at)
 
     def weight(f: str) -> float:
         toxic_share = (len(owners[f]) + 0.5) / (len(texts) + 1)
@@ -298,10 +304,10 @@ def fit(
             .where("_bad >= 2 and _share >= 0.95")
             .orderBy(F.col("_bad").desc(), "_feature").limit(20000).collect()
         }
-        held = [
-            _candidates(r["_text"])
-            for r in sample.where("_label = 1").select("_text").toLocalIterator()
-        ]
+        held = []
+        for r in sample.where("_label = 1").select("_text").toLocalIterator():
+            found = _candidates(r["_text"])
+            held.append((_least_hashes(found), [f for f in found if f in table]))
         for f, weight in _chosen(table, held, n_clean).items():
             if f.endswith("*"):
                 model.beginnings[f[:-1]] = weight
