@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from monthwise.llm.common import whole
 
 BLANK = "▁"
-REMEMBERED = 150_000  # words, in each of two generations; twice as many pairs
+REMEMBERED = 250_000  # words, in each of two generations; twice as many pairs
 SLICE = 512  # rows that are answered together
 PROBES = ("", " ", "a  b", " a", "x\ty\n\nz ", "▁a ▁", "　ｆ é́", "<s> </s>", "1" * 40 + " " * 40)
 
