@@ -2,8 +2,9 @@
 
 A clause is a string of word classes. Small transducers rewrite it one after the other: negation marks
 what stands in its scope, reported speech marks what someone else said, a target in the clause
-strengthens an insult or makes a threat of a violent verb. Their composition is one machine that runs
-over the clause once and adds up weights, and the score of a text follows from its matched clauses.
+strengthens an insult or makes a threat of a violent verb, on either side of it. Their composition
+runs over the clause, targets are looked for from both ends, and the score of a text follows from the
+weights of its matched clauses.
 
 The words of insult, and their weights, are learned from labelled texts, as whole words or as word
 beginnings; the classes below are closed lists of four languages.
@@ -95,10 +96,22 @@ def _report(state: bool, symbol: str) -> tuple[bool, str]:
     return state or symbol == "said", symbol + ":said" if state and _marked(symbol) else symbol
 
 
+def _target_ahead(state: bool, symbol: str) -> tuple[bool, str]:
+    """Reads from the right. State: whether a target follows; what has none is left for ``_target``."""
+    kind, _, marks = symbol.partition(":")
+    if state and kind == "threat":
+        return state, ":".join(filter(None, ("threat:target", marks)))
+    if state and symbol == "insult":
+        return state, "insult:target"
+    return state or symbol == "target", symbol
+
+
 def _target(state: bool, symbol: str) -> tuple[bool, str]:
     """State: whether a target has been named; violence without one is no threat."""
     state = state or symbol == "target"
     kind, _, marks = symbol.partition(":")
+    if marks.startswith("target"):
+        return state, symbol
     if kind == "threat":
         return state, ":".join(filter(None, ("threat:target" if state else "other", marks)))
     if kind == "insult" and state and not marks:
@@ -106,9 +119,14 @@ def _target(state: bool, symbol: str) -> tuple[bool, str]:
     return state, symbol
 
 
-GRAMMAR = (
-    Transducer(0, _negation).then(Transducer(False, _report)).then(Transducer(False, _target))
-)
+MARKS = Transducer(0, _negation).then(Transducer(False, _report))
+AHEAD, BEFORE = Transducer(False, _target_ahead), Transducer(False, _target)
+GRAMMAR = MARKS.then(BEFORE)
+
+
+def both_ways(symbols: list[str]) -> list[str]:
+    """The grammar, with targets that stand after a word as well as before it."""
+    return BEFORE.run(AHEAD.run(MARKS.run(symbols)[::-1])[::-1])
 
 
 @dataclass
@@ -142,8 +160,9 @@ _CLASS = {
 }
 
 
-def clause_features(clause: str, model: Model) -> Counter:
-    """Weight of each kind of match in a clause of lower-case text."""
+def clause_features(clause: str, model: Model, read=GRAMMAR.run) -> Counter:
+    """Weight of each kind of match in a clause of lower-case text, by default read only forwards;
+    texts are scored by ``both_ways``."""
     symbols, weights = [], []
     for word in WORD.findall(clause):
         symbol, weight = model.symbol(word)
@@ -152,7 +171,7 @@ def clause_features(clause: str, model: Model) -> Counter:
     out: Counter = Counter()
     if not any(s in ("insult", "threat") for s in symbols):
         return out
-    for written, weight in zip(GRAMMAR.run(symbols), weights):
+    for written, weight in zip(read(symbols), weights):
         if written in CLASSES:
             out[written] += weight
         elif _marked(written):  # marks that have no class of their own weigh as the mildest
@@ -165,7 +184,7 @@ def matches(text: str, model: Model, finder) -> list[Counter]:
     text = text.lower()
     if next(finder.iter(text), None) is None:
         return []
-    found = (clause_features(c, model) for c in CLAUSE_END.split(text))
+    found = (clause_features(c, model, both_ways) for c in CLAUSE_END.split(text))
     return [f for f in found if f]
 
 

@@ -479,6 +479,21 @@ def test_grammar_composes_transducers():
     assert toxicity.score("you blarg", model, machine) < toxicity.score("you blarg. blarg!", model, machine)
 
 
+def test_targets_on_either_side_of_the_verb():
+    model = toxicity.Model(words={"blarg": 4.0})
+    machine = toxicity.finder(model)
+    found = lambda text: [dict(f) for f in toxicity.matches(text, model, machine)]
+    for text in ("I will kill you", "we will kill you", "beat them", "You I will kill", "you will kill them"):
+        assert found(text) == [{"threat:target": 1.0}], text
+        assert toxicity.score(text, model, machine) == toxicity.score("you i will kill", model, machine)
+    assert toxicity.score("i will kill you", model, machine) >= 0.5 > model.share
+    assert found("i will not kill you") == [{"threat:target:not": 1.0}]
+    assert found("somebody said i will kill you") == [{"threat:target:said": 1.0}]
+    assert found("blarg are you") == found("you blarg") == [{"insult:target": 4.0}]
+    assert found("not a blarg are you") == [{"insult:not": 4.0}]
+    assert found("beat the eggs. you and i") == []
+
+
 def test_network_on_held_out_rows(spark):
     docs, labels = marked_documents(spark)
     network = byte_cnn.fit(docs, labels, remainder(F.col("_id"), 3) != 1)
