@@ -1,10 +1,10 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 A clause is a string of word classes. Small transducers rewrite it one after the other: negation marks
-what stands in its scope, reported speech marks what someone else said, a target in the clause
-strengthens an insult or makes a threat of a violent verb, on either side of it. Their composition
-runs over the clause, targets are looked for from both ends, and the score of a text follows from the
-weights of its matched clauses.
+what stands in its scope, reported speech marks what someone else said, also after a colon or before
+"he said", a target in the clause strengthens an insult or makes a threat of a violent verb, on either
+side of it. Their composition runs over the clause, targets are looked for from both ends, and the score
+of a text follows from the weights of its matched clauses.
 
 The words of insult, and their weights, are learned from labelled texts, as whole words or as word
 beginnings; the classes below are closed lists of four languages.
@@ -44,6 +44,12 @@ THREATS = (
 ).split()
 CLAUSE_END = re.compile(r"[.;:!?\n|]+")
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
+QUOTATION = re.compile(r'"[^"\n]*"|“[^“”\n]*”|„[^„“”\n]*[“”]|«[^«»\n]*»')
+NO_REPORTER = "|".join(map(re.escape, [*NEGATIONS, *"you u du ihr tu vous tú usted".split()]))
+#: Who said it, after the quotation: at most two words, then the verb.
+SPEAKER = rf"\s*(?:(?!(?:{NO_REPORTER})\b){WORD.pattern}\s+){{0,2}}(?:{'|'.join(REPORTS)})\b"
+AFTER_QUOTATION = re.compile(r"[\s,–—-]*" + SPEAKER)
+AFTER_COMMA = re.compile("," + SPEAKER)
 BEGINNINGS = (6, 5, 4)
 SCOPE = 4  # words that a negation reaches
 
@@ -86,6 +92,8 @@ def _marked(symbol: str) -> bool:
 
 def _negation(state: int, symbol: str) -> tuple[int, str]:
     """State: words that are still in the scope of a negation."""
+    if symbol == "quote":
+        return state, symbol
     if symbol == "not":
         return SCOPE, symbol
     return max(0, state - 1), symbol + ":not" if state and _marked(symbol) else symbol
@@ -93,7 +101,7 @@ def _negation(state: int, symbol: str) -> tuple[int, str]:
 
 def _report(state: bool, symbol: str) -> tuple[bool, str]:
     """State: whether somebody is being quoted."""
-    return state or symbol == "said", symbol + ":said" if state and _marked(symbol) else symbol
+    return state or symbol in ("said", "quote"), symbol + ":said" if state and _marked(symbol) else symbol
 
 
 def _target_ahead(state: bool, symbol: str) -> tuple[bool, str]:
@@ -154,17 +162,53 @@ class Model:
         return _CLASS.get(word, "other"), 1.0
 
 
+_REPORTS = frozenset(REPORTS)
 _CLASS = {
     **dict.fromkeys(TARGETS, "target"), **dict.fromkeys(NEGATIONS, "not"),
-    **dict.fromkeys(REPORTS, "said"), **dict.fromkeys(THREATS, "threat"),
+    **dict.fromkeys(REPORTS, "said"), **dict.fromkeys(THREATS, "threat"), "": "quote",
 }
 
 
-def clause_features(clause: str, model: Model, read=GRAMMAR.run) -> Counter:
-    """Weight of each kind of match in a clause of lower-case text, by default read only forwards;
-    texts are scored by ``both_ways``."""
+def clauses(text: str) -> Iterator[list[str]]:
+    """The words of each clause of lower-case text, with an empty word where reported speech begins.
+
+    A report goes on after a colon and to the end of a quotation in double marks on one line. It also
+    begins with such a quotation, or with a clause, that a report verb follows: '"...", he said' and
+    '..., he said'. Speech in single marks, or without a comma before the speaker, is not told.
+    """
+    quotations = list(QUOTATION.finditer(text))
+    at, following, quoted_to, said = 0, 0, 0, False
+    for end in [*CLAUSE_END.finditer(text), None]:
+        stop = end.start() if end else len(text)
+        begin = at if said or at < quoted_to or AFTER_COMMA.search(text, at, stop) else None
+        heard, since = False, at
+        while following < len(quotations) and quotations[following].start() < stop:
+            one = quotations[following]
+            following += 1
+            heard = heard or not _REPORTS.isdisjoint(WORD.findall(text, since, one.start()))
+            since = one.start()
+            if begin is not None or heard or AFTER_QUOTATION.match(text, one.end()):
+                begin = one.start() if begin is None else begin
+                quoted_to = one.end()
+        if begin is None:
+            words = WORD.findall(text, at, stop)
+        else:
+            words = [*WORD.findall(text, at, begin), "", *WORD.findall(text, begin, stop)]
+        yield words
+        if end:
+            at = end.end()
+            said = ":" in end.group() and (begin is not None or not _REPORTS.isdisjoint(words))
+
+
+def clause_features(clause: str, model: Model) -> Counter:
+    """Weight of each kind of match in a clause of lower-case text that is read only forwards and on
+    its own; ``matches`` reads the clauses of a text both ways."""
+    return _features(WORD.findall(clause), model, GRAMMAR.run)
+
+
+def _features(words: list[str], model: Model, read) -> Counter:
     symbols, weights = [], []
-    for word in WORD.findall(clause):
+    for word in words:
         symbol, weight = model.symbol(word)
         symbols.append(symbol)
         weights.append(weight)
@@ -184,7 +228,7 @@ def matches(text: str, model: Model, finder) -> list[Counter]:
     text = text.lower()
     if next(finder.iter(text), None) is None:
         return []
-    found = (clause_features(c, model, both_ways) for c in CLAUSE_END.split(text))
+    found = (_features(c, model, both_ways) for c in clauses(text))
     return [f for f in found if f]
 
 

@@ -494,6 +494,32 @@ def test_targets_on_either_side_of_the_verb():
     assert found("beat the eggs. you and i") == []
 
 
+def test_quotations_are_reported_from_either_side():
+    model = toxicity.Model(words={"blarg": 4.0})
+    machine = toxicity.finder(model)
+    found = lambda text: [dict(f) for f in toxicity.matches(text, model, machine)]
+    reported = [{"insult:said": 4.0}]
+    for text in (
+        "They said you blarg", "he said: you blarg", "he wrote:\nnote: you blarg", "you blarg, he said",
+        "you blarg, said the man", '"You blarg!" the man said', "„du blarg!“, sagte er",
+        'he said "hello. you blarg"', 'he said: "hello. you blarg! go."', "« toi blarg », dit il",
+        '"hello. you blarg. go!" she said.',
+    ):
+        assert found(text) == reported, text
+        assert toxicity.score(text, model, machine) < 0.5 < toxicity.score("you blarg", model, machine)
+    direct = [{"insult:target": 4.0}]
+    for text in (
+        "you blarg", "note: you blarg", "he said hello. you blarg", "you blarg, nobody said so",
+        "you blarg, you said so", 'he said: "hello". you blarg', 'he said "a. b". you blarg',
+        '"you blarg!" and left. he said no', 'you blarg "hello" he said',
+    ):
+        assert found(text) == direct, text
+    assert found("i will kill you, he said") == [{"threat:target:said": 1.0}]
+    assert found('not one of "blarg kind", he said') == [{"insult:not:said": 4.0}]
+    whole = "a. b c:d\n e! \"f g. h\" i|"
+    assert [w for c in toxicity.clauses(whole) for w in c] == list("abcdefghi")
+
+
 def test_network_on_held_out_rows(spark):
     docs, labels = marked_documents(spark)
     network = byte_cnn.fit(docs, labels, remainder(F.col("_id"), 3) != 1)
