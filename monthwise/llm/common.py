@@ -52,3 +52,10 @@ def labelled_texts(documents: DataFrame, ids: DataFrame) -> DataFrame:
     """``_id``, ``_label``, ``_text`` of a bounded set of ids; a repeated id gives every row it has."""
     rows = documents.select(F.col("doc_id").alias("_id"), whole(F.col("text")).alias("_text"))
     return rows.join(F.broadcast(ids), "_id")
+
+
+def one_text_each(texts: DataFrame) -> DataFrame:
+    """Of the rows of a repeated ``_id`` the one whose text has the least hash."""
+    return texts.groupBy("_id", "_label").agg(
+        F.min_by("_text", F.xxhash64("_text")).alias("_text")
+    )

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from monthwise.llm.common import labelled_ids, labelled_texts, whole
+from monthwise.llm.common import labelled_ids, labelled_texts, one_text_each, whole
 
 TARGETS = (
     "you your yours u he she they him them du dich dir dein deine ihr euch euer sie ihn tu toi te "
@@ -342,10 +342,10 @@ def _chosen(
 def fit(
     documents: DataFrame, labels: DataFrame, keep: Column, toxic: int = 2000, clean: int = 8000
 ) -> Model:
-    """Learn from at most ``toxic`` and ``clean`` labelled ids, whole texts. Without toxic texts no
-    insult is known and only threats match."""
+    """Learn from at most ``toxic`` and ``clean`` labelled ids, one whole text of each. Without toxic
+    texts no insult is known and only threats match."""
     ids = labelled_ids(labels, "toxic", keep, zeros=clean, ones=toxic).persist()
-    sample = labelled_texts(documents, ids).persist()
+    sample = one_text_each(labelled_texts(documents, ids)).persist()
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

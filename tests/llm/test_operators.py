@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from monthwise.llm import byte_cnn, components, decision_list, lattice_lm, lengths, line_dedup
 from monthwise.llm import packing, piece_bpe, pq_dedup, simhash, tokens, toxicity
-from monthwise.llm.common import labelled_ids, remainder
+from monthwise.llm.common import labelled_ids, labelled_texts, one_text_each, remainder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -520,6 +520,21 @@ def test_quotations_are_reported_from_either_side():
     assert [w for c in toxicity.clauses(whole) for w in c] == list("abcdefghi")
 
 
+def test_an_id_counts_once_in_the_toxicity_sample(spark):
+    docs, labels = marked_documents(spark)
+    many = docs.where("doc_id = 4").crossJoin(spark.range(300)).selectExpr(
+        "doc_id", "concat(text, ' grumpel ', id) as text"
+    )
+    ids = labelled_ids(labels, "toxic", F.lit(True), 1000, 1000)
+    got = one_text_each(labelled_texts(docs.union(many), ids))
+    assert got.count() == got.select("_id").distinct().count() == 700
+    again = one_text_each(labelled_texts(many.union(docs).repartition(5), ids))
+    assert again.exceptAll(got).isEmpty()
+    model = toxicity.fit(docs.union(many), labels, F.lit(True))
+    assert not any(w.startswith("grum") for w in [*model.words, *model.beginnings])
+    assert {w[:4] for w in [*model.words, *model.beginnings]} == {"zorg", "blar"}
+
+
 def test_network_on_held_out_rows(spark):
     docs, labels = marked_documents(spark)
     network = byte_cnn.fit(docs, labels, remainder(F.col("_id"), 3) != 1)
