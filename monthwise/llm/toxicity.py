@@ -269,12 +269,12 @@ def _candidates(text: str) -> set[str]:
 
 
 def _least_hashes(features: set[str]) -> tuple[int, ...]:
-    """Texts that share many words share most of these."""
+    """Texts that share many words share most of these, signed longs."""
     import xxhash
 
     words = [f for f in features if not f.endswith("*")]
     return tuple(
-        min((xxhash.xxh64_intdigest(w, seed) for w in words), default=0) for seed in range(8)
+        min((xxhash.xxh64_intdigest(w, seed) for w in words), default=0) - 2**63 for seed in range(8)
     )
 
 
@@ -291,16 +291,20 @@ def _apart(hashes: list[tuple[int, ...]]) -> list[int]:
     return out
 
 
-def _chosen(
-    table: dict[str, tuple[int, int]], toxic: list[tuple[tuple[int, ...], list[str]]], n_clean: int
-) -> dict[str, float]:
+def _least(n_toxic: int) -> int:
+    """In how many toxic texts a word must occur."""
+    return max(3, math.ceil(0.01 * n_toxic))
+
+
+def _chosen(clean: dict[str, int], texts: list[list[str]], n_clean: int) -> dict[str, float]:
     """Weights of the fewest words and beginnings that explain the toxic texts, copies aside.
 
+    ``clean``: in how many clean texts a word occurs. ``texts``: such words of each toxic text.
+
     Each must occur in some share of the texts, be rare in clean ones and explain two texts that nothing
     chosen before explains. Words that toxic texts share for other reasons explain none. At the end come
     words that always stood beside chosen ones, if they are as common and as rare in clean texts.
     """
-    texts = [toxic[at][1] for at in _apart([hashes for hashes, _ in toxic])]
     owners: dict[str, list[int]] = {}
     for at, features in enumerate(texts):
         for f in features:
@@ -308,9 +312,9 @@ def _chosen(
 
     def weight(f: str) -> float:
         toxic_share = (len(owners[f]) + 0.5) / (len(texts) + 1)
-        return math.log(toxic_share) - math.log((table[f][1] + 0.5) / (n_clean + 1))
+        return math.log(toxic_share) - math.log((clean[f] + 0.5) / (n_clean + 1))
 
-    least = max(3, math.ceil(0.01 * len(texts)))
+    least = _least(len(texts))
     weights = {f: weight(f) for f, o in owners.items() if len(o) >= least}
     weights = {f: w for f, w in weights.items() if w >= 3}
     gains = {f: len(owners[f]) for f in weights}
@@ -352,25 +356,44 @@ def fit(
             rows = [(f, y) for y, t in zip(batch["_label"], batch["_text"]) for f in _candidates(t)]
             yield pd.DataFrame(rows, columns=["_feature", "_label"])
 
-    sizes = {r["_label"]: r["n"] for r in sample.groupBy("_label").agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    kind = dict(ids.dtypes)["_id"]
+
+    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            least = [_least_hashes(_candidates(t)) for t in batch["_text"]]
+            yield pd.DataFrame({"_id": batch["_id"], "_least": least})
+
+    n_clean = sample.where("_label = 0").count()
+    bad = sample.where("_label = 1").select("_id", "_text")
+    held = bad.mapInPandas(hashes, f"_id {kind}, _least array<bigint>").orderBy("_id").collect()
+    apart = [(held[at]["_id"],) for at in _apart([tuple(r["_least"]) for r in held])]
+    n_toxic = len(apart)
     model = Model()
     if n_toxic:
-        bad, good = F.sum("_label"), F.sum(1 - F.col("_label"))
-        share = (bad / n_toxic) / (bad / n_toxic + good / max(1, n_clean))
+        toxic_ids = F.broadcast(documents.sparkSession.createDataFrame(apart, f"_id {kind}"))
+        toxic_texts = sample.where("_label = 1").join(toxic_ids, "_id", "left_semi")
+        of_toxic, of_clean = F.sum("_label"), F.sum(1 - F.col("_label"))
+        rate = F.col("_bad") / n_toxic
+        weight = F.log((F.col("_bad") + 0.5) / (n_toxic + 1)) - F.log(
+            (F.col("_good") + 0.5) / (n_clean + 1)
+        )
+        # What _chosen takes at most. Each is in a hundredth of the texts, so they are at most a hundred
+        # times as many as a text has on average.
+        common = F.col("_bad") >= _least(n_toxic)
+        rare = (rate / (rate + F.col("_good") / max(1, n_clean)) >= 0.95) & (weight >= 3 - 1e-9)
         table = {
-            r["_feature"]: (int(r["_bad"]), int(r["_good"]))
-            for r in sample.mapInPandas(features, "_feature string, _label int")
+            r["_feature"]: r["_good"]
+            for r in sample.where("_label = 0").unionByName(toxic_texts)
+            .mapInPandas(features, "_feature string, _label int")
             .groupBy("_feature")
-            .agg(bad.cast("bigint").alias("_bad"), good.cast("bigint").alias("_good"),
-                 share.alias("_share"))
-            .where("_bad >= 2 and _share >= 0.95")
-            .orderBy(F.col("_bad").desc(), "_feature").limit(20000).collect()
+            .agg(of_toxic.alias("_bad"), of_clean.alias("_good"))
+            .where(common & rare).select("_feature", "_good").collect()
         }
-        held = []
-        for r in sample.where("_label = 1").select("_text").toLocalIterator():
-            found = _candidates(r["_text"])
-            held.append((_least_hashes(found), [f for f in found if f in table]))
+        names = {f: f for f in table}
+        held = [
+            [names[f] for f in _candidates(r["_text"]) if f in names]
+            for r in toxic_texts.select("_text").toLocalIterator()
+        ]
         for f, weight in _chosen(table, held, n_clean).items():
             if f.endswith("*"):
                 model.beginnings[f[:-1]] = weight

@@ -535,6 +535,25 @@ def test_an_id_counts_once_in_the_toxicity_sample(spark):
     assert {w[:4] for w in [*model.words, *model.beginnings]} == {"zorg", "blar"}
 
 
+def test_copies_of_a_long_text_do_not_displace_insults(spark):
+    stems = [a + b + c + d for a in "bdfgkl" for b in "aeiou" for c in "mnprstvxzw" for d in "aeiouhjcyq"]
+    long = " ".join(p + s + "tlo" for p in "wxy" for s in stems)  # over three features a word
+    assert len(toxicity._candidates(long)) > 20000
+    rng = random.Random(3)
+    other = lambda: " ".join(rng.sample([f"n{k}" for k in range(100)], 15))
+    rows = [(k, other(), 0) for k in range(300)]
+    rows += [(1000 + k, long, 1) for k in range(12)]
+    rows += [(2000 + k, f"{w} {other()}", 1)
+             for k, w in enumerate(["zorgface", "zorgling", "blarg", "blarg"] * 2)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([r[::2] for r in rows], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    machine = toxicity.finder(model)
+    for text in ("zorgface", "blarg", "a zorgling"):
+        assert toxicity.matches(text, model, machine), text
+    assert not toxicity.matches(long, model, machine)
+
+
 def test_network_on_held_out_rows(spark):
     docs, labels = marked_documents(spark)
     network = byte_cnn.fit(docs, labels, remainder(F.col("_id"), 3) != 1)
