@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.llm import byte_cnn, decision_list, lattice_lm, lengths, line_dedup
-from monthwise.llm import packing, piece_bpe, pq_dedup, simhash, toxicity
+from monthwise.llm import packing, piece_bpe, pq_dedup, resample, simhash, spelling, toxicity
+from monthwise.llm import vertical_topk
 from monthwise.llm.common import remainder
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -120,6 +121,21 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(_table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return vertical_topk.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 LINE_SQL = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
@@ -157,6 +173,25 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_link
 FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = e.vec_id
 """
 
+TOPK_SQL = """
+WITH rows AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+items AS (SELECT rid, vec_id, len(v) AS dim, unnest(v) AS x, generate_subscripts(v, 1) AS at FROM rows),
+scores AS (
+  SELECT q.rid AS qid, q.vec_id AS query_id, c.rid, c.vec_id, sum(q.x * c.x) AS score
+  FROM items q JOIN items c ON q.at = c.at AND q.dim = c.dim AND q.rid <> c.rid
+  WHERE q.vec_id % 100 = 0 GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id NULLS LAST, rid) AS place
+  FROM scores)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+FROM ranked WHERE place <= 10
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -168,6 +203,11 @@ QUERIES = {
     "op8_vector_dedup": op8_vector_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_byte_cnn": op10_byte_cnn,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_exact_topk": op13_exact_topk,
 }
 
-ORACLES = {"op3_line_dedup": LINE_SQL, "op8_vector_dedup": VECTOR_SQL}
+ORACLES = {
+    "op3_line_dedup": LINE_SQL, "op8_vector_dedup": VECTOR_SQL, "op13_exact_topk": TOPK_SQL,
+}
