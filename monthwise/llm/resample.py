@@ -26,7 +26,8 @@ from monthwise.session import materialise
 BUCKETS = 10_000
 #: A head word has at least one in so many of all words, so there can't be more of them; pairs likewise.
 HEAD = 20_000
-FLUSH = 250_000
+#: Distinct features that a task counts before it hands them on.
+FLUSH = 100_000
 
 # ASCII bytes that are no digit or letter become blanks, A-Z become a-z; bytes of other characters stay.
 _WORD_BYTES = bytes(
@@ -74,12 +75,12 @@ class Head:
 
 
 def _counted(texts: DataFrame, features, schema: str) -> DataFrame:
-    """How often each feature occurs; ``features(words)`` yields tuples of the schema's columns."""
+    """How often each feature occurs; ``features(words)`` yields the schema's one column, or tuples of them."""
     names = [part.split()[0] for part in schema.split(",")]
 
     def rows(seen: Counter) -> pd.DataFrame:
-        frame = pd.DataFrame(list(seen), columns=names)
-        return frame.assign(_n=list(seen.values()))
+        columns = [list(seen)] if len(names) == 1 else list(zip(*seen))
+        return pd.DataFrame({**dict(zip(names, columns)), "_n": list(seen.values())})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
@@ -99,9 +100,7 @@ def _counted(texts: DataFrame, features, schema: str) -> DataFrame:
 def head_of(texts: DataFrame, runs: int, buckets: int = BUCKETS, head: int = HEAD) -> Head:
     """The words that are at least one in ``head`` of all words of ``_text``, and, for runs of two or
     more, the pairs of them that are as frequent. Counted over all texts; at most ``head`` of each."""
-    counts = materialise(
-        _counted(texts, lambda found: ((w,) for w in found), "_word binary"), "resample-words"
-    )
+    counts = materialise(_counted(texts, lambda found: found, "_word binary"), "resample-words")
     total = counts.agg(F.sum("_n")).first()[0] or 0
     often = counts.where(F.col("_n") * head >= total).collect()
     found = Head(buckets, {bytes(r["_word"]): zlib.crc32(r["_word"]) for r in often})
@@ -123,12 +122,12 @@ def coded(texts: DataFrame, head: Head, runs: int) -> DataFrame:
     @F.pandas_udf("n_words bigint, n_features bigint, buckets binary")
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            lists = [words(t) for t in batch]
-            features = [head.coded(found, runs) for found in lists]
-            yield pd.DataFrame({
-                "n_words": [len(found) for found in lists], "n_features": [len(f) for f in features],
-                "buckets": [f.astype("<u4").tobytes() for f in features],
-            })
+            rows = []
+            for text in batch:  # the words of one text at a time
+                found = words(text)
+                features = head.coded(found, runs)
+                rows.append((len(found), len(features), features.astype("<u4").tobytes()))
+            yield pd.DataFrame(rows, columns=["n_words", "n_features", "buckets"])
 
     parts = ("n_words", "n_features", "buckets")
     return texts.withColumn("_code", code("_text")).select(
