@@ -46,6 +46,8 @@ class PipelineConfig:
     files_per_batch: int = 1000
     #: Change batches of a keyed table after which they are folded into its base.
     compact_every: int = 100
+    #: Hash buckets of keyed tables and of the latest months. They stay as at the first start.
+    buckets: int = 64
 
     @classmethod
     def from_args(cls, argv: Sequence[str]) -> PipelineConfig:

@@ -46,11 +46,16 @@ def number_text(value: Column) -> Column:
     )
 
 
-def finite_number(text: Column) -> Column:
-    """A decimal number, with or without exponent; null for anything else and beyond doubles."""
+def finite_number(text: Column, scale: int | None = 2) -> Column:
+    """A decimal number, with or without exponent; null for anything else and beyond doubles.
+
+    With ``scale`` it is also null if its whole units of that many decimals don't fit into 64 bits. That is
+    the bound of exact sums of that scale, so what is taken here is never refused there.
+    """
     plain = text.cast("string").rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
     value = text.try_cast("double")
-    return F.when(plain & (F.abs(value) < float("inf")), value)
+    size = F.abs(value) if scale is None else F.abs(F.rint(value * F.lit(float(10**scale))))
+    return F.when(plain & (size < F.lit(float("inf") if scale is None else float(2**63))), value)
 
 
 def window_json(data: Column) -> Column:

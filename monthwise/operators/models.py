@@ -19,6 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Shares of the largest spread below which a direction of the features counts as none.
+SINGULAR = 1e-10
+
+
 class Scorer(Protocol):
     def score(self, df: DataFrame, features: Sequence[str], output: str) -> DataFrame: ...
 
@@ -87,6 +91,29 @@ def linear_scorer(model: LinearRegressionModel) -> ColumnScorer:
     return ColumnScorer(rule)
 
 
+class SeriesScorer:
+    """A linear model of its own for each series, from :func:`train_by_series`.
+
+    The models are joined by the series, one narrow row each; the optimiser broadcasts them below its limit.
+    A series without a model gets null. Null is a series.
+    """
+
+    def __init__(self, models: DataFrame, series: Sequence[str]):
+        self.models, self.series = models, list(series)
+
+    def score(self, df: DataFrame, features: Sequence[str], output: str) -> DataFrame:
+        names = [f"model_{i}" for i in range(len(self.series))]
+        models = self.models.select(
+            *[F.col(s).alias(n) for s, n in zip(self.series, names)],
+            F.col("intercept").alias("model_intercept"), F.col("weights").alias("model_weights"),
+        )
+        result = F.col("model_intercept")
+        for i, feature in enumerate(features):
+            result = result + F.get("model_weights", F.lit(i)) * F.col(feature)
+        same = [F.col(s).eqNullSafe(F.col(n)) for s, n in zip(self.series, names)]
+        return df.join(models, same, "left").select(*df.columns, result.alias(output))
+
+
 def input_names(count: int) -> list[str]:
     return [f"f_{i}" for i in range(count)]
 
@@ -113,6 +140,59 @@ def train_pooled(
     return Pipeline(stages=[assembler, estimator]).fit(label_and_features(rows, features, label))
 
 
+def train_by_series(
+    rows: DataFrame, features: Sequence[str], series: Sequence[str], label: str = "difference"
+) -> DataFrame:
+    """Least squares for every series: ``series..., rows, intercept, weights, is_singular``.
+
+    One aggregate takes the means and covariances of all columns, which merge in the map tasks without
+    loss of digits; a series with a third of all rows sends one row a task. The systems, one row a series, are then
+    solved batch by batch.
+
+    Where a series has a constant feature, features that depend on one another, or no more rows than
+    features, ``is_singular`` is true and the solution is the one with the least weights in units of the features'
+    spreads: a constant feature gets weight 0, and a series of one row its own value as the intercept. Rows
+    with a null label or feature don't count; a series without any others has no model.
+    """
+    inputs = input_names(len(features))
+    given = rows.select(*series, F.col(label).cast("double").alias("label"),
+                        *[F.col(f).cast("double").alias(n) for f, n in zip(features, inputs)])
+    columns = [*inputs, "label"]
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:] if a != "label"]
+    sums = given.dropna(subset=columns).groupBy(*series).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.array(*[F.avg(c) for c in columns]).alias("means"),
+        F.array(*[F.covar_pop(a, b) for a, b in pairs]).alias("spreads"),
+    )
+    size = len(inputs)
+
+    @F.pandas_udf("intercept double, weights array<double>, is_singular boolean")
+    def solve(means: pd.Series, spreads: pd.Series) -> pd.DataFrame:
+        mean = np.stack(means.to_numpy()).astype(float)
+        flat = np.stack(spreads.to_numpy()).astype(float)
+        square, right = np.zeros((len(flat), size, size)), np.zeros((len(flat), size))
+        for k, (a, b) in enumerate(pairs):
+            i, j = columns.index(a), columns.index(b)
+            if b == "label":
+                right[:, i] = flat[:, k]
+            else:
+                square[:, i, j] = square[:, j, i] = flat[:, k]
+        spread = np.sqrt(np.maximum(np.einsum("nii->ni", square), 0))
+        scale = np.divide(1, spread, out=np.zeros_like(spread), where=spread > 0)
+        standard = square * scale[:, :, None] * scale[:, None, :]
+        inverse = np.linalg.pinv(standard, rcond=SINGULAR, hermitian=True)
+        weights = np.einsum("nij,nj->ni", inverse, right * scale) * scale
+        known = np.linalg.eigvalsh(standard)
+        return pd.DataFrame({
+            "intercept": mean[:, -1] - (weights * mean[:, :-1]).sum(1),
+            "weights": list(weights),
+            "is_singular": known[:, 0] <= SINGULAR * np.abs(known[:, -1]),
+        })
+
+    solved = sums.select(*series, "rows", solve("means", "spreads").alias("model"))
+    return solved.select(*series, "rows", "model.*")
+
+
 def holdout_error(
     rows: DataFrame, prediction: str, label: str, series: Sequence[str] = ()
 ) -> DataFrame:

@@ -14,22 +14,32 @@ from monthwise.functions.calendar import month_of
 UNIT_BITS = 20
 
 
-def exact_sum(value: Column, scale: int) -> Column:
-    """Sum of amounts with ``scale`` decimals, independent of row order.
+def exact_units(value: Column, scale: int) -> Column:
+    """Sum of amounts with ``scale`` decimals as a whole number of the smallest unit, a decimal.
 
     Each amount becomes a whole number of its smallest unit, whose high and low bits are
     summed apart. Both sums are longs, so they stay in the code-generated hash map, and
     neither overflows below 8e12 rows per group; a plain long sum of cents could at 100 TB.
-    Values that are not finite, or beyond 64 bits of units, count as missing: the parsers set such
-    records aside as bad sales.
+
+    An amount that is not finite or needs more than 64 bits of units fails the job: the parsers set such
+    texts aside by the same bound (:func:`monthwise.functions.text.finite_number`), so only columns that went through none can
+    hold one.
     """
-    factor = F.lit(float(10**scale))
-    scaled = F.rint(value * factor)
-    units = F.when(F.abs(scaled) < F.lit(float(2**63)), scaled).cast("bigint")
+    scaled = F.rint(value * F.lit(float(10**scale)))
+    units = (
+        F.when(value.isNull(), F.lit(None))
+        .when(F.abs(scaled) < F.lit(float(2**63)), scaled)
+        .otherwise(F.raise_error(F.lit("an amount is not finite or beyond 64 bits of its smallest unit")))
+        .cast("bigint")
+    )
     high = F.sum(F.shiftright(units, UNIT_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit(2**UNIT_BITS - 1))).cast("decimal(20,0)")
-    whole = high * F.lit(2**UNIT_BITS).cast("decimal(8,0)") + low
-    return whole.cast("double") / factor
+    return (high * F.lit(2**UNIT_BITS).cast("decimal(8,0)") + low).cast("decimal(38,0)")
+
+
+def exact_sum(value: Column, scale: int) -> Column:
+    """Sum of amounts with ``scale`` decimals, independent of row order; see :func:`exact_units`."""
+    return exact_units(value, scale).cast("double") / F.lit(float(10**scale))
 
 
 def total(value: Column, scale: int | None = None, skip_nan: bool = False) -> Column:
@@ -45,8 +55,9 @@ def monthly_aggregate(
 ) -> DataFrame:
     """``series..., month`` and one column per aggregate, built-in or user-defined.
 
-    Built-in aggregates combine before the shuffle. A Python aggregate gets a group's values
-    in one piece, so it only suits input that was reduced first, to days for example.
+    Built-in aggregates combine before the shuffle. A grouped Python aggregate gets a group's values
+    in one piece, so it only suits input that was reduced first, to days for example; one that can be
+    merged goes through :func:`monthwise.operators.aggregates.merge_aggregate`.
     """
     month = month_of(F.col(day)).alias("month")
     return records.groupBy(*series, month).agg(

@@ -29,11 +29,12 @@ def parse_messages(
     value: str = "value",
     date_field: str = DATE_FIELD,
     sales_field: str = SALES_FIELD,
+    scale: int | None = 2,
 ) -> DataFrame:
     """Take ``day``, ``sales`` and ``reason`` out of ``{"payload": {...}}`` messages.
 
     ``reason`` is null for usable records and otherwise says what is wrong. Sales must be a finite
-    decimal number.
+    decimal number, small enough for exact sums of ``scale`` decimals.
     """
     date, sales = f"payload.`{date_field}`", f"payload.`{sales_field}`"
     schema = f"payload struct<`{date_field}`:string,`{sales_field}`:string>"
@@ -41,7 +42,7 @@ def parse_messages(
     typed = parsed.withColumns(
         {
             "day": parse_message_day(F.col(date)),
-            "sales": finite_number(F.col(sales)),
+            "sales": finite_number(F.col(sales), scale),
         }
     )
     reason = (
@@ -73,17 +74,19 @@ def type_records(
     patterns: Sequence[str] = (DAY_PATTERN,),
     corrupt: str | None = None,
     sales_required: bool = False,
+    scale: int | None = 2,
 ) -> DataFrame:
     """Add ``day`` and ``amount`` parsed from text columns, and ``reason``.
 
     ``corrupt`` names the column in which a reader kept lines that do not fit the schema.
     Missing sales are legal in files, where they count as zero in monthly totals, but not in
-    messages; ``sales_required`` rejects them.
+    messages; ``sales_required`` rejects them. Amounts must be small enough for exact sums of ``scale``
+    decimals; without it any finite number will do.
     """
     typed = records.withColumns(
         {
             "day": parse_day(F.col(f"`{date}`"), patterns),
-            "amount": finite_number(F.col(f"`{sales}`")),
+            "amount": finite_number(F.col(f"`{sales}`"), scale),
         }
     )
     malformed: Column = F.col(corrupt).isNotNull() if corrupt else F.lit(False)

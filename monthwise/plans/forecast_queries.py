@@ -24,6 +24,7 @@ from monthwise.plans.feature_queries import (
     supplier_months,
 )
 from monthwise.plans.registry import ORDERS_SQL, months_sql, orders, query
+from monthwise.sinks.topics import forecast_values, window_values
 
 SERIES_SQL = f"{ORDERS_SQL}, {months_sql('orders_in')}, one AS (SELECT *, 0 AS series FROM months)"
 
@@ -184,6 +185,31 @@ def forecast_messages(spark, sf_dir):
     )
 
 
+@query(
+    "topic_values",
+    f"""WITH {PRIORITY_SQL}, spans AS (
+      SELECT month, count(*) OVER w AS n, list({{'d': month, 's': sales}}) OVER w AS items FROM months
+      WINDOW w AS (PARTITION BY o_orderpriority ORDER BY month ROWS BETWEEN 16 PRECEDING AND CURRENT ROW))
+    SELECT NULL::VARCHAR AS key, '{{"data":[' || array_to_string(list_transform(items, lambda i:
+        '{{"date":"' || strftime(i.d, '%Y-%m-%d') || '","sales":' || CAST(round(i.s / 16) AS BIGINT) || '.0}}'),
+        ',') || ']}}' AS value FROM spans WHERE n = 17
+    UNION ALL
+    SELECT strftime(month, '%Y-%m-%d'), '{{"schema":{{"type":"struct","fields":['
+      || '{{"type":"string","optional":false,"field":"date"}},'
+      || '{{"type":"string","optional":false,"field":"sales"}}],"optional":false,'
+      || '"name":"com.github.jcustenborder.kafka.connect.model.Value"}},'
+      || '"payload":{{"date":"' || strftime(month, '%Y-%m-%d') || '","sales":"'
+      || CAST(round(sales / 16) AS BIGINT) || '.0"}}}}' FROM months""",
+)
+def topic_values(spark, sf_dir):
+    """Keys and texts as the topic sinks send them: windows without a key, results keyed by their date.
+    Sales are whole numbers below the size from which texts have an exponent."""
+    monthly = priority_months(spark, sf_dir).withColumn("sales", F.round(F.col("sales") / 16))
+    windows = window_values(ft.sliding_windows(monthly, PRIORITY))
+    results = forecast_values(monthly.withColumnRenamed("month", "date"))
+    return windows.select(F.lit(None).cast("string").alias("key"), "value").unionAll(results)
+
+
 # Scaling as served: features and result use neighbouring columns' ranges in compat mode.
 RANGE_COLUMNS = ", ".join(
     f"min({c}) AS low_{c}, max({c}) AS high_{c}" for c in TRAIN_COLUMNS

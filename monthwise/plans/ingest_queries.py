@@ -88,6 +88,26 @@ def message_dead_letters(spark, sf_dir):
     return ql.dead_letters(checked).select("o_orderkey", "reason")
 
 
+@query(
+    "amounts_beyond_bound",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 7 < 5 THEN 'bad sales' END AS reason,
+       CASE WHEN o_orderkey % 7 > 4 THEN o_totalprice END AS sales FROM orders""",
+)
+def amounts_beyond_bound(spark, sf_dir):
+    """Amounts that exact sums can't take are dead letters, and none of the others is lost."""
+    kind = F.col("o_orderkey") % 7
+    odd = F.element_at(
+        F.array(*[F.lit(t) for t in ("1e17", "-9.3e16", "NaN", "Infinity", "1e400")]),
+        (F.least(kind, F.lit(4)) + 1).cast("int"),
+    )
+    records = orders(spark, sf_dir).select(
+        "o_orderkey", F.date_format("day", "yyyy-MM-dd").alias(DATE_FIELD),
+        F.when(kind < 5, odd).otherwise(F.col("sales").cast("string")).alias(SALES_FIELD),
+    )
+    checked = ql.type_records(records, DATE_FIELD, SALES_FIELD)
+    return checked.select("o_orderkey", "reason", F.col("amount").alias("sales"))
+
+
 CSV_HEADER = f"o_orderkey,{DATE_FIELD},{SALES_FIELD},o_orderpriority"
 
 
@@ -256,6 +276,32 @@ def redelivered_records(spark, sf_dir):
     return persisted.read().drop("postgres_pk")
 
 
+FOLDS = 4
+
+
+@query(
+    "upsert_folded",
+    f"""SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice,
+       arg_max(o_orderpriority, o_orderkey) AS o_orderpriority, arg_max(o_orderkey % {FOLDS}, o_orderkey) AS part
+    FROM orders GROUP BY o_custkey""",
+)
+def upsert_folded(spark, sf_dir):
+    """Several upserts, each folded at once into the buckets it touches; the last order of a customer stays."""
+    source = orders(spark, sf_dir).select(
+        "o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority",
+        (F.col("o_orderkey") % FOLDS).alias("part"),
+    )
+    target = KeyedTable(
+        spark, fresh_dir(spark, "folded"), ["o_custkey"], ["o_orderkey"], compact_every=1, buckets=8
+    )
+    # An earlier batch may bring later orders, so each row is resolved against those before it.
+    for part in range(FOLDS):
+        batch = source.filter(F.col("part") == part)
+        known = target.read()
+        target.upsert(batch if known is None else batch.unionByName(known), part)
+    return target.read()
+
+
 @query(
     "upsert_widened",
     """WITH returned AS (

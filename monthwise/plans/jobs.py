@@ -78,7 +78,9 @@ def result_rows(messages: DataFrame) -> DataFrame:
 def results_table(spark: SparkSession, config: PipelineConfig) -> KeyedTable:
     one_series(config)
     root = job_root(spark, config, "results") + "/table"
-    return KeyedTable(spark, root, ["date"], ["seq"], compact_every=config.compact_every)
+    return KeyedTable(
+        spark, root, ["date"], ["seq"], compact_every=config.compact_every, buckets=config.buckets
+    )
 
 
 def features(spark: SparkSession, config: PipelineConfig) -> None:
@@ -127,7 +129,8 @@ def persist(spark: SparkSession, config: PipelineConfig) -> None:
         files_per_batch=config.files_per_batch,
     )
     job = CsvPersistJob(
-        spark, job_root(spark, config, "persist"), compact_every=config.compact_every
+        spark, job_root(spark, config, "persist"), compact_every=config.compact_every,
+        buckets=config.buckets,
     )
     job.start(files, every=config.trigger).awaitTermination()
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from monthwise.config import TRAIN_LAGS
 from monthwise.operators.forecast import forecast_windows, result_table
-from monthwise.operators.models import PythonScorer, holdout_error, linear_scorer, train_pooled
+from monthwise.operators.models import (
+    PythonScorer, SeriesScorer, holdout_error, linear_scorer, train_by_series, train_pooled,
+)
 from monthwise.operators.scaling import MinMaxScaler
 from monthwise.plans.feature_queries import (
     SPLIT_SQL, SUPPLIER, SUPPLIER_SQL, lags_sql, supplier_months,
@@ -84,6 +86,31 @@ def model_one_feature(spark, sf_dir):
     )
 
 
+@query(
+    "model_by_series",
+    f"""WITH {SUPPLIER_SQL}, {lags_sql('l_suppkey', TRAIN_LAGS)}, {SPLIT_SQL.format(series='l_suppkey')},
+    fitted AS (SELECT l_suppkey, count(*) AS fitted_rows, regr_slope(difference, lag_11) AS slope,
+                      regr_intercept(difference, lag_11) AS intercept
+               FROM split WHERE NOT is_test GROUP BY l_suppkey)
+    SELECT l_suppkey, any_value(fitted_rows) AS fitted_rows, round(any_value(slope), 6) AS slope,
+           round(any_value(intercept), 3) AS intercept, count(*) AS rows,
+           round(sqrt(avg((slope * lag_11 + intercept - difference) ** 2)), 3) AS rmse
+    FROM split JOIN fitted USING (l_suppkey) WHERE is_test GROUP BY l_suppkey""",
+)
+def model_by_series(spark, sf_dir):
+    """A line of its own for every supplier, applied to the months that were held out."""
+    rows = materialise(training_rows(supplier_months(spark, sf_dir), SUPPLIER), "series-rows")
+    models = materialise(
+        train_by_series(rows.filter(~F.col("is_test")), ONE, SUPPLIER), "series-models"
+    )
+    held = SeriesScorer(models, SUPPLIER).score(rows.filter("is_test"), ONE, "y")
+    errors = holdout_error(held, "y", "difference", SUPPLIER)
+    return models.withColumnRenamed("rows", "fitted_rows").join(errors, SUPPLIER).select(
+        *SUPPLIER, "fitted_rows", F.round(F.get("weights", F.lit(0)), 6).alias("slope"),
+        F.round("intercept", 3).alias("intercept"), "rows", F.round("rmse", 3).alias("rmse"),
+    )
+
+
 @query("holdout_error_trained")
 def holdout_error_trained(spark, sf_dir):
     trained, rows = train(supplier_months(spark, sf_dir), SUPPLIER)

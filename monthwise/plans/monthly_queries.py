@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections import Counter
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from monthwise.functions import calendar as cal
 from monthwise.functions.text import number_text
+from monthwise.operators.aggregates import merge_aggregate
 from monthwise.operators.monthly import (
     day_counts, exact_sum, fill_gaps, month_mode_day, monthly_aggregate, monthly_totals,
 )
@@ -181,3 +187,40 @@ def event_ordinal_time(spark, sf_dir):
 def sales_text(spark, sf_dir):
     monthly = monthly_totals(orders(spark, sf_dir), "day", "sales", ["o_orderpriority"], scale=2)
     return monthly.select("o_orderpriority", "month", number_text(F.col("sales")).alias("sales_text"))
+
+
+class SumAndMode:
+    """Sum of cents and the most frequent day, the earliest of those that tie."""
+
+    def create(self) -> tuple[int, Counter]:
+        return 0, Counter()
+
+    def add(self, buffer: tuple[int, Counter], rows: pd.DataFrame) -> tuple[int, Counter]:
+        cents, days = buffer
+        units = np.rint(rows["sales"].to_numpy() * 100).astype(np.int64)
+        days.update(rows["day"].to_list())
+        return cents + int(units.sum()), days
+
+    def merge(self, left: tuple[int, Counter], right: tuple[int, Counter]) -> tuple[int, Counter]:
+        return left[0] + right[0], left[1] + right[1]
+
+    def result(self, buffer: tuple[int, Counter]) -> tuple[float, dt.date, int]:
+        cents, days = buffer
+        day, records = min(days.items(), key=lambda item: (-item[1], item[0]))
+        return cents / 100, day, records
+
+
+@query(
+    "user_aggregate_merged",
+    f"""WITH {LINES_SQL}, mode_days AS ({MODE_SQL.format(key="l_returnflag,", ts="l_shipdate", source="lineitem")}),
+    sums AS (SELECT l_returnflag, CAST(date_trunc('month', day) AS DATE) AS month,
+                    CAST(sum(amount) AS DOUBLE) AS sales FROM lines_in GROUP BY ALL)
+    SELECT l_returnflag, month, sales, mode_day, records FROM sums JOIN mode_days USING (l_returnflag, month)""",
+)
+def user_aggregate_merged(spark, sf_dir):
+    """A Python aggregate with the four methods of a mergeable one: one buffer a month and task is exchanged."""
+    lines = lineitem(spark, sf_dir).withColumn("month", cal.month_of(F.col("day")))
+    return merge_aggregate(
+        lines, ["l_returnflag", "month"], ["sales", "day"], SumAndMode(),
+        "sales double, mode_day date, records bigint",
+    )

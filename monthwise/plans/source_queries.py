@@ -63,13 +63,13 @@ def mixed_files(spark, sf_dir) -> str:
     return target
 
 
-@query(
-    "csv_mixed_headers",
-    f"""WITH {ORDERS_SQL}
+MIXED_SQL = f"""WITH {ORDERS_SQL}
     SELECT CASE WHEN o_orderkey % 3 <> 2 THEN o_orderpriority END AS o_orderpriority,
       CAST(date_trunc('month', day) AS DATE) AS month, CAST(sum(amount) AS DOUBLE) AS sales
-    FROM orders_in GROUP BY ALL""",
-)
+    FROM orders_in GROUP BY ALL"""
+
+
+@query("csv_mixed_headers", MIXED_SQL)
 def csv_mixed_headers(spark, sf_dir):
     rows = dropdir.read_csv(spark, mixed_files(spark, sf_dir))
     checked = ql.type_records(rows, DATE_FIELD, SALES_FIELD, corrupt=dropdir.MALFORMED)
@@ -153,6 +153,81 @@ def typed_csv_rows(spark, sf_dir):
     return rows.filter(F.col(dropdir.MALFORMED).isNull()).select(*schema.names)
 
 
+@query(
+    "typed_csv_records",
+    """SELECT event_id, user_id, event_type, epoch_us(ts) AS at_us,
+       CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS amount, event_type = 'error' AS malformed
+    FROM events WHERE event_type <> 'error'
+    UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, true FROM events WHERE event_type = 'error'""",
+)
+def typed_csv_records(spark, sf_dir):
+    """A declared schema of long, string, timestamp and decimal; errors have a word for the amount and
+    so are malformed lines."""
+    error = F.col("event_type") == "error"
+    events = table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("last_login"), "event_type",
+        F.when(error, "none").otherwise(F.col("value").cast("decimal(18,2)").cast("string")).alias("amount"),
+        "event_id", "user_id",
+    )
+    part = fresh_dir(spark, "typed-records")
+    events.write.options(header="true", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(part)
+    schema = T._parse_datatype_string(
+        "event_id bigint, user_id bigint, event_type string, last_login timestamp, amount decimal(18,2)"
+    )
+    rows = dropdir.read_csv(spark, part, schema, glob="*.csv")
+    broken = F.col(dropdir.MALFORMED).isNotNull()
+    written = F.split(F.col(dropdir.MALFORMED), ",")
+    known = {
+        "user_id": F.col("user_id"), "event_type": F.col("event_type"),
+        "at_us": F.unix_micros("last_login"), "amount": F.col("amount").cast("string"),
+    }
+    return rows.select(
+        F.coalesce("event_id", F.get(written, F.lit(3)).try_cast("bigint")).alias("event_id"),
+        *[F.when(~broken, column).alias(name) for name, column in known.items()],
+        broken.alias("malformed"),
+    )
+
+
+@query(
+    "csv_archived",
+    "SELECT o_orderkey, o_totalprice AS sales, true AS persisted FROM orders",
+)
+def csv_archived(spark, sf_dir):
+    """Files that were read lie in the archive, whole, and nowhere else; their records are in the table."""
+    path, done = mixed_files(spark, sf_dir), fresh_dir(spark, "archive")
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
+    job = CsvPersistJob(session, fresh_dir(spark, "archived"))
+    for last in (False, True):
+        # A batch's files are moved when the stream goes on, so a last file without records follows.
+        if last:
+            put_file(spark, f"{path}/transaction_data_last.csv", b"o_orderkey,Sales\n")
+        files = dropdir.stream_files(session, path, archive_dir=done)
+        job.start(files).awaitTermination()
+    kept = job.records().select(F.col("o_orderkey").alias("persisted_key"))
+    left = [f for f in dropdir.list_files(spark, path) if not f.endswith("_last.csv")]
+    if left:
+        raise ValueError(f"files that were not moved: {left}")
+    archived = dropdir.read_csv(spark, archived_folder(spark, done))
+    rows = archived.select(
+        F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
+        F.col(SALES_FIELD).try_cast("double").alias("sales"), F.col("o_orderkey").alias("key"),
+    )
+    joined = rows.join(kept, F.col("key") == F.col("persisted_key"), "left")
+    return joined.select("o_orderkey", "sales", F.col("persisted_key").isNotNull().alias("persisted"))
+
+
+def archived_folder(spark: SparkSession, root: str) -> str:
+    """The one folder below ``root`` that holds files: the archive repeats the path of the source."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    while True:
+        inside = files.listStatus(path)
+        if len(inside) != 1 or not inside[0].isDirectory():
+            return path.toString()
+        path = inside[0].getPath()
+
+
 def event_lines(spark, sf_dir) -> str:
     """Events as JSON lines; those of type error are cut short."""
     events = table(spark, sf_dir, "events")
@@ -200,7 +275,7 @@ def text_rows(spark, sf_dir):
     UNION ALL SELECT 'no fields line', count(*), NULL FROM events WHERE event_type = 'error'""",
 )
 def log_files(spark, sf_dir):
-    """Gzip log files, one folder for each kind of event; those of errors lack the fields line."""
+    """Gzip log files, several for each kind of event; those of errors lack the fields line."""
     target = fresh_dir(spark, "log-files")
     events = table(spark, sf_dir, "events").select("event_type", "event_id")
     for kind in [r[0] for r in events.select("event_type").distinct().collect()]:
@@ -209,8 +284,7 @@ def log_files(spark, sf_dir):
             F.concat_ws(" ", F.col("event_id").cast("string"), "event_type").alias("line")
         )
         header = "#Comment: x" if kind == "error" else "#Fields: id kind"
-        first = spark.range(1).select(F.lit(header).alias("line"))
-        first.unionAll(lines).coalesce(1).write.option("compression", "gzip").text(part)
+        dropdir.write_lines(lines.repartition(4), "line", header, part, compression="gzip")
         named_files(spark, part, target, kind)
     rows = dropdir.parse_log(
         dropdir.log_lines(spark, target), {"id": "bigint", "kind": "string"}

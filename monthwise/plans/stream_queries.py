@@ -8,17 +8,22 @@ count. State and results live in the shared folder.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from monthwise.config import DATE_FIELD, SALES_FIELD
 from monthwise.operators import quality as ql
 from monthwise.operators.models import oldest_feature
 from monthwise.plans.forecast_queries import ahead_sql, result_sql
+from monthwise.operators.monthly import monthly_totals
 from monthwise.plans.ingest_queries import CSV_HEADER, LINES_CHECKED_SQL, write_order_files
 from monthwise.plans.registry import ORDERS_SQL, months_sql, orders, query, stream_table
+from monthwise.plans.replay_queries import REPLAY_SQL
+from monthwise.plans.source_queries import MIXED_SQL, mixed_files
 from monthwise.session import fresh_dir, state_session
 from monthwise.sinks.batch_log import BatchLog
 from monthwise.sources import dropdir
-from monthwise.streaming.jobs import ForecastJob, PersistJob, run_batches
+from monthwise.streaming.exact import ExactMonthJob
+from monthwise.streaming.jobs import CsvJob, ForecastJob, PersistJob, run_batches
 from monthwise.streaming.months import closed_month_stream
 
 PRIORITY = ["o_orderpriority"]
@@ -125,15 +130,20 @@ def stream_batches_forecast(spark, sf_dir):
 def csv_job(spark, sf_dir) -> PersistJob:
     """Drop files with damaged lines, through the CSV stream into the keyed table."""
     path = write_order_files(spark, sf_dir)
-    rows = dropdir.stream_csv(spark, path, glob="*.csv")
-    checked = ql.type_records(
-        rows, DATE_FIELD, SALES_FIELD, corrupt=dropdir.MALFORMED, sales_required=True
-    )
     columns = CSV_HEADER.split(",")
     # Column names of the files hold blanks; the table's do not.
     renamed = {c: c.lower().replace(" ", "_") for c in columns}
-    job = PersistJob(spark, fresh_dir(spark, "persist"), list(renamed.values()))
-    job.start(checked.withColumnsRenamed(renamed)).awaitTermination()
+    root = fresh_dir(spark, "persist")
+    job = PersistJob(spark, root, list(renamed.values()))
+
+    def checked(rows, batch_id):
+        typed = ql.type_records(
+            rows, DATE_FIELD, SALES_FIELD, corrupt=dropdir.MALFORMED, sales_required=True
+        )
+        job.handle(typed.withColumnsRenamed(renamed), batch_id)
+
+    files = dropdir.stream_files(spark, path, glob="*.csv")
+    CsvJob(spark, f"{root}/files", checked).start(files).awaitTermination()
     return job
 
 
@@ -162,3 +172,56 @@ def stream_persisted_records(spark, sf_dir):
 def stream_dead_letters(spark, sf_dir):
     rejected = csv_job(spark, sf_dir).rejected()
     return rejected.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"), "reason")
+
+
+def exact_job(spark, sf_dir, series=()) -> ExactMonthJob:
+    """Orders in the order of their arrival, cut into a stream run for each two years of it."""
+    source = orders(spark, sf_dir).select("o_orderkey", "o_custkey", "day", "sales", "seq")
+    arrival = F.date_from_unix_date(F.shiftright("seq", 44).cast("int"))
+    source = source.withColumn("cut", F.floor(F.year(arrival) / 2))
+    job = ExactMonthJob(spark, fresh_dir(spark, "exact"), series, scale=2)
+    path = fresh_dir(spark, "arrivals")
+    schema = source.drop("cut").schema
+    for row in source.select("cut").distinct().orderBy("cut").collect():
+        part = source.filter(F.col("cut") == row["cut"]).drop("cut")
+        part.write.mode("append").parquet(path)
+        job.start(spark.readStream.schema(schema).parquet(path)).awaitTermination()
+    return job
+
+
+@query(
+    "stream_exact_months",
+    f"""WITH {REPLAY_SQL}
+    SELECT o_custkey, month, CAST(sum(amount) AS DOUBLE) AS sales
+    FROM arrivals JOIN fire USING (month) WHERE pos <= fire_pos GROUP BY o_custkey, month""",
+)
+def stream_exact_months(spark, sf_dir):
+    """The watermark moves with every record, as in the batch replay."""
+    return exact_job(spark, sf_dir, ["o_custkey"]).months()
+
+
+@query(
+    "stream_late_records",
+    f"""WITH {REPLAY_SQL}
+    SELECT o_orderkey, month, o_totalprice AS sales
+    FROM arrivals JOIN fire USING (month) WHERE pos > fire_pos""",
+)
+def stream_late_records(spark, sf_dir):
+    return exact_job(spark, sf_dir).late_records().select("o_orderkey", "month", "sales")
+
+
+@query("stream_mixed_headers", MIXED_SQL)
+def stream_mixed_headers(spark, sf_dir):
+    """Files of three headers through the stream, a few in each batch, columns by name."""
+    root = fresh_dir(spark, "mixed-stream")
+    log = BatchLog(spark, f"{root}/records", merge_every=4)
+
+    def keep(rows, batch_id):
+        checked = ql.type_records(rows, DATE_FIELD, SALES_FIELD, corrupt=dropdir.MALFORMED)
+        log.write(ql.good_records(checked).select("day", "amount", *PRIORITY), batch_id)
+
+    # A batch may hold files without the priority only, so the columns are declared.
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in CSV_HEADER.split(",")])
+    files = dropdir.stream_files(spark, mixed_files(spark, sf_dir), files_per_batch=5)
+    CsvJob(spark, root, keep, schema).start(files).awaitTermination()
+    return monthly_totals(log.read(), "day", "amount", PRIORITY, scale=2)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from monthwise.operators.latest import latest_per_key
 from monthwise.operators.quality import REASON, dead_letters, good_records
 from monthwise.sinks.batch_log import BATCH, BatchLog
+from monthwise.sinks.bucket_store import BucketStore
 
 COLUMNS_SET = "columns_set"
 
@@ -19,12 +20,12 @@ class KeyedTable:
     the greatest ``order`` within a batch.
 
     An upsert is one pass over its batch without a shuffle, however large the table is, and
-    replaying a batch id changes nothing. :meth:`compact` folds the batches so far into a base,
-    so that reads stay cheap; with ``compact_every`` an upsert does so once that many batches have
-    come together. Then the batches that the base before had folded, and older bases, are removed, so
-    the number of directories is bounded and a reader of the last base loses nothing. Batches with
-    dead letters move to ``rejected`` when folded. The first upsert creates the table, new columns
-    widen it.
+    replaying a batch id changes nothing. :meth:`compact` folds the batches so far into a base of hash
+    buckets, of which it reads and rewrites only those that the batches touch; with ``compact_every`` an
+    upsert does so once that many batches have come together, with 1 at once, so that a read is one pass over
+    the base. The batches that the base before had folded are then removed, so the number of
+    directories is bounded and a reader of the last base loses nothing. Dead letters move to
+    ``rejected`` when folded. The first upsert creates the table, new columns widen it.
 
     Rows that carry a ``reason``, and rows without a key, are kept as dead letters.
 
@@ -40,12 +41,13 @@ class KeyedTable:
         order: Sequence[str] = (),
         merge_columns: bool = False,
         compact_every: int | None = None,
+        buckets: int = 16,
     ):
         self.keys, self.rank = list(keys), [BATCH, *order]
         self.merge_columns = merge_columns
         self.changes = BatchLog(spark, f"{root}/changes")
-        self.base = BatchLog(spark, f"{root}/base")
-        self.refused = BatchLog(spark, f"{root}/rejected")
+        self.base = BucketStore(spark, f"{root}/base", keys, buckets)
+        self.refused = BatchLog(spark, f"{root}/rejected", merge_every=16)
         self.compact_every = compact_every
 
     def upsert(self, df: DataFrame, batch_id: int) -> None:
@@ -53,8 +55,8 @@ class KeyedTable:
 
         A batch that a base holds already is not written again.
         """
-        bases = self.base.committed()
-        if bases and batch_id <= bases[-1]:
+        folded = self.base.version()
+        if folded is not None and batch_id <= folded:
             return
         reasons = [F.when(F.col(k).isNull(), f"no {k}") for k in self.keys]
         if REASON in df.columns:
@@ -63,10 +65,14 @@ class KeyedTable:
         df = df.withColumn(REASON, F.coalesce(*reasons).cast("string"))
         self.changes.write(self._with_columns_set(df, columns), batch_id)
         if self.compact_every:
-            open_batches = [i for i in self.changes.committed() if not bases or i > bases[-1]]
-            if len(open_batches) >= self.compact_every:
+            if len(self._open()) >= self.compact_every:
                 self.compact()
 
+    def _open(self) -> list[int]:
+        """Complete batches that no base holds yet."""
+        folded = self.base.version()
+        return [i for i in self.changes.committed() if folded is None or i > folded]
+
     def read(self) -> DataFrame | None:
         """Current rows; None before the first upsert."""
         resolved = self._resolved()
@@ -74,32 +80,42 @@ class KeyedTable:
 
     def rejected(self) -> DataFrame | None:
         """Dead letters with reason and batch id."""
-        done = self.refused.committed()
-        old = self.refused.read()
-        changes = self.changes.read(above=done[-1] if done else None)
+        folded = self.base.version()
+        old = None if folded is None else self.refused.read(below=folded + 1)
+        changes = self.changes.read(above=folded)
         new = None if changes is None else dead_letters(changes).drop(COLUMNS_SET)
         if old is None or new is None:
             return new if old is None else _own_batch(old)
         return _own_batch(old).unionByName(new, allowMissingColumns=True)
 
     def compact(self) -> None:
-        """Fold all complete batches into a new base. Readers use it once it is complete."""
-        ids = self.changes.committed()
-        if ids and (not self.base.committed() or self.base.committed()[-1] < ids[-1]):
-            kept = self.refused.committed()
-            letters = dead_letters(self.changes.read(above=kept[-1] if kept else None))
-            # Every fold adds its own dead letters; each row tells its batch, the directory the fold.
-            letters = letters.drop(COLUMNS_SET).withColumnRenamed(BATCH, "folded")
+        """Fold all complete batches into the base. Readers use it once it is complete."""
+        ids = self._open()
+        if not ids:
+            return
+        changes = self.changes.read(above=self.base.version())
+        # Every fold adds its own dead letters; each row tells its batch, the directory the fold.
+        letters = dead_letters(changes).drop(COLUMNS_SET).withColumnRenamed(BATCH, "folded")
+        if not letters.isEmpty():
             self.refused.write(letters, ids[-1])
-            resolved = self._resolved().drop(BATCH, COLUMNS_SET)
-            self.base.write(self._with_columns_set(resolved, resolved.columns), ids[-1])
-            bases = self.base.committed()
-            if len(bases) > 1:
-                for old in bases[:-2]:
-                    self.base.drop(old)
-                for folded in ids:
-                    if folded <= bases[-2]:
-                        self.changes.drop(folded)
+        changes = good_records(changes)
+        touched = self.base.touched(changes)
+        old = self.base.read(only=touched)
+        # Each batch key is one row before rows meet the base's, so no key crowds a task.
+        rows = changes if self.merge_columns else self._newest(changes)
+        if old is not None:
+            rows = rows.unionByName(self._as_change(old), allowMissingColumns=True)
+        rows = self._newest(self.base.spread(rows)).drop(BATCH, COLUMNS_SET)
+        self.base.replace(rows, ids[-1], touched, spread=False)
+        versions = self.base.committed()
+        for folded in self.changes.committed():
+            if len(versions) > 1 and folded <= versions[-2]:
+                self.changes.drop(folded)
+
+    def _as_change(self, base: DataFrame) -> DataFrame:
+        """Rows of the base as those of a batch before all others."""
+        base = self._with_columns_set(base, base.columns)
+        return base.withColumn(BATCH, F.lit(-1).cast("bigint"))
 
     def _with_columns_set(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
         if not self.merge_columns:
@@ -112,20 +128,20 @@ class KeyedTable:
         The join only carries keys. While few have changed since the last compaction, the
         optimiser broadcasts them and the base is neither shuffled nor sorted.
         """
-        bases = self.base.committed()
-        changes = self.changes.read(above=bases[-1] if bases else None)
-        if not bases:
+        changes = self.changes.read(above=self.base.version())
+        base = self.base.read()
+        if base is None:
             return None if changes is None else self._newest(good_records(changes))
-        base = self.base.read(only=bases[-1])
         if changes is None:
             return base
         changes = good_records(changes)
         touched = changes.select(*self.keys).distinct()
         if self.merge_columns:
-            before = base.join(touched, self.keys, "left_semi")
+            before = self._as_change(base.join(touched, self.keys, "left_semi"))
             changes = changes.unionByName(before, allowMissingColumns=True)
         untouched = base.join(touched, self.keys, "left_anti")
-        return untouched.unionByName(self._newest(changes), allowMissingColumns=True)
+        newest = self._newest(changes).drop(BATCH, COLUMNS_SET)
+        return untouched.unionByName(newest, allowMissingColumns=True)
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         if self.merge_columns:

@@ -7,8 +7,12 @@ the job, and every row carries the file it came from in ``source_file``.
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,39 +63,84 @@ def list_files(spark: SparkSession, path: str, glob: str = FILE_GLOB) -> list[st
     return sorted(s.getPath().toString() for s in found if s.isFile())
 
 
-def _first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    stream = where.getFileSystem(conf).open(where)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
-        source = codec.createInputStream(stream) if codec else stream
-        decoder = jvm.java.nio.charset.Charset.forName(encoding).newDecoder()
-        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, decoder)).readLine()
-    finally:
-        stream.close()
+#: Bytes up to which a file is read whole to see its first line, and bytes of one split of a longer one.
+SMALL, SPLIT = 1 << 20, 128 << 20
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str], small: bool) -> DataFrame:
+    """``path, line`` of the first line of each small, or each longer, file that has one, as bytes.
+
+    Small files are packed into tasks and read whole. Every split of a longer file is a task of its own that
+    stops after a few lines. So a directory of any size costs little, and nothing is opened on the driver.
+    """
+    sister = spark.newSession()
+    for name, value in {
+        "spark.sql.files.maxPartitionBytes": SPLIT,
+        "spark.sql.files.openCostInBytes": SMALL // 8 if small else SPLIT,
+        "spark.sql.files.ignoreCorruptFiles": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": 10_000 if small else 4,
+    }.items():
+        sister.conf.set(name, str(value))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            path, start = batch.column("path"), batch.column("start")
+            begins = pc.not_equal(path, pa.concat_arrays([path.slice(0, 1), path.slice(0, len(path) - 1)]))
+            begins = pa.concat_arrays([pa.array([path[0].as_py() != before]), begins.slice(1)])
+            yield batch.filter(pc.and_(begins, pc.equal(start, 0)))
+            before = path[-1].as_py()
+            if not small:
+                return
+
+    size = F.col("_metadata.file_size")
+    lines = sister.read.text(list(paths)).where(size <= SMALL if small else size > SMALL).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    return lines.mapInArrow(first, lines.schema).select("path", "line")
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme and host, to compare names that come from different places."""
+    return re.sub(r"/+", "/", re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", path))
 
 
 def file_headers(
     spark: SparkSession, paths: Sequence[str], sep: str = COMMA, encoding: str = "UTF-8"
 ) -> tuple[dict[tuple[str, ...], list[str]], dict[str, str]]:
-    """Files by header, and unreadable files with the reason. Reads the first line of each file."""
+    """Files by header, and unreadable files with the reason.
+
+    Tasks read the headers; the driver gets each distinct first line with the files that begin with it.
+    """
     groups: dict[tuple[str, ...], list[str]] = {}
     refused: dict[str, str] = {}
-    for path in paths:
+    given = {_plain(p): p for p in paths}
+    if not given:
+        return groups, refused
+    rows = [
+        row for small in (True, False)
+        for row in first_lines(spark, paths, small)
+        .groupBy("line").agg(F.collect_list("path").alias("files")).collect()
+    ]
+    for row in rows:
+        files = [given.pop(unquote(_plain(f))) for f in row["files"]]
         try:
-            line = _first_line(spark, path, encoding)
-        except Exception as problem:  # whatever the file system or the decoder says
-            refused[path] = "unreadable file: " + str(problem).strip().splitlines()[-1][:200]
+            line = bytes(row["line"]).decode(encoding)
+        except UnicodeDecodeError as problem:
+            refused |= {f: f"unreadable file: {problem}"[:200] for f in files}
             continue
-        names = next(csv.reader([(line or "").lstrip("\ufeff")], delimiter=sep), [])
+        names = next(csv.reader([line.lstrip("\ufeff")], delimiter=sep), [])
         if not any(names):
-            refused[path] = "no header"
+            refused |= {f: "no header" for f in files}
         elif len(set(names)) < len(names):
-            refused[path] = "repeated column name"
+            refused |= {f: "repeated column name" for f in files}
         else:
-            groups.setdefault(tuple(names), []).append(path)
-    return groups, refused
+            groups.setdefault(tuple(names), []).extend(files)
+    refused |= {f: "no header" for f in given.values()}  # no line at all, or none that could be unpacked
+    return {names: sorted(files) for names, files in groups.items()}, refused
 
 
 def read_csv_files(
@@ -152,7 +201,11 @@ def stream_files(
     archive_dir: str | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """``path`` of each new file once, without reading it. The directory may still be empty."""
+    """``path`` of each new file once, without reading it. The directory may still be empty.
+
+    What the files hold is read batch by batch, by the names of their columns; see
+    :class:`monthwise.streaming.jobs.CsvJob`. ``archive_dir`` moves files there after they were processed.
+    """
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob)
     return reader.options(**file_stream_options(archive_dir, files_per_batch)).load(path).select("path")
@@ -182,20 +235,6 @@ def read_csv(
     return rows
 
 
-def stream_csv(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType | None = None,
-    archive_dir: str | None = None,
-    files_per_batch: int | None = None,
-    **options: str,
-) -> DataFrame:
-    """Each new file once. ``archive_dir`` moves files there after they were processed."""
-    schema = with_malformed(schema or header_schema(spark, path, **options))
-    reader = spark.readStream.schema(schema).options(**csv_options(**options))
-    return _with_file(reader.options(**file_stream_options(archive_dir, files_per_batch)).csv(path))
-
-
 def file_stream_options(archive_dir: str | None, files_per_batch: int | None) -> dict:
     options = {}
     if archive_dir:
@@ -291,13 +330,15 @@ def _log_value(token: Column) -> Column:
     return F.when(quoted, inner).when(token != "-", token)
 
 
-def write_lines(lines: DataFrame, column: str, header: str, path: str) -> None:
+def write_lines(
+    lines: DataFrame, column: str, header: str, path: str, compression: str = "none"
+) -> None:
     """Write raw text lines as ``.csv`` files that each start with ``header``.
 
     For producing drop files from tables; lines are written as they are, broken ones included.
     """
     one = lines.select(F.col(column).alias(header))
     one.write.options(
-        header="true", sep="\u0002", quote="\u0000", escapeQuotes="false", emptyValue="",
-        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+        header="true", sep="\u0002", quote="\u0000", comment="\u0003", escapeQuotes="false", emptyValue="",
+        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", compression=compression,
     ).csv(path)

@@ -67,26 +67,45 @@ def run_once(stream, root, name):
     return log
 
 
-def test_csv_stream_takes_each_file_once_and_archives(spark, tmp_path):
-    put(tmp_path / "in", "transaction_data_1.csv", HEADER + "1,2014-01-03,1,x\n")
-    schema = dropdir.header_schema(spark, str(tmp_path / "in"))
+def csv_log(spark, folder, root, **options):
+    """Run a CSV stream over the files there are, each a batch, into a log."""
+    from monthwise.streaming.jobs import CsvJob
+
+    log = BatchLog(spark, f"{root}/log")
+    schema, glob = options.pop("schema", None), options.pop("glob", dropdir.FILE_GLOB)
+    job = CsvJob(spark, f"{root}/job", log.write, schema)
+    files = dropdir.stream_files(spark, str(folder), glob, files_per_batch=1, **options)
+    job.start(files).awaitTermination()
+    return log, job
 
-    def stream():
-        return dropdir.stream_csv(
-            spark, str(tmp_path / "in"), schema, archive_dir=str(tmp_path / "done"),
-            files_per_batch=1,
-        )
 
-    run_once(stream(), str(tmp_path), "log")
+def test_csv_stream_takes_each_file_once_and_archives(spark, tmp_path):
+    put(tmp_path / "in", "transaction_data_1.csv", HEADER + "1,2014-01-03,1,x\n")
+    archive = {"archive_dir": str(tmp_path / "done")}
+    csv_log(spark, tmp_path / "in", tmp_path, **archive)
     put(tmp_path / "in", "transaction_data_2.csv", HEADER + "2,2014-01-04,2,y\n")
     put(tmp_path / "in", "ignored.csv", HEADER + "3,2014-01-04,2,y\n")
-    log = run_once(stream(), str(tmp_path), "log")
+    log, _ = csv_log(spark, tmp_path / "in", tmp_path, **archive)
     rows = log.read().collect()
     assert sorted((r["Row ID"], r.batch_id) for r in rows) == [("1", 0), ("2", 1)]
     archived = [p.name for p in (tmp_path / "done").rglob("*.csv")]
     assert "transaction_data_1.csv" in archived
 
 
+def test_csv_stream_goes_by_names(spark, tmp_path):
+    put(tmp_path / "in", "transaction_data_1.csv", "Order Date,Sales,Cost\n2020-01-01,5,900\n")
+    put(tmp_path / "in", "transaction_data_2.csv", "Order Date,Cost,Sales\n2020-01-02,900,5\n")
+    put(tmp_path / "in", "transaction_data_3.csv", "Sales,Order Date\n5,2020-01-03\n1,2,3\n")
+    put(tmp_path / "in", "transaction_data_4.csv", "\n1,2\n")
+    schema = T._parse_datatype_string("`Order Date` string, Sales string")
+    log, job = csv_log(spark, tmp_path / "in", tmp_path, schema=schema)
+    rows = log.read().collect()
+    good = {(r["Order Date"], r["Sales"]) for r in rows if r["malformed"] is None}
+    assert good == {("2020-01-01", "5"), ("2020-01-02", "5"), ("2020-01-03", "5")}
+    assert [r["malformed"] for r in rows if r["malformed"]] == ["1,2,3"]
+    assert [r["reason"] for r in job.quarantine.read().collect()] == ["no header"]
+
+
 USER = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -104,8 +123,7 @@ def test_typed_csv_directory(spark, tmp_path):
     rows = dropdir.read_csv(spark, str(tmp_path / "in"), USER, glob="*.csv").orderBy("id").collect()
     assert rows[0].id is None and rows[0].malformed.startswith("x,Bob")
     assert rows[1].account_balance == Decimal("1.50") and rows[1].malformed is None
-    log = run_once(dropdir.stream_csv(spark, str(tmp_path / "in"), USER, glob="*.csv"),
-                   str(tmp_path), "typed")
+    log, _ = csv_log(spark, tmp_path / "in", tmp_path, schema=USER, glob="*.csv")
     assert log.read().count() == 2
 
 
@@ -233,3 +251,56 @@ def test_headers_in_any_order_number_and_state(spark, tmp_path):
     with pytest.raises(ValueError, match="no file"):
         (tmp_path / "empty").mkdir()
         dropdir.read_csv(spark, str(tmp_path / "empty"))
+
+
+def test_headers_are_read_by_tasks(spark, tmp_path, monkeypatch):
+    """Five thousand files, none of which the driver opens; names with blanks and signs; packed and empty ones."""
+    from py4j.clientserver import JavaClient
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in range(5000):
+        (folder / f"{k}.csv").write_text(f"a,b\n{k},x\n" if k % 2 else f"b,a\ny,{k}\n")
+    put(folder, "odd name %20 é.csv", "a,b\n-1,x\n")
+    put(folder, "long.csv", "b,c\n" + "1,2\n" * 200_000)
+    put(folder, "empty.csv", "")
+    put(folder, "blank.csv", "\n\n")
+    put(folder, "latin.csv", "Größe,b\n", "latin-1")
+    with gzip.open(folder / "packed.csv.gz", "wt") as out:
+        out.write("\ufeffa,b\n-2,z\n")
+    (folder / "not.csv.gz").write_bytes(b"no gzip")
+    paths = dropdir.list_files(spark, str(folder), "*")
+    sent = []
+    send = JavaClient.send_command
+    monkeypatch.setattr(
+        JavaClient, "send_command", lambda self, text, *a, **k: sent.append(text) or send(self, text, *a, **k)
+    )
+    groups, refused = dropdir.file_headers(spark, paths)
+    assert not [text for text in sent if "\nopen\n" in text]
+    assert {k: len(v) for k, v in groups.items()} == {("a", "b"): 2502, ("b", "a"): 2500, ("b", "c"): 1}
+    assert set(sum(groups.values(), [])) | set(refused) == set(paths)
+    reasons = {p.rsplit("/", 1)[1]: r.split(":")[0] for p, r in refused.items()}
+    assert reasons == {"empty.csv": "no header", "blank.csv": "no header", "not.csv.gz": "no header",
+                       "latin.csv": "unreadable file"}
+    some = [p for p in paths if p.endswith(("/7.csv", "/8.csv", "odd name %20 é.csv", "packed.csv.gz"))]
+    rows, _ = dropdir.read_csv_files(spark, some)
+    assert sorted((r["a"], r["b"]) for r in rows.collect()) == [
+        ("-1", "x"), ("-2", "z"), ("7", "x"), ("8", "y")
+    ]
+
+
+def test_a_broken_file_among_many_is_found(spark, tmp_path):
+    folder = tmp_path / "in"
+    for k in range(9):
+        put(folder, f"transaction_data_{k}.csv", f"a\n{k}\n")
+    whole = gzip.compress("a,b\n".encode() + "".join(f"{k},{k * k}\n" for k in range(50_000)).encode())
+    (folder / "transaction_data_cut.csv.gz").write_bytes(whole[: len(whole) // 2])
+    from monthwise.streaming.jobs import CsvJob
+
+    log = BatchLog(spark, str(tmp_path / "log"))
+    job = CsvJob(spark, str(tmp_path / "job"), lambda rows, k: log.write(rows.select("a"), k))
+    files = dropdir.stream_files(spark, str(folder), "*transaction_data*")
+    job.start(files).awaitTermination()
+    assert sorted(r["a"] for r in log.read().collect()) == [str(k) for k in range(9)]
+    found = job.quarantine.read().collect()
+    assert [r["reason"].split(":")[0] for r in found] == ["unreadable file"]
