@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -58,9 +59,20 @@ def finite_number(text: Column, scale: int | None = 2) -> Column:
     return F.when(plain & (size < F.lit(float("inf") if scale is None else float(2**63))), value)
 
 
-def window_json(data: Column) -> Column:
-    """A feature window as ``{"data":[{"date":"2019-07-01","sales":41.5}, ...]}``."""
-    return F.to_json(F.struct(data.alias("data")))
+def _texts(series: Sequence[str]) -> str:
+    """The type of a struct of these fields as text."""
+    return "struct<" + ",".join(f"`{s}`:string" for s in series) + ">"
+
+
+def window_json(data: Column, series: Sequence[str] = ()) -> Column:
+    """A feature window as ``{"data":[{"date":"2019-07-01","sales":41.5}, ...]}``.
+
+    Of keyed series the key comes first, as text: ``{"series":{"region":"north"},"data":[...]}``; a null is left out.
+    """
+    parts = [data.alias("data")]
+    if series:
+        parts.insert(0, F.struct(*[F.col(s).cast("string").alias(s) for s in series]).alias("series"))
+    return F.to_json(F.struct(*parts))
 
 
 def window_data(text: Column) -> Column:
@@ -68,21 +80,37 @@ def window_data(text: Column) -> Column:
     return F.from_json(text, "data array<struct<date:date,sales:double>>")["data"]
 
 
-def forecast_message(date: Column, sales: Column) -> Column:
-    """The schema-carrying JSON message of one result row; both values travel as text."""
-    schema = F.from_json(F.lit(ENVELOPE_SCHEMA), ENVELOPE_TYPE)
+def window_series(text: Column, series: Sequence[str]) -> Column:
+    """The key of a window message, a struct of texts."""
+    return F.from_json(text, f"series {_texts(series)}")["series"]
+
+
+def envelope_schema(series: Sequence[str] = ()) -> str:
+    """The schema part of a result message; the fields of a key follow date and sales and may be null."""
+    if not series:
+        return ENVELOPE_SCHEMA
+    schema = json.loads(ENVELOPE_SCHEMA)
+    schema["fields"] += [{"type": "string", "optional": True, "field": s} for s in series]
+    return json.dumps(schema, separators=(",", ":"))
+
+
+def forecast_message(date: Column, sales: Column, series: Sequence[str] = ()) -> Column:
+    """The schema-carrying JSON message of one result row; all values travel as text."""
+    schema = F.from_json(F.lit(envelope_schema(series)), ENVELOPE_TYPE)
     payload = F.struct(
-        F.date_format(date, "yyyy-MM-dd").alias("date"), number_text(sales).alias("sales")
+        F.date_format(date, "yyyy-MM-dd").alias("date"), number_text(sales).alias("sales"),
+        *[F.col(s).cast("string").alias(s) for s in series],
     )
     return F.to_json(F.struct(schema.alias("schema"), payload.alias("payload")))
 
 
-def forecast_payload(text: Column) -> Column:
-    """Struct ``date, sales`` read back from a forecast message."""
-    payload = F.from_json(text, "payload struct<date:string,sales:string>")["payload"]
+def forecast_payload(text: Column, series: Sequence[str] = ()) -> Column:
+    """Struct ``date, sales, series...`` read back from a forecast message."""
+    payload = F.from_json(text, f"payload {_texts(['date', 'sales', *series])}")["payload"]
     return F.struct(
         F.try_to_date(payload["date"], "yyyy-MM-dd").alias("date"),
         payload["sales"].try_cast("double").alias("sales"),
+        *[payload[s].alias(s) for s in series],
     )
 
 

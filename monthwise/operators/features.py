@@ -71,9 +71,9 @@ def sliding_windows(
     )
 
 
-def window_messages(windows: DataFrame) -> DataFrame:
-    """Replace the ``data`` array by its JSON text in ``value``."""
-    return windows.withColumn("value", window_json(F.col("data"))).drop("data")
+def window_messages(windows: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+    """Replace the ``data`` array by its JSON text in ``value``, with the key of ``series`` if given."""
+    return windows.withColumn("value", window_json(F.col("data"), series)).drop("data")
 
 
 def window_rows(messages: DataFrame, value: str = "value") -> DataFrame:

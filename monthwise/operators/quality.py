@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from monthwise.config import DATE_FIELD, DAY_PATTERN, SALES_FIELD, WINDOW_MONTHS
 from monthwise.functions.calendar import parse_day, parse_message_day
-from monthwise.functions.text import finite_number, window_data
+from monthwise.functions.text import finite_number, window_data, window_series
 
 REASON = "reason"
 
@@ -21,7 +21,7 @@ def _parsed_once(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     parsing expression into the pushed-down filter and each record is parsed twice or more.
     """
     kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
-    return df.select(*kept, F.inline(F.array(F.struct(*columns))))
+    return df.select(*kept, F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in columns]))))
 
 
 def parse_messages(
@@ -30,19 +30,22 @@ def parse_messages(
     date_field: str = DATE_FIELD,
     sales_field: str = SALES_FIELD,
     scale: int | None = 2,
+    series: Sequence[str] = (),
 ) -> DataFrame:
-    """Take ``day``, ``sales`` and ``reason`` out of ``{"payload": {...}}`` messages.
+    """Take ``day``, ``sales``, ``series...`` and ``reason`` out of ``{"payload": {...}}`` messages.
 
     ``reason`` is null for usable records and otherwise says what is wrong. Sales must be a finite
     decimal number, small enough for exact sums of ``scale`` decimals.
     """
     date, sales = f"payload.`{date_field}`", f"payload.`{sales_field}`"
-    schema = f"payload struct<`{date_field}`:string,`{sales_field}`:string>"
+    fields = ",".join(f"`{f}`:string" for f in dict.fromkeys([date_field, sales_field, *series]))
+    schema = f"payload struct<{fields}>"
     parsed = messages.withColumn("payload", F.from_json(F.col(value), schema)["payload"])
     typed = parsed.withColumns(
         {
             "day": parse_message_day(F.col(date)),
             "sales": finite_number(F.col(sales), scale),
+            **{s: F.col(f"payload.`{s}`") for s in series},
         }
     )
     reason = (
@@ -51,20 +54,25 @@ def parse_messages(
         .when(F.col("sales").isNull(), "bad sales")
     )
     checked = typed.withColumn(REASON, reason).drop("payload")
-    return _parsed_once(checked, ["day", "sales", REASON])
+    return _parsed_once(checked, ["day", "sales", *series, REASON])
 
 
-def parse_windows(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Add the ``data`` array of window messages, and ``reason`` for those a model cannot take:
-    broken text, a missing date or number, or another count of months than 17."""
+def parse_windows(
+    messages: DataFrame, value: str = "value", series: Sequence[str] = ()
+) -> DataFrame:
+    """Add the ``data`` array and ``series...`` of window messages, and ``reason`` for those a model cannot
+    take: broken text, a missing date or number, or another count of months than 17."""
     parsed = messages.withColumn("data", window_data(F.col(value)))
+    if series:
+        key = window_series(F.col(value), series)
+        parsed = parsed.withColumns({s: key[s] for s in series})
     incomplete = F.exists("data", lambda i: i["date"].isNull() | i["sales"].isNull())
     reason = (
         F.when(F.col("data").isNull(), "no window")
         .when(F.size("data") != WINDOW_MONTHS, "wrong number of months")
         .when(incomplete, "missing value")
     )
-    return _parsed_once(parsed.withColumn(REASON, reason), ["data", REASON])
+    return _parsed_once(parsed.withColumn(REASON, reason), ["data", *series, REASON])
 
 
 def type_records(

@@ -23,6 +23,7 @@ from monthwise.plans.feature_queries import (
     PRIORITY, PRIORITY_SQL, SUPPLIER, SUPPLIER_SQL, TRAIN_COLUMNS, lags_sql, priority_months,
     supplier_months,
 )
+from monthwise.plans.jobs import result_rows, served
 from monthwise.plans.registry import ORDERS_SQL, months_sql, orders, query
 from monthwise.sinks.topics import forecast_values, window_values
 
@@ -185,6 +186,24 @@ def forecast_messages(spark, sf_dir):
     )
 
 
+@query(
+    "forecast_served_by_series",
+    f"WITH {PRIORITY_SQL}, {ahead_sql('months', 'o_orderpriority', 'compat')} "
+    f"{result_sql('months', 'o_orderpriority', 'o_orderpriority,')}",
+)
+def forecast_served_by_series(spark, sf_dir):
+    """Window and result messages that carry the key of their series, as texts all the way to the table."""
+    windows = ft.sliding_windows(priority_months(spark, sf_dir), PRIORITY)
+    answers = served(window_values(windows, PRIORITY), oldest_feature(), "compat", series=PRIORITY)
+    place = (F.unix_date("window_end") * 100 + F.col("step")).cast("bigint")
+    message = forecast_message(F.col("date"), F.col("sales"), PRIORITY)
+    rows = result_rows(answers.select(message.alias("value"), place.alias("offset")), PRIORITY)
+    last = latest_per_key(good_records(rows), [*PRIORITY, "date"], ["seq"])
+    return last.select(
+        *PRIORITY, "date", "sales", (F.pmod(F.col("seq") + 50, F.lit(100)) > 50).alias("is_forecast")
+    )
+
+
 @query(
     "topic_values",
     f"""WITH {PRIORITY_SQL}, spans AS (

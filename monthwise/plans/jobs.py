@@ -7,15 +7,16 @@
 ``train``     a CSV to a saved scaler and model
 ``export``    the result table to one sorted CSV
 
-The topic and result jobs work on one total series; with ``--series`` they refuse to start, only
-``train`` pools the rows of several. What a job can't use is kept with a reason: messages and windows
+With ``--series`` the jobs keep a series for each value of these record fields: the fields travel with the
+windows and results as text and are part of the result table's key; ``train`` pools the rows of all. Without, there is
+one total series. ``persist`` keeps whole records and needs no series. What a job can't use is kept with a reason: messages and windows
 in ``rejected`` below the job's folder, lines and files of ``persist`` in its table and ``quarantine``.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,11 +45,6 @@ def job_root(spark: SparkSession, config: PipelineConfig, job: str) -> str:
     return f"{shared_dir(spark)}/{config.job_name}/{job}"
 
 
-def one_series(config: PipelineConfig) -> None:
-    if config.series:
-        raise ValueError("this job works on one total series; run it without --series")
-
-
 def keep_rejected(refused: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
     """Write a stream of dead letters to ``rejected`` below ``root``."""
     log = BatchLog(refused.sparkSession, f"{root}/rejected")
@@ -56,44 +52,49 @@ def keep_rejected(refused: DataFrame, root: str, every: str | None = None) -> St
 
 
 def served(
-    messages: DataFrame, scorer: Scorer, mode: Mode, scaler: Scaler | None = None
+    messages: DataFrame, scorer: Scorer, mode: Mode, scaler: Scaler | None = None,
+    series: Sequence[str] = (),
 ) -> DataFrame:
     """Window messages to result rows, twelve per usable message; batch or stream."""
-    windows = good_records(parse_windows(messages)).select("data")
-    return forecast_records(forecast_each(windows, scorer, mode, scaler))
+    windows = good_records(parse_windows(messages, series=series)).select(*series, "data")
+    return forecast_records(forecast_each(windows, scorer, mode, scaler), series)
 
 
 def refused_windows(messages: DataFrame) -> DataFrame:
     return dead_letters(parse_windows(messages)).drop("data")
 
 
-def result_rows(messages: DataFrame) -> DataFrame:
-    """Forecast messages to ``date, sales, seq, reason`` for the keyed result table."""
-    payload = forecast_payload(F.col("value"))
+def result_rows(messages: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+    """Forecast messages to ``series..., date, sales, seq, reason`` for the keyed result table.
+
+    A key field that is null in the message is the empty text in the table, where keys can't be null.
+    """
+    payload = forecast_payload(F.col("value"), series)
     rows = messages.select("value", F.col("offset").alias("seq"), payload.alias("payload"))
-    rows = rows.select("value", "seq", "payload.date", "payload.sales")
+    keys = [F.coalesce(F.col(f"payload.`{s}`"), F.lit("")).alias(s) for s in series]
+    rows = rows.select("value", "seq", *keys, "payload.date", "payload.sales")
     return rows.withColumn(REASON, F.when(F.col("sales").isNull(), "no sales"))
 
 
 def results_table(spark: SparkSession, config: PipelineConfig) -> KeyedTable:
-    one_series(config)
     root = job_root(spark, config, "results") + "/table"
     return KeyedTable(
-        spark, root, ["date"], ["seq"], compact_every=config.compact_every, buckets=config.buckets
+        spark, root, [*config.series, "date"], ["seq"],
+        compact_every=config.compact_every, buckets=config.buckets,
     )
 
 
 def features(spark: SparkSession, config: PipelineConfig) -> None:
     def write(windows: DataFrame, batch_id: int) -> None:
-        write_topic(window_values(windows), config)
+        write_topic(window_values(windows, config.series), config)
 
-    one_series(config)
     root = job_root(spark, config, "features")
-    job = WindowJob(spark, root, write)
+    job = WindowJob(spark, root, write, config.series, config.buckets)
     session = state_session(spark, config.state_partitions)
-    fields = {"date_field": config.date_col, "sales_field": config.sales_col}
+    fields = {"date_field": config.date_col, "sales_field": config.sales_col, "series": config.series}
     good = good_records(parse_messages(stream_topic(session, config), **fields))
-    job.start(closed_month_stream(good.select("day", "sales")), every=config.trigger)
+    records = good.select("day", "sales", *config.series)
+    job.start(closed_month_stream(records, series=config.series), every=config.trigger)
     refused = dead_letters(parse_messages(stream_topic(spark, config), **fields))
     keep_rejected(refused, root, config.trigger)
     wait_for_any(spark, session)
@@ -110,13 +111,12 @@ def wait_for_any(*sessions: SparkSession) -> None:
 
 
 def serve(spark: SparkSession, config: PipelineConfig, mode: Mode | None = None) -> None:
-    one_series(config)
     trained = TrainedForecaster.load(spark, job_root(spark, config, "train"))
     messages = stream_topic(spark, config, topic=config.output_topic, from_start=True)
-    rows = served(messages, trained.scorer, mode or config.mode, trained.scaler)
+    rows = served(messages, trained.scorer, mode or config.mode, trained.scaler, config.series)
     root = job_root(spark, config, "serve")
     stream_to_topic(
-        forecast_values(rows), config, f"{root}/checkpoint", config.result_topic
+        forecast_values(rows, config.series), config, f"{root}/checkpoint", config.result_topic
     ).start()
     keep_rejected(refused_windows(messages), root, config.trigger)
     wait_for_any(spark)
@@ -139,7 +139,8 @@ def results(spark: SparkSession, config: PipelineConfig) -> None:
     table = results_table(spark, config)
     messages = stream_topic(spark, config, topic=config.result_topic, from_start=True)
     checkpoint = job_root(spark, config, "results") + "/checkpoint"
-    run_batches(result_rows(messages), table.upsert, checkpoint, config.trigger).awaitTermination()
+    rows = result_rows(messages, config.series)
+    run_batches(rows, table.upsert, checkpoint, config.trigger).awaitTermination()
 
 
 def train(spark: SparkSession, config: PipelineConfig) -> None:
@@ -152,8 +153,11 @@ def export(spark: SparkSession, config: PipelineConfig) -> None:
     rows = results_table(spark, config).read()
     if rows is None:
         raise ValueError("there are no results to export yet")
-    rows = rows.select("date", "sales")  # one row a month
-    export_csv(rows, job_root(spark, config, "export"), single=True)
+    keys = [*config.series, "date"]
+    # Without series there is one row a month, which makes one file.
+    export_csv(
+        rows.select(*keys, "sales"), job_root(spark, config, "export"), keys, single=not config.series
+    )
 
 
 JOBS: dict[str, Callable[[SparkSession, PipelineConfig], None]] = {

@@ -400,3 +400,49 @@ def test_a_hundred_batches_leave_few_directories(spark, tmp_path):
     assert len(folders) < 110
     assert len(list((tmp_path / "job" / "months").iterdir())) < 45
     assert len(list((tmp_path / "job" / "tails" / "versions").rglob("bucket=*"))) <= 8
+
+
+def test_series_travel_through_messages_to_the_export(spark, tmp_path):
+    """Records of two-part keys, a null among them, to window and forecast messages, the table and the export."""
+    from monthwise.plans import jobs
+    from monthwise.sinks.topics import forecast_values, window_values
+    from monthwise.streaming.jobs import WindowJob
+
+    series = ("Order Region", "kind")
+    config = PipelineConfig(job_name=f"keyed-{tmp_path.name}", series=series, compact_every=2, buckets=3)
+    rng = random.Random(6)
+    rows = [
+        (r, k, dt.date(2015 + m // 12, m % 12 + 1, 3), float(rng.randrange(1, 999)))
+        for r in ("north, \"n\"", "süd") for k in ("x", None) for m in range(22)
+    ]
+    everything = spark.createDataFrame(rows, "`Order Region` string, kind string, day date, sales double")
+    payload = F.struct(F.col("day").cast("string").alias("Order Date"), F.col("sales").cast("string").alias("Sales"),
+                       *[F.col(f"`{s}`") for s in series])
+    texts = everything.select(F.to_json(F.struct(payload.alias("payload"))).alias("value"))
+    texts.write.text(str(tmp_path / "in"))
+
+    windows = BatchLog(spark, str(tmp_path / "windows"))
+    job = WindowJob(spark, str(tmp_path / "features"),
+                    lambda found, k: windows.write(window_values(found, series), k), series, 3)
+    source = spark.readStream.text(str(tmp_path / "in"))
+    good = ql.good_records(ql.parse_messages(source, series=series)).select("day", "sales", *series)
+    job.start(closed_month_stream(good, series=series)).awaitTermination()
+
+    sent = windows.read()
+    assert sent.select("key").distinct().count() == 4
+    answers = jobs.served(sent, oldest_feature(), "compat", series=series)
+    messages = forecast_values(answers, series).withColumn("offset", F.monotonically_increasing_id())
+    numbered = forecast_values(answers.orderBy("window_end"), series).coalesce(1)
+    numbered = numbered.withColumn("offset", F.monotonically_increasing_id())
+    assert messages.count() == numbered.count()
+    table = jobs.results_table(spark, config)
+    table.upsert(jobs.result_rows(numbered, series), 0)
+    table.upsert(jobs.result_rows(numbered.limit(0), series), 1)
+
+    months = monthly_totals(everything, "day", "sales", series).filter(F.col("month") < dt.date(2016, 10, 1))
+    want = result_table(forecast_windows(months, oldest_feature(), "compat", series), series)
+    want = want.fillna("").select(*series, "date", "sales")
+    assert rows_of(table.read().select(*series, "date", "sales")) == rows_of(want)
+    jobs.JOBS["export"](spark, config)
+    back = spark.read.csv(jobs.job_root(spark, config, "export"), header=True, emptyValue="", escape='"')
+    assert back.columns == [*series, "date", "sales"] and back.count() == want.count()
