@@ -46,6 +46,10 @@ class PipelineConfig:
     files_per_batch: int = 1000
     #: Change batches of a keyed table after which they are folded into its base.
     compact_every: int = 100
+    #: Database for the tables of ``results`` and ``persist``; without it they are keyed tables of files.
+    jdbc_url: str | None = None
+    #: JSON file with the connection's properties: user, password, driver.
+    jdbc_properties: str | None = None
     #: Hash buckets of keyed tables and of the latest months. They stay as at the first start.
     buckets: int = 64
 

@@ -337,7 +337,7 @@ def upsert_widened(spark, sf_dir):
 )
 def latest_event(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
-    return latest_per_key(events, ["user_id"], ["event_id"])
+    return latest_per_key(events, ["user_id"], ["event_id"], unique_order=True)
 
 
 @query(

@@ -7,6 +7,8 @@
 ``train``     a CSV to a saved scaler and model
 ``export``    the result table to one sorted CSV
 
+``--jdbc-url`` sends the tables of ``persist`` and ``results`` to a database instead.
+
 With ``--series`` the jobs keep a series for each value of these record fields: the fields travel with the
 windows and results as text and are part of the result table's key; ``train`` pools the rows of all. Without, there is
 one total series. ``persist`` keeps whole records and needs no series. What a job can't use is kept with a reason: messages and windows
@@ -15,6 +17,7 @@ in ``rejected`` below the job's folder, lines and files of ``persist`` in its ta
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Callable, Sequence
 
@@ -33,9 +36,10 @@ from monthwise.plans.training import TrainedForecaster, evaluate, train_from_csv
 from monthwise.session import build_session, shared_dir, state_session
 from monthwise.sinks.batch_log import BatchLog
 from monthwise.sinks.export import export_csv
+from monthwise.sinks.jdbc import DatabaseTable
 from monthwise.sinks.keyed_table import KeyedTable
 from monthwise.sinks.topics import forecast_values, stream_to_topic, window_values, write_topic
-from monthwise.sources.dropdir import stream_files
+from monthwise.sources.dropdir import MALFORMED, SOURCE_FILE, stream_files
 from monthwise.sources.topics import stream_topic
 from monthwise.streaming.jobs import CsvPersistJob, WindowJob, run_batches
 from monthwise.streaming.months import closed_month_stream
@@ -84,6 +88,22 @@ def results_table(spark: SparkSession, config: PipelineConfig) -> KeyedTable:
     )
 
 
+def database_table(
+    spark: SparkSession, config: PipelineConfig, job: str, keys: Sequence[str],
+    order: Sequence[str] = (), leave_out: Sequence[str] = (),
+) -> DatabaseTable:
+    """The table of a job in the database of ``--jdbc-url``, under the name of the topic it holds."""
+    properties = {}
+    if config.jdbc_properties:
+        with open(config.jdbc_properties, encoding="utf-8") as text:
+            properties = json.load(text)
+    target = config.result_topic if job == "results" else f"{config.input_topic}_persist"
+    rejected = BatchLog(spark, job_root(spark, config, job) + "/rejected", merge_every=16)
+    return DatabaseTable(
+        spark, config.jdbc_url, target, keys, rejected, order, f"{config.job_name}_{job}", properties, leave_out
+    )
+
+
 def features(spark: SparkSession, config: PipelineConfig) -> None:
     def write(windows: DataFrame, batch_id: int) -> None:
         write_topic(window_values(windows, config.series), config)
@@ -128,15 +148,24 @@ def persist(spark: SparkSession, config: PipelineConfig) -> None:
         spark, config.data_path, archive_dir=config.archive_dir,
         files_per_batch=config.files_per_batch,
     )
+    table = None
+    if config.jdbc_url:
+        table = database_table(
+            spark, config, "persist", ["postgres_pk"], leave_out=[MALFORMED, SOURCE_FILE]
+        )
     job = CsvPersistJob(
         spark, job_root(spark, config, "persist"), compact_every=config.compact_every,
-        buckets=config.buckets,
+        buckets=config.buckets, table=table,
     )
     job.start(files, every=config.trigger).awaitTermination()
 
 
 def results(spark: SparkSession, config: PipelineConfig) -> None:
     table = results_table(spark, config)
+    if config.jdbc_url:
+        table = database_table(
+            spark, config, "results", [*config.series, "date"], ["seq"], leave_out=["value"]
+        )
     messages = stream_topic(spark, config, topic=config.result_topic, from_start=True)
     checkpoint = job_root(spark, config, "results") + "/checkpoint"
     rows = result_rows(messages, config.series)

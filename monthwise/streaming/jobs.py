@@ -22,6 +22,7 @@ from monthwise.operators.models import Scorer
 from monthwise.operators.quality import REASON
 from monthwise.sinks.batch_log import BATCH, BatchLog
 from monthwise.sinks.bucket_store import BucketStore
+from monthwise.sinks.jdbc import DatabaseTable
 from monthwise.sinks.keyed_table import KeyedTable
 from monthwise.sources.dropdir import MALFORMED, SOURCE_FILE, read_csv_files, refused_files
 
@@ -235,7 +236,8 @@ class CsvJob:
 
 
 class CsvPersistJob(CsvJob):
-    """New CSV files in, keyed raw table out, with lists of refused lines and files.
+    """New CSV files in, keyed raw table out, with lists of refused lines and files; ``table`` may be one of
+    a database.
 
     A record is kept as it was written; only a line that doesn't fit the header of its file is a dead
     letter. Its key is the hash of the columns of its file in the order of their names, so it depends
@@ -249,10 +251,11 @@ class CsvPersistJob(CsvJob):
         key: str = "postgres_pk",
         compact_every: int | None = None,
         buckets: int = 16,
+        table: KeyedTable | DatabaseTable | None = None,
         **options: str,
     ):
         super().__init__(spark, root, self.persist, key=key, **options)
-        self.table = KeyedTable(
+        self.table = table or KeyedTable(
             spark, f"{root}/table", [key], compact_every=compact_every, buckets=buckets
         )
 

@@ -365,3 +365,13 @@ def test_only_finite_decimal_numbers_are_numbers(spark):
     numbers = lambda *scale: [r[0] for r in large.select(finite_number(F.col("t"), *scale)).collect()]
     assert numbers() == numbers(2) == [9.2e16, None, None]
     assert numbers(0) == [9.2e16, -9.3e16, None] and numbers(None) == [9.2e16, -9.3e16, 1e300]
+
+
+def test_last_by_a_unique_order_equals_the_last_by_any(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice([None, 1, 2, 3]), rng.choice(["x", None]), k if k % 50 else None, f"v{k}") for k in range(120)]
+    df = spark.createDataFrame(rows[:51] + rows[52:100], "a int, b string, o int, v string").repartition(3)
+    bag = lambda frame: sorted(str(tuple(r)) for r in frame.collect())
+    assert bag(latest_per_key(df, ["a", "b"], ["o"], unique_order=True)) == bag(latest_per_key(df, ["a", "b"], ["o"]))
+    with pytest.raises(ValueError):
+        latest_per_key(df, ["a"], ["o", "v"], unique_order=True)

@@ -57,6 +57,11 @@ def test_log_lines_are_not_shuffled(spark):
     assert "Exchange hashpartitioning" not in joins and "SortMergeJoin" not in text
 
 
+def test_last_events_are_found_without_sorting(spark):
+    text = plan(QUERIES["latest_per_key"](spark, data_dir()))
+    assert "SortAggregate" not in text and "ReadSchema: struct<event_id:bigint,user_id:bigint>" in text
+
+
 def test_filters_reach_the_scan(spark):
     recent = lineitem(spark, data_dir()).filter(F.col("l_suppkey") == 7)
     text = plan(monthly_totals(recent, "day", "sales", ["l_suppkey"]))

@@ -182,3 +182,155 @@ def test_arguments_are_honoured_or_refused(spark, tmp_path):
     assert jobs.results_table(spark, keyed).keys == ["a", "date"]
     with pytest.raises(ValueError, match="no results"):
         jobs.export(spark, PipelineConfig(job_name="fresh"))
+
+
+class FakeDatabase:
+    """Stands in for a connection: keeps statements, commits and the columns it is told of."""
+
+    def __init__(self, columns=(), noted=(), fail=None):
+        self.columns, self.noted, self.fail = list(columns), set(noted), fail
+        self.log, self.asked = [], []
+
+    def connect(self, spark, url, properties):
+        self.log.append(f"open {url} {sorted(properties.items())}")
+        return self
+
+    def setAutoCommit(self, on):
+        assert on is False
+
+    def commit(self):
+        self.log.append("commit")
+
+    def rollback(self):
+        self.log.append("rollback")
+
+    def close(self):
+        self.log.append("close")
+
+    def createStatement(self):
+        return self
+
+    def executeUpdate(self, text=None):
+        text = text or f"{self.prepared} {self.values}"
+        if self.fail and self.fail in text:
+            raise OSError("lost")
+        self.log.append(text)
+
+    def prepareStatement(self, text):
+        self.prepared, self.values = text, []
+        return self
+
+    def setString(self, at, value):
+        self.values.append(value)
+
+    def setLong(self, at, value):
+        self.values.append(value)
+
+    def executeQuery(self):
+        rows = [tuple(self.values)] if tuple(self.values) in self.noted else []
+        return FakeRows(rows)
+
+    def getMetaData(self):
+        return self
+
+    def getSearchStringEscape(self):
+        return "\\"
+
+    def getColumns(self, catalog, schema, table, column):
+        self.asked.append((schema, table))
+        return FakeRows(self.columns)
+
+
+class FakeRows:
+    def __init__(self, rows):
+        self.rows, self.at = rows, -1
+
+    def next(self):
+        self.at += 1
+        return self.at < len(self.rows)
+
+    def getString(self, name):
+        assert name == "COLUMN_NAME"
+        return self.rows[self.at]
+
+
+@pytest.fixture
+def staged(monkeypatch):
+    """What is written to database tables."""
+    from pyspark.sql import DataFrameWriter
+
+    tables = {}
+
+    def jdbc_write(self, url, table, mode=None, properties=None):
+        tables[table] = sorted(map(tuple, self._df.collect()))
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc_write)
+    return tables
+
+
+def test_database_upsert_is_one_transaction(spark, tmp_path, monkeypatch, staged):
+    database = FakeDatabase(columns=["date", "sales"])
+    monkeypatch.setattr(jdbc, "open_connection", database.connect)
+    table = jdbc.DatabaseTable(spark, "jdbc:x", "lstm_results", ["date"], BatchLog(spark, str(tmp_path)),
+                               ["seq"], "my job/1", {"user": "u"}, ["value"])
+    rows = [("d1", 1.0, 5, "m1", None), ("d1", 2.0, 7, "m2", None), (None, 3.0, 8, "m3", None), ("d2", None, 9, "m4", "bad")]
+    schema = "date string, sales double, seq bigint, value string, reason string"
+    table.upsert(spark.createDataFrame(rows, schema), 12)
+    assert staged == {'"lstm_results_my_job_1_12_staging"': [("d1", 2.0, 7)]}
+    marker = '"lstm_results_batches"'
+    assert database.log == [
+        "open jdbc:x [('user', 'u')]",
+        f"CREATE TABLE IF NOT EXISTS {marker} (job TEXT, batch_id BIGINT, PRIMARY KEY (job, batch_id))",
+        "commit", "close", "open jdbc:x [('user', 'u')]",
+        'CREATE TABLE IF NOT EXISTS "lstm_results" ("date" TEXT NOT NULL, "sales" DOUBLE PRECISION, '
+        '"seq" BIGINT, PRIMARY KEY ("date"))',
+        'ALTER TABLE "lstm_results" ADD COLUMN "seq" BIGINT',
+        'INSERT INTO "lstm_results" ("date", "sales", "seq") SELECT "date", "sales", "seq" FROM '
+        '"lstm_results_my_job_1_12_staging" ON CONFLICT ("date") DO UPDATE SET "sales" = EXCLUDED."sales", '
+        '"seq" = EXCLUDED."seq"',
+        f"INSERT INTO {marker} (job, batch_id) VALUES (?, ?) ['my job/1', 12]",
+        'DROP TABLE "lstm_results_my_job_1_12_staging"', "commit", "close",
+    ]
+    assert database.asked == [(None, "lstm\\_results")]
+    assert sorted((r.value, r.reason) for r in table.rejected().collect()) == [("m3", "no date"), ("m4", "bad")]
+
+
+def test_database_batches_count_once(spark, tmp_path, monkeypatch, staged):
+    table = jdbc.DatabaseTable(spark, "jdbc:x", "s.t", ["k"], BatchLog(spark, str(tmp_path)))
+    database = FakeDatabase(fail="INSERT INTO \"s\".\"t\" ")
+    monkeypatch.setattr(jdbc, "open_connection", database.connect)
+    with pytest.raises(OSError):
+        table.upsert(frame(spark, [("x", 1)]), 3)
+    assert database.log[-2:] == ["rollback", "close"] and not [t for t in database.log if "VALUES" in t]
+    noted = FakeDatabase(noted=[("job", 3)])
+    monkeypatch.setattr(jdbc, "open_connection", noted.connect)
+    staged.clear()
+    table.upsert(frame(spark, [("x", 1)]), 3)
+    assert not staged and noted.log[-2:] == ["commit", "close"]
+    table.upsert(frame(spark, [("x", 1), ("x", 1)]), 4)
+    assert staged == {'"s"."t_job_4_staging"': [("x", 1)]} and table.rejected() is None
+
+
+def test_jobs_write_to_the_database_they_are_given(spark, tmp_path, monkeypatch, staged):
+    from monthwise.plans import jobs
+
+    database = FakeDatabase()
+    monkeypatch.setattr(jdbc, "open_connection", database.connect)
+    (tmp_path / "p.json").write_text('{"user": "u", "driver": "d"}')
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "transaction_data_1.csv").write_text("Order Date,Sales\n2020-01-01,5\n2020-01-02\n")
+    config = PipelineConfig.from_args([
+        "--job-name", f"db-{tmp_path.name}", "--jdbc-url", "jdbc:x", "--jdbc-properties", str(tmp_path / "p.json"),
+    ])
+    table = jobs.database_table(spark, config, "results", ["date"], ["seq"], ["value"])
+    assert (table.target, table.properties) == ("lstm_results", {"user": "u", "driver": "d"})
+    from monthwise.sources.dropdir import stream_files
+    from monthwise.streaming.jobs import CsvPersistJob
+
+    raw = jobs.database_table(spark, config, "persist", ["postgres_pk"], leave_out=["malformed", "source_file"])
+    job = CsvPersistJob(spark, jobs.job_root(spark, config, "persist"), table=raw)
+    job.start(stream_files(spark, str(folder))).awaitTermination()
+    (name, rows), = staged.items()
+    assert name.startswith('"transaction_data_persist_db_') and [r[:2] for r in rows] == [("2020-01-01", "5")]
+    assert [r.reason for r in job.rejected().collect()] == ["malformed line"]
