@@ -7,7 +7,12 @@ side of it. Their composition runs over the clause, targets are looked for from
 of a text follows from the weights of its matched clauses.
 
 The words of insult, and their weights, are learned from labelled texts, as whole words or as word
-beginnings; the classes below are closed lists of four languages.
+beginnings. Targets, negations, report verbs and verbs of violence are a lexicon that is given, by default the lists
+of four languages below; ``fit`` takes another.
+
+What the kinds of matches weigh is learned as shares of a plain insult, so kinds that the labels hold no
+example of keep their place beside it. Whatever the labels say, a negated or reported insult weighs less than a
+plain one, one with a target no less, and a threat against a target makes at least one half.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -45,20 +51,67 @@ THREATS = (
 CLAUSE_END = re.compile(r"[.;:!?\n|]+")
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 QUOTATION = re.compile(r'"[^"\n]*"|“[^“”\n]*”|„[^„“”\n]*[“”]|«[^«»\n]*»')
-NO_REPORTER = "|".join(map(re.escape, [*NEGATIONS, *"you u du ihr tu vous tú usted".split()]))
-#: Who said it, after the quotation: at most two words, then the verb.
-SPEAKER = rf"\s*(?:(?!(?:{NO_REPORTER})\b){WORD.pattern}\s+){{0,2}}(?:{'|'.join(REPORTS)})\b"
-AFTER_QUOTATION = re.compile(r"[\s,–—-]*" + SPEAKER)
-AFTER_COMMA = re.compile("," + SPEAKER)
+#: Words that can't be who said something.
+NO_SPEAKER = "you u du ihr tu vous tú usted".split()
+
+
+@dataclass(frozen=True)
+class Lexicon:
+    """Lower-case words of the classes that are given. ``no_speakers`` can't be who said something."""
+
+    targets: tuple[str, ...] = tuple(TARGETS)
+    negations: tuple[str, ...] = tuple(NEGATIONS)
+    reports: tuple[str, ...] = tuple(REPORTS)
+    threats: tuple[str, ...] = tuple(THREATS)
+    no_speakers: tuple[str, ...] = tuple(NO_SPEAKER)
+
+    @cached_property
+    def classes(self) -> dict[str, str]:
+        return {
+            **dict.fromkeys(self.targets, "target"), **dict.fromkeys(self.negations, "not"),
+            **dict.fromkeys(self.reports, "said"), **dict.fromkeys(self.threats, "threat"), "": "quote",
+        }
+
+    @cached_property
+    def said(self) -> frozenset[str]:
+        return frozenset(self.reports)
+
+    @cached_property
+    def _speaker(self) -> str:
+        """Who said it, after the quotation: at most two words, then the verb."""
+        nobody = "|".join(map(re.escape, [*self.negations, *self.no_speakers])) or "(?!)"
+        verbs = "|".join(map(re.escape, self.reports)) or "(?!)"
+        return rf"\s*(?:(?!(?:{nobody})\b){WORD.pattern}\s+){{0,2}}(?:{verbs})\b"
+
+    @cached_property
+    def after_quotation(self) -> re.Pattern:
+        return re.compile(r"[\s,–—-]*" + self._speaker)
+
+    @cached_property
+    def after_comma(self) -> re.Pattern:
+        return re.compile("," + self._speaker)
+
+
+LEXICON = Lexicon()
 BEGINNINGS = (6, 5, 4)
 SCOPE = 4  # words that a negation reaches
 
-#: Features of a clause, and what they weigh before anything is learned.
+#: Features of a clause, and what they weigh before anything is learned. Insults are multiplied by the weight of
+#: their word; a threat starts with what an insult of weight ``USUAL`` weighs.
 CLASSES = {
     "insult": 1.0, "insult:target": 1.2, "insult:not": 0.35, "insult:said": 0.45,
     "insult:not:said": 0.2, "threat:target": 4.0, "threat:target:not": 0.8,
     "threat:target:said": 1.2,
 }
+USUAL = 4.0
+#: Each kind weighs at most this share of another, in this order.
+AT_MOST = [
+    ("insult:not", 0.9, "insult"), ("insult:said", 0.9, "insult"), ("insult", 1.0, "insult:target"),
+    ("insult:not:said", 1.0, "insult:not"), ("insult:not:said", 1.0, "insult:said"),
+    ("threat:target:not", 0.9, "threat:target"), ("threat:target:said", 0.9, "threat:target"),
+]
+#: The least and the greatest log-odds of a threat against a target; no label needs to hold one.
+THREAT = 0.4, 3.0
 
 
 @dataclass
@@ -147,6 +200,7 @@ class Model:
     offset: float = -4.0
     more: float = 0.5
     share: float = 0.1
+    lexicon: Lexicon = LEXICON
 
     def insult(self, word: str) -> float:
         found = self.words.get(word, 0.0)
@@ -159,17 +213,10 @@ class Model:
         weight = self.insult(word)
         if weight:
             return "insult", weight
-        return _CLASS.get(word, "other"), 1.0
-
+        return self.lexicon.classes.get(word, "other"), 1.0
 
-_REPORTS = frozenset(REPORTS)
-_CLASS = {
-    **dict.fromkeys(TARGETS, "target"), **dict.fromkeys(NEGATIONS, "not"),
-    **dict.fromkeys(REPORTS, "said"), **dict.fromkeys(THREATS, "threat"), "": "quote",
-}
 
-
-def clauses(text: str) -> Iterator[list[str]]:
+def clauses(text: str, lexicon: Lexicon = LEXICON) -> Iterator[list[str]]:
     """The words of each clause of lower-case text, with an empty word where reported speech begins.
 
     A report goes on after a colon and to the end of a quotation in double marks on one line. It also
@@ -180,14 +227,14 @@ def clauses(text: str) -> Iterator[list[str]]:
     at, following, quoted_to, said = 0, 0, 0, False
     for end in [*CLAUSE_END.finditer(text), None]:
         stop = end.start() if end else len(text)
-        begin = at if said or at < quoted_to or AFTER_COMMA.search(text, at, stop) else None
+        begin = at if said or at < quoted_to or lexicon.after_comma.search(text, at, stop) else None
         heard, since = False, at
         while following < len(quotations) and quotations[following].start() < stop:
             one = quotations[following]
             following += 1
-            heard = heard or not _REPORTS.isdisjoint(WORD.findall(text, since, one.start()))
+            heard = heard or not lexicon.said.isdisjoint(WORD.findall(text, since, one.start()))
             since = one.start()
-            if begin is not None or heard or AFTER_QUOTATION.match(text, one.end()):
+            if begin is not None or heard or lexicon.after_quotation.match(text, one.end()):
                 begin = one.start() if begin is None else begin
                 quoted_to = one.end()
         if begin is None:
@@ -197,7 +244,7 @@ def clauses(text: str) -> Iterator[list[str]]:
         yield words
         if end:
             at = end.end()
-            said = ":" in end.group() and (begin is not None or not _REPORTS.isdisjoint(words))
+            said = ":" in end.group() and (begin is not None or not lexicon.said.isdisjoint(words))
 
 
 def clause_features(clause: str, model: Model) -> Counter:
@@ -228,7 +275,7 @@ def matches(text: str, model: Model, finder) -> list[Counter]:
     text = text.lower()
     if next(finder.iter(text), None) is None:
         return []
-    found = (_features(c, model, both_ways) for c in clauses(text))
+    found = (_features(c, model, both_ways) for c in clauses(text, model.lexicon))
     return [f for f in found if f]
 
 
@@ -237,7 +284,7 @@ def finder(model: Model):
     import ahocorasick
 
     machine = ahocorasick.Automaton()
-    for text in {*model.words, *model.beginnings, *THREATS}:
+    for text in {*model.words, *model.beginnings, *model.lexicon.threats}:
         machine.add_word(text, 1)
     machine.make_automaton()
     return machine
@@ -344,10 +391,11 @@ def _chosen(clean: dict[str, int], texts: list[list[str]], n_clean: int) -> dict
 
 
 def fit(
-    documents: DataFrame, labels: DataFrame, keep: Column, toxic: int = 2000, clean: int = 8000
+    documents: DataFrame, labels: DataFrame, keep: Column, toxic: int = 2000, clean: int = 8000,
+    lexicon: Lexicon = LEXICON,
 ) -> Model:
     """Learn from at most ``toxic`` and ``clean`` labelled ids, one whole text of each. Without toxic
-    texts no insult is known and only threats match."""
+    texts no insult is known and only threats match. ``lexicon`` gives the classes that are not learned."""
     ids = labelled_ids(labels, "toxic", keep, zeros=clean, ones=toxic).persist()
     sample = one_text_each(labelled_texts(documents, ids)).persist()
 
@@ -368,7 +416,7 @@ def fit(
     held = bad.mapInPandas(hashes, f"_id {kind}, _least array<bigint>").orderBy("_id").collect()
     apart = [(held[at]["_id"],) for at in _apart([tuple(r["_least"]) for r in held])]
     n_toxic = len(apart)
-    model = Model()
+    model = Model(lexicon=lexicon)
     if n_toxic:
         toxic_ids = F.broadcast(documents.sparkSession.createDataFrame(apart, f"_id {kind}"))
         toxic_texts = sample.where("_label = 1").join(toxic_ids, "_id", "left_semi")
@@ -418,20 +466,8 @@ def fit(
     return model
 
 
-def _calibrate(model: Model, rows) -> None:
-    """Fit offset and weights to the labels, drawn to what the classes weigh at first."""
-    if not rows:
-        return
-    x = np.array([[1.0, r["_more"], *r["_values"]] for r in rows])
-    y = np.array([r["_label"] for r in rows], dtype=float)
-    hit = x[:, 2:].any(axis=1)
-    unmatched = y[~hit]
-    model.share = min(0.49, float((unmatched.sum() + 0.5) / (len(unmatched) + 2)))
-    x, y = x[hit], y[hit]
-    if not len(y):
-        return
-    first = np.array([model.offset, model.more, *model.weights.values()])
-    strength = np.array([0.05, 1.0, *[1.0] * len(CLASSES)])
+def _newton(x: np.ndarray, y: np.ndarray, first: np.ndarray, strength: np.ndarray) -> np.ndarray:
+    """Logistic coefficients, drawn to ``first``."""
 
     def loss(b: np.ndarray) -> float:
         z = x @ b
@@ -449,8 +485,53 @@ def _calibrate(model: Model, rows) -> None:
         now = loss(beta)
         if np.abs(step).max() < 1e-6:
             break
-    model.offset, model.more = float(beta[0]), float(beta[1])
-    model.weights = dict(zip(CLASSES, np.maximum(beta[2:], 0.0).tolist()))
+    return beta
+
+
+def _calibrate(model: Model, rows) -> None:
+    """Fit offset and weights to the labels.
+
+    First one scale for all kinds of matches, then each kind around its share of it. A kind without an
+    example keeps its share of a plain insult, so it moves with the offset as that does. Last come the bounds of
+    ``AT_MOST`` and ``THREAT``.
+    """
+    insults = [*model.words.values(), *model.beginnings.values()]
+    usual = float(np.median(insults)) / USUAL if insults else 1.0
+    shares = {c: w * (usual if c.startswith("threat") else 1.0) for c, w in CLASSES.items()}
+    model.weights = dict(shares)
+    if not rows:
+        return
+    x = np.array([[1.0, r["_more"], *r["_values"]] for r in rows])
+    y = np.array([r["_label"] for r in rows], dtype=float)
+    hit = x[:, 2:].any(axis=1)
+    unmatched = y[~hit]
+    model.share = min(0.49, float((unmatched.sum() + 0.5) / (len(unmatched) + 2)))
+    x, y = x[hit], y[hit]
+    if len(y):
+        first = np.array(list(shares.values()))
+        together = np.column_stack([x[:, :2], x[:, 2:] @ first])
+        offset, more, scale = _newton(
+            together, y, np.array([model.offset, model.more, 1.0]), np.array([0.05, 1.0, 1.0])
+        )
+        scale = max(scale, 0.1)
+        beta = _newton(
+            x, y, np.array([offset, more, *(scale * first)]), np.array([0.05, 1.0, *[1.0] * len(first)])
+        )
+        model.offset, model.more = float(beta[0]), float(beta[1])
+        seen = x[:, 2:].any(axis=0)
+        plain = float(beta[2]) if seen[0] else scale
+        model.weights = {
+            c: max(0.0, float(b) if there else plain * share)
+            for (c, share), b, there in zip(shares.items(), beta[2:], seen)
+        }
+    weights = model.weights
+    weights["insult:target"] = max(weights["insult:target"], weights["insult"])
+    least, most = (z - model.offset for z in THREAT)
+    weights["threat:target"] = min(max(weights["threat:target"], least), most)
+    for kind in ("threat:target:not", "threat:target:said"):
+        weights[kind] = min(weights[kind], weights["threat:target"] * CLASSES[kind] / CLASSES["threat:target"])
+    for kind, share, other in AT_MOST:
+        weights[kind] = min(weights[kind], share * weights[other])
 
 
 def toxicity_score(text: Column, model: Model) -> Column:
