@@ -17,16 +17,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.window import Window
 
-from monthwise.llm.common import labelled_ids, labelled_texts, whole
+from monthwise.llm.common import labelled_ids, labelled_texts, one_text_each, whole
 
 WIDTH = 6
 CHUNK = 512
 STEP = 448
 BATCH_CHUNKS = 256
 HIDDEN = 16
-ZEROS, ONES = 1300, 3900
-TRAIN_CHUNKS = 4
+ZEROS, ONES, CHUNKS = 1300, 3900, 60_000
 MIN_STEPS = 150
 
 
@@ -49,10 +49,13 @@ class Network:
         ]
 
 
-def _octets(text: str) -> np.ndarray:
+def _raw(text: str) -> bytes:
     raw = text.encode("utf-8", "surrogatepass")
-    raw += b"\0" * (WIDTH - len(raw))
-    return np.frombuffer(raw, np.uint8)
+    return raw + b"\0" * (WIDTH - len(raw))
+
+
+def _octets(text: str) -> np.ndarray:
+    return np.frombuffer(_raw(text), np.uint8)
 
 
 def _starts(size: int) -> np.ndarray:
@@ -109,7 +112,7 @@ def train(
     decay: float = 1e-4,
     seed: int = 11,
 ) -> Network:
-    """Fit on texts given as chunks, by gradient steps on batches.
+    """Fit on texts given as chunks of ``WIDTH`` bytes or more, by gradient steps on batches.
 
     Only the place of the largest response passes a gradient back. Few texts are gone over more often,
     so that there are at least ``MIN_STEPS`` steps.
@@ -126,7 +129,7 @@ def train(
     }
     first = {k: np.zeros_like(v) for k, v in params.items()}
     second = {k: np.zeros_like(v) for k, v in params.items()}
-    ready = [[np.frombuffer(c + b"\0" * (WIDTH - len(c)), np.uint8) for c in t] for t in texts]
+    ready = [[np.frombuffer(c, np.uint8) for c in t] for t in texts]
     steps = 0
     for _ in range(max(epochs, math.ceil(MIN_STEPS * batch / len(ready)))):
         order = rng.permutation(len(ready))
@@ -183,30 +186,29 @@ def train(
 
 def fit(
     documents: DataFrame, labels: DataFrame, keep: Column, zeros: int = ZEROS, ones: int = ONES,
-    **settings,
+    chunks: int = CHUNKS, **settings,
 ) -> Network:
-    """A network fitted on at most ``zeros`` and ``ones`` ids of the two qualities, of which each text
-    gives at most ``TRAIN_CHUNKS`` evenly spread chunks. The share of the classes is put right at the end. Without
-    texts of both classes: the share of label 1 alone."""
+    """A network fitted on whole texts: at most ``zeros`` and ``ones`` ids of the two qualities, by a hash, of
+    which those are taken, in the hash's order, that make at most ``chunks`` chunks together, each class its share. Of the
+    rows of a repeated id one counts, the one whose text has the least hash, whatever the order of rows; null ids and
+    labels count for nothing, a null text is empty. The share of the classes is put right at the end. Without
+    texts of both classes: the share of label 1 alone. Other columns are ignored, whatever their names."""
     ids = labelled_ids(labels, "quality", keep, zeros, ones).persist()
     shares = {r["_label"]: r["n"] for r in labels.select(
         F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_label")
     ).where(keep & F.col("_label").isin(0, 1)).groupBy("_label").agg(F.count("*").alias("n")).collect()}
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for ident, label, text in zip(batch["_id"], batch["_label"], batch["_text"]):
-                raw = text.encode("utf-8", "surrogatepass")
-                starts = _starts(len(raw))
-                spread = np.unique(np.linspace(0, len(starts) - 1, TRAIN_CHUNKS).astype(int))
-                out.append((ident, label, [raw[s : s + CHUNK] for s in starts[spread]]))
-            yield pd.DataFrame(out, columns=["_id", "_label", "_chunks"])
-
-    kind = dict(ids.dtypes)["_id"]
-    sample = labelled_texts(documents, ids).dropDuplicates(["_id"]).mapInPandas(
-        cut, f"_id {kind}, _label int, _chunks array<binary>"
-    ).orderBy("_id").collect()  # at most zeros + ones rows of TRAIN_CHUNKS chunks
+    size = F.ceil(F.octet_length("_text") / STEP)
+    each = F.when(F.col("_label") == 1, chunks * ones // (zeros + ones)).otherwise(
+        chunks * zeros // (zeros + ones)
+    )
+    before = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id")
+    texts = one_text_each(labelled_texts(documents, ids)).withColumn("_size", size).where(
+        F.col("_size") <= each
+    )
+    sample = texts.withColumn("_sum", F.sum("_size").over(before)).where(F.col("_sum") <= each).select(
+        "_id", "_label", "_text"
+    ).orderBy("_id").collect()  # at most zeros + ones rows and chunks * STEP bytes
     ids.unpersist()
     y = [r["_label"] for r in sample]
     n = {0: y.count(0), 1: y.count(1)}
@@ -215,7 +217,8 @@ def fit(
         flat = np.zeros((WIDTH, 256, 1), np.float32)
         return Network(flat, np.zeros(1), np.zeros((3, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN),
                        float(np.log(share / (1 - share))))
-    network = train([[bytes(c) for c in r["_chunks"]] for r in sample], y, **settings)
+    cut = [[raw[s : s + CHUNK] for s in _starts(len(raw))] for raw in (_raw(r["_text"]) for r in sample)]
+    network = train(cut, y, **settings)
     network.offset += float(np.log(shares[1] / shares[0]) - np.log(n[1] / n[0]))
     return network
 
