@@ -29,9 +29,11 @@ class Plan:
 
     A slot says: pieces ``rank .. rank + bins * copies - 1`` of this ``length`` go, ``copies`` each,
     to the sequences ``first .. first + bins - 1``, from ``offset`` on.
+
+    ``parts``: of how many lengths at most a gap is filled exactly before best fit takes the rest.
     """
 
-    def __init__(self, counts: dict[int, int], size: int):
+    def __init__(self, counts: dict[int, int], size: int, parts: int = 3):
         if any(not 1 <= length <= size for length in counts):
             raise ValueError("a piece is longer than a sequence, or empty")
         self.size, self.sequences = size, 0
@@ -40,7 +42,7 @@ class Plan:
             self.left[length] = n
         self.used = np.zeros(size + 1, dtype=np.int64)
         self.slots: list[tuple[int, ...]] = []
-        self._exact()
+        self._exact(parts)
         self._best_fit()
 
     def _place(self, length: int, bins: int, copies: int, first: int, offset: int) -> None:
@@ -71,15 +73,22 @@ class Plan:
                 return
             yield int(b), int(total - b)
 
-    def _exact(self) -> None:
+    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """Which sums some pair, and some triple, of available lengths reaches.
+
+        Lengths only run out, so these may name too many sums later but never too few; the counts decide.
+        """
+        there = self.left > 0
+        pairs, triples = np.zeros(self.size + 1, dtype=bool), np.zeros(self.size + 1, dtype=bool)
+        for b in np.flatnonzero(there):
+            pairs[b:] |= there[: self.size + 1 - b]
+        for b in np.flatnonzero(there):
+            triples[b:] |= pairs[: self.size + 1 - b]
+        return pairs, triples
+
+    def _exact(self, parts: int) -> None:
         """Consume, for each length from the longest, singles, pairs and triples that fill its gap."""
-        # Sums that some pair of lengths reaches. Lengths only run out, so this may name too many
-        # sums but never too few; the counts decide.
-        sums = np.zeros(self.size + 1, dtype=bool)
-        lengths = np.flatnonzero(self.left > 0)
-        for b in lengths:
-            reach = lengths + b
-            sums[reach[reach <= self.size]] = True
+        pairs, triples = self._sums()
         for a in range(self.size, 0, -1):
             if self.left[a] <= 0:
                 continue
@@ -87,16 +96,17 @@ class Plan:
             if gap == 0:
                 self._fill((a,))
                 continue
-            if self.left[gap] > 0:
+            if parts >= 1 and self.left[gap] > 0:
                 self._fill((a, gap))
-            for pair in self._pairs(gap):
-                if self.left[a] <= 0:
-                    break
-                self._fill((a, *pair))
-            if self.left[a] <= 0 or gap < 3:
+            if parts >= 2 and pairs[gap]:
+                for pair in self._pairs(gap):
+                    if self.left[a] <= 0:
+                        break
+                    self._fill((a, *pair))
+            if parts < 3 or self.left[a] <= 0 or not triples[gap]:
                 continue
             b = np.arange(1, gap - 1)
-            for x in b[(self.left[1 : gap - 1] > 0) & sums[gap - b]][::-1]:
+            for x in b[(self.left[1 : gap - 1] > 0) & pairs[gap - b]][::-1]:
                 for pair in self._pairs(gap - int(x)):
                     if self.left[a] <= 0 or self.left[x] <= 0:
                         break
@@ -144,11 +154,23 @@ class Plan:
                     open_range(self.size - copies * a, first, bins)
 
 
+def best_plan(counts: dict[int, int], size: int) -> Plan:
+    """The plan with the fewest sequences of those that fill gaps by up to three, two, one or no lengths.
+
+    Filling exactly may spend short pieces, which would have gone into many gaps later, so less of it can need
+    fewer sequences. The last plan is best fit alone, which the result so never exceeds; among equals the
+    one that fills most exactly is taken.
+    """
+    return min((Plan(counts, size, parts) for parts in (3, 2, 1, 0)), key=lambda plan: plan.sequences)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, size: int = 2048) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` of every document.
 
     A document is its ids and one end id. One that is longer than ``size`` is cut so that all
-    pieces but the first are full. A null or empty text is the end id alone.
+    pieces but the first are full. A null or empty text is the end id alone; a null id is kept as it is, repeated
+    rows count each for itself, an empty table gives no pieces. Other columns are left out, whatever
+    their names.
     """
 
     @pandas_udf("array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>")
@@ -185,7 +207,7 @@ def pack(pieces: DataFrame, size: int = 2048, buckets: int | None = None) -> Dat
     counts = rows.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     counts = materialise(counts, "piece-counts")  # at most size * buckets rows
     totals = counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()  # at most size rows
-    plan = Plan({int(r["length"]): int(r["n"]) for r in totals}, size)
+    plan = best_plan({int(r["length"]): int(r["n"]) for r in totals}, size)
     slots = np.array(sorted(plan.slots), dtype=np.int64).reshape(-1, len(SLOT))
 
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import os
 from functools import lru_cache
 
@@ -13,7 +14,8 @@ END = 0
 
 class ByteBpe:
     """Encodes with the ranks of the same vocabulary, which is several times faster; a text that
-    the rank encoder refuses goes to the tokenizers library itself."""
+    the rank encoder refuses, or that holds a special token's text, goes to the tokenizers library itself,
+    which gives such a text the special token's id."""
 
     def __init__(self, path: str):
         import tiktoken
@@ -22,6 +24,9 @@ class ByteBpe:
         self.path = path
         self._library = None
         self._ranks = None
+        with open(path, encoding="utf-8") as body:
+            added = json.load(body).get("added_tokens", [])
+        self._special = [token["content"] for token in added if token["content"]]
         ranks = path.removesuffix(".json") + ".tiktoken"
         if os.path.exists(ranks):
             with open(ranks, "rb") as lines:
@@ -35,12 +40,11 @@ class ByteBpe:
             from tokenizers import Tokenizer
 
             self._library = Tokenizer.from_file(self.path)
-            self._library.encode_special_tokens = True
         return self._library
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text without an end, as unsigned 32-bit numbers."""
-        if self._ranks is not None:
+        if self._ranks is not None and not any(special in text for special in self._special):
             try:
                 return self._ranks.encode_to_numpy(text)
             except BaseException as problem:  # the rank encoder panics on some extreme runs

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from monthwise.llm import byte_cnn, components, decision_list, lattice_lm, lengths, line_dedup
-from monthwise.llm import packing, piece_bpe, pq_dedup, simhash, tokens, toxicity
+from monthwise.llm import packing, piece_bpe, pq_dedup, queries, simhash, tokens, toxicity
 from monthwise.llm.common import labelled_ids, labelled_texts, one_text_each, remainder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -141,6 +141,40 @@ def test_plan_places_every_piece_once(seed):
     assert plan.sequences <= 2 * math.ceil(total / size) + 1
 
 
+def spread_histogram(rng):
+    size = rng.choice([16, 64, 300, 2048])
+    shape = rng.choice(["even", "log-normal", "few", "short"])
+    lengths = {
+        "even": lambda: rng.randint(1, size), "few": lambda: rng.choice([size // 3 + 1, size // 2, 3, size]),
+        "log-normal": lambda: max(1, min(size, int(rng.lognormvariate(math.log(size) - 1.5, 1)))),
+        "short": lambda: rng.randint(1, max(1, size // 8)),
+    }[shape]
+    return Counter(lengths() for _ in range(rng.choice([10, 400, 3000]))), size
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_no_more_sequences_than_best_fit_alone(seed):
+    counts, size = spread_histogram(random.Random(seed))
+    plans = [packing.Plan(counts, size, parts) for parts in range(4)]
+    best = packing.best_plan(counts, size)
+    assert best.sequences == min(p.sequences for p in plans) <= plans[0].sequences
+    total = sum(a * n for a, n in counts.items())
+    assert best.sequences >= math.ceil(total / size)
+    used = Counter()
+    for length, _, bins, copies, _, _ in best.slots:
+        used[length] += bins * copies
+    assert used == counts
+
+
+def test_sums_of_pairs_and_triples_are_indexed():
+    plan = packing.Plan({}, 40)
+    for length in (3, 8, 17):
+        plan.left[length] = 1
+    pairs, triples = plan._sums()
+    assert set(np.flatnonzero(pairs)) == {6, 11, 16, 20, 25, 34}
+    assert set(np.flatnonzero(triples)) == {9, 14, 19, 24, 23, 28, 33, 37}
+
+
 def test_exact_complements_are_used():
     assert packing.Plan({10: 5, 6: 5}, 16).sequences == 5
     assert packing.Plan({10: 4, 4: 4, 2: 4}, 16).sequences == 4
@@ -148,12 +182,15 @@ def test_exact_complements_are_used():
 
 
 def test_fast_ids_are_the_library_s():
-    encoder = tokens.byte_bpe(BYTE_BPE)
+    from tokenizers import Tokenizer
+
+    encoder, library = tokens.byte_bpe(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    assert encoder.ids("a <|endoftext|>b").tolist().count(50256) == 1
     rng = random.Random(2)
     odd = ["<|endoftext|>", " ", "  ", "\n", "'s", "é", "日本", "😀", " ", "12", "a" * 300, "!!", "\x00"]
     texts = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 20))) for _ in range(500)]
     for text in [*texts, *[t for _, t in awkward() if t is not None], " " * 5000]:
-        want = encoder.library().encode(text, add_special_tokens=False).ids
+        want = library.encode(text, add_special_tokens=False).ids
         assert encoder.ids(text).tolist() == want
 
 
@@ -462,6 +499,101 @@ def test_toxicity_on_held_out_rows(spark):
     assert not none.words and 0 <= toxicity.score("", none, toxicity.finder(none)) < 0.5
 
 
+def kinds_in_order(model):
+    """The grammar decides whatever was learned: threats, negation, reports and targets keep their places."""
+    machine = toxicity.finder(model)
+    of = lambda text: toxicity.score(text, model, machine)
+    word = max([*model.words, *model.beginnings], key=model.insult)
+    assert of("i will kill you") >= 0.5 and of("we shall burn them") >= 0.5
+    assert of("i will not kill you") < of("i will kill you") > of("he said i will kill you")
+    assert of(f"not a {word}") < of(f"a {word}") > of(f"somebody said {word}")
+    assert of(f"you are not a {word}") < of(f"you are a {word}") >= of(f"a {word}") >= 0.5
+    assert of("a quiet day") == model.share < 0.5
+
+
+@pytest.mark.parametrize("seen", ["plain", "target", "negated", "reported", "mixed"])
+def test_kinds_keep_their_order_in_fitted_models(spark, seen):
+    """Whichever kinds of matches the labels hold, all of them toxic."""
+    rng = random.Random(seen)
+    ways = {"plain": "a {}", "target": "you {}", "negated": "not a {}", "reported": "they said {}"}
+    rows = []
+    for k in range(600):
+        rest = " ".join(rng.choices([f"n{i}" for i in range(60)], k=12))
+        way = ways[rng.choice(list(ways)) if seen == "mixed" else seen]
+        last = way.format(rng.choice(["zorg", "blarg", "grumpel"] if k % 3 == 0 else ["n1", "n2"]))
+        rows.append((k, f"{rest}. {last}.", int(k % 3 == 0)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([r[::2] for r in rows], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert {w[:4] for w in [*model.words, *model.beginnings]} == {"zorg", "blar", "grum"}
+    kinds_in_order(model)
+    machine = toxicity.finder(model)
+    scores = [(toxicity.score(t, model, machine) >= 0.5, bool(y)) for _, t, y in rows]
+    assert sum(a == b for a, b in scores) > 0.99 * len(scores)
+
+
+def test_kinds_keep_their_order_on_the_documents(spark):
+    kinds_in_order(queries.toxicity_model(spark, "/root/testdata/sf0.01"))
+
+
+def brute_score(text, model):
+    """A score from the definition: classes by looking at the words of each clause, no transducers."""
+    lexicon, clauses = model.lexicon, []
+    for words in toxicity.clauses((text or "").lower(), lexicon):
+        kinds = [model.symbol(w) for w in words]
+        names = [k for k, _ in kinds]
+        found = Counter()
+        for i, (kind, weight) in enumerate(kinds):
+            if kind not in ("insult", "threat"):
+                continue
+            # a negation reaches the four next words; marks of quotations don't count
+            before = [n for n in names[:i] if n != "quote"][-toxicity.SCOPE:]
+            negated, told = "not" in before, any(n in ("said", "quote") for n in names[:i])
+            target = "target" in names
+            if kind == "threat":
+                if target and negated and told:  # a match without weight
+                    found["insult:not:said"] += 0.0
+                elif target:
+                    found["threat:target" + (":not" if negated else ":said" if told else "")] += weight
+            elif negated or told:
+                found["insult" + ":not" * negated + ":said" * told] += weight
+            else:
+                found["insult:target" if target else "insult"] += weight
+        if found:
+            clauses.append(found)
+    if not clauses:
+        return model.share
+    heavy = max(clauses, key=lambda f: sum(model.weights[c] * v for c, v in f.items()))
+    z = model.offset + model.more * math.log(len(clauses))
+    z += sum(model.weights[c] * v for c, v in heavy.items())
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_scores_equal_a_brute_force_reading(spark):
+    model = queries.toxicity_model(spark, "/root/testdata/sf0.01")
+    rng = random.Random(2)
+    vocabulary = [*list(model.words)[:6], "you", "them", "not", "said", "kill", "burn", "a", "day", "he", ":", ".", ",",
+                  '"', "\n"]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 25))) for _ in range(1500)]
+    texts += [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    machine = toxicity.finder(model)
+    for text in texts:
+        assert toxicity.score(text or "", model, machine) == pytest.approx(brute_score(text, model)), text
+
+
+def test_a_lexicon_of_ones_own():
+    lexicon = toxicity.Lexicon(targets=("zu",), threats=("krak",), negations=("ne",), reports=("rek",), no_speakers=())
+    model = toxicity.Model(words={"blarg": 4.0}, lexicon=lexicon)
+    machine = toxicity.finder(model)
+    found = lambda text: [dict(f) for f in toxicity.matches(text, model, machine)]
+    assert found("krak zu") == [{"threat:target": 1.0}] and found("i will kill you") == []
+    assert found("ne blarg") == [{"insult:not": 4.0}] and found("you blarg") == [{"insult": 4.0}]
+    assert found("blarg, on rek") == [{"insult:said": 4.0}]
+    empty = toxicity.Lexicon((), (), (), (), ())
+    plain = toxicity.Model(words={"blarg": 4.0}, lexicon=empty)
+    assert [dict(f) for f in toxicity.matches('not "you blarg", he said', plain, machine)] == [{"insult": 4.0}]
+
+
 def test_grammar_composes_transducers():
     model = toxicity.Model(words={"blarg": 4.0})
     features = lambda text: dict(toxicity.clause_features(text, model))
@@ -589,3 +721,90 @@ def test_labelled_ids_are_bounded_and_unique(spark):
     got = labelled_ids(labels, "toxic", F.lit(True), 10, 5).collect()
     assert Counter(r["_label"] for r in got) == {0: 10, 1: 5}
     assert len({r["_id"] for r in got}) == 15
+
+
+def brute_probability(text, net):
+    """The network from its definition, place by place."""
+    raw = (text or "").encode()
+    raw += b"\0" * (byte_cnn.WIDTH - len(raw))
+    peaks = []
+    for start in range(0, max(1, len(raw) - (byte_cnn.CHUNK - byte_cnn.STEP)), byte_cnn.STEP):
+        part = raw[start : start + byte_cnn.CHUNK]
+        responses = [
+            sum(net.filters[k, part[p + k]].astype(float) for k in range(byte_cnn.WIDTH))
+            for p in range(len(part) - byte_cnn.WIDTH + 1)
+        ]
+        peaks.append([max(0.0, max(r[f] for r in responses) + net.bias[f]) for f in range(len(net.bias))])
+    means = [sum(c) / len(peaks) for c in zip(*peaks)]
+    tops = [max(c) for c in zip(*peaks)]
+    full = 3 * (1 - math.log(min(len(raw), byte_cnn.CHUNK)) / math.log(byte_cnn.CHUNK))
+    units = np.tanh(np.array([*means, *tops, full]) @ net.hidden + net.lift)
+    return 1 / (1 + math.exp(-(float(units @ net.weights) + net.offset)))
+
+
+def test_probability_equals_its_definition(spark):
+    rng = random.Random(8)
+    gen = np.random.default_rng(8)
+    net = byte_cnn.Network(
+        gen.normal(0, 0.3, (byte_cnn.WIDTH, 256, 5)).astype(np.float32), gen.normal(size=5).astype(np.float32),
+        gen.normal(0, 0.2, (11, byte_cnn.HIDDEN)), gen.normal(size=byte_cnn.HIDDEN),
+        gen.normal(size=byte_cnn.HIDDEN), 0.3,
+    )
+    sizes = [0, 1, 5, 6, 447, 448, 511, 512, 513, 576, 577, 1000, 3000]
+    texts = [None, *["".join(rng.choices("ab é日.\n", k=n)) for n in sizes]]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in frame.select(byte_cnn.quality_score(F.col("text"), net)).collect()]
+    assert got == pytest.approx([brute_probability(t, net) for t in texts], abs=1e-4)
+
+
+def test_the_network_does_not_depend_on_the_order_of_rows(spark):
+    docs, labels = marked_documents(spark)
+    twice = docs.union(docs.selectExpr("doc_id", "concat(text, ' $$$ other') as text"))
+    settings = dict(zeros=40, ones=40, epochs=1)
+    nets = [
+        byte_cnn.fit(frame, labels, F.lit(True), **settings)
+        for frame in (twice, twice.repartition(7).orderBy(F.desc("text")))
+    ]
+    assert np.array_equal(nets[0].filters, nets[1].filters) and nets[0].offset == nets[1].offset
+    odd = twice.withColumns({"_id": F.lit(1), "_text": F.lit("x"), "_label": F.lit(0), "_size": F.lit(9)})
+    assert np.array_equal(byte_cnn.fit(odd, labels, F.lit(True), **settings).filters, nets[0].filters)
+
+
+def test_the_chunk_bound_leaves_out_texts_but_cuts_none(spark, monkeypatch):
+    docs, labels = marked_documents(spark)
+    seen = []
+    monkeypatch.setattr(byte_cnn, "train", lambda texts, y, **k: seen.extend(texts) or byte_cnn.Network(
+        np.zeros((6, 256, 1)), np.zeros(1), np.zeros((3, 16)), np.zeros(16), np.zeros(16), 0.0))
+    byte_cnn.fit(docs, labels, F.lit(True), zeros=50, ones=150, chunks=80)
+    whole = {r["text"].encode() for r in docs.where("text is not null").collect()}
+    joined = lambda t: b"".join([t[0], *[c[byte_cnn.CHUNK - byte_cnn.STEP :] for c in t[1:]]])
+    assert 10 < len(seen) and sum(map(len, seen)) <= 80 + len(seen)
+    assert all(joined(t).rstrip(b"\0") in whole for t in seen)
+
+
+def query_rows(spark, name, folder="/root/testdata/sf0.001"):
+    return queries.QUERIES[name](spark, folder), spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def test_query_of_toxicity_equals_brute_force(spark):
+    got, docs = query_rows(spark, "op1_toxicity")
+    model = queries.toxicity_model(spark, "/root/testdata/sf0.001")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = got.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r["score"] == pytest.approx(brute_score(texts[r["doc_id"]], model))
+        assert r["predicted"] == int(r["score"] >= 0.5)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_query_of_quality_equals_brute_force(spark):
+    got, docs = query_rows(spark, "op10_byte_cnn")
+    network = queries.quality_network(spark, "/root/testdata/sf0.001")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = got.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        if len(texts[r["doc_id"]] or "") < 3000:
+            assert r["score"] == pytest.approx(brute_probability(texts[r["doc_id"]], network), abs=1e-4)
+        assert r["predicted"] == int(r["score"] >= 0.5)
