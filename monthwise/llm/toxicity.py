@@ -112,6 +112,8 @@ AT_MOST = [
 ]
 #: The least and the greatest log-odds of a threat against a target; no label needs to hold one.
 THREAT = 0.4, 3.0
+#: The greatest log-odds of a match without weight.
+OFFSET = -1.0
 
 
 @dataclass
@@ -488,6 +490,17 @@ def _newton(x: np.ndarray, y: np.ndarray, first: np.ndarray, strength: np.ndarra
     return beta
 
 
+def _below(x: np.ndarray, y: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Coefficients whose offset is at most ``OFFSET``: where every match of the sample is toxic, it is the
+    weights that say so, and a match without weight stays harmless."""
+    strength = np.array([0.05, *[1.0] * (len(first) - 1)])
+    beta = _newton(x, y, first, strength)
+    if beta[0] > OFFSET:
+        fixed = np.array([1e9, *strength[1:]])
+        beta = _newton(x, y, np.array([OFFSET, *first[1:]]), fixed)
+    return beta
+
+
 def _calibrate(model: Model, rows) -> None:
     """Fit offset and weights to the labels.
 
@@ -510,13 +523,9 @@ def _calibrate(model: Model, rows) -> None:
     if len(y):
         first = np.array(list(shares.values()))
         together = np.column_stack([x[:, :2], x[:, 2:] @ first])
-        offset, more, scale = _newton(
-            together, y, np.array([model.offset, model.more, 1.0]), np.array([0.05, 1.0, 1.0])
-        )
+        offset, more, scale = _below(together, y, np.array([model.offset, model.more, 1.0]))
         scale = max(scale, 0.1)
-        beta = _newton(
-            x, y, np.array([offset, more, *(scale * first)]), np.array([0.05, 1.0, *[1.0] * len(first)])
-        )
+        beta = _below(x, y, np.array([offset, more, *(scale * first)]))
         model.offset, model.more = float(beta[0]), float(beta[1])
         seen = x[:, 2:].any(axis=0)
         plain = float(beta[2]) if seen[0] else scale
