@@ -2,8 +2,9 @@
 
 Fitting: coarse centroids and, on the residuals, one small codebook for each subspace, from a bounded
 sample. Indexing: every vector gets its list, its codes and the length of what the codes miss.
-Searching: every vector visits all lists that can hold a neighbour, compares its distance tables with
-the codes there, and reranks by exact cosine what the codes, less their known error, can't rule out.
+Searching: every vector visits its own list and those after it that can hold a neighbour, compares its
+distance tables with the codes there, and reranks by exact cosine what the codes, less their known error,
+can't rule out. Of two lists only one side visits, as either sees the border between them.
 """
 
 from __future__ import annotations
@@ -88,9 +89,27 @@ def usable(vector: Column, label: Column) -> Column:
     )
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
+def _packed(vector: np.ndarray) -> bytes:
+    """A vector in single precision where that holds it exactly, else in double."""
+    short = vector.astype(np.float32)
+    return short.tobytes() if (short == vector).all() else vector.tobytes()
+
+
+def _unpacked(rows: pd.Series, dim: int) -> np.ndarray:
+    """Unit vectors again."""
+    return _unit([np.frombuffer(r, np.float32 if len(r) == 4 * dim else np.float64) for r in rows])
+
+
+def effective_rank(sample: np.ndarray) -> float:
+    """Along how many directions the vectors spread, by the participation ratio of their variances."""
+    spread = np.cov(sample, rowvar=False, bias=True).reshape(sample.shape[1], -1)
+    total, square = float(np.trace(spread)), float((spread**2).sum())
+    return max(1.0, total**2 / square) if square > 0 else 1.0
+
+
+def _unit(vectors) -> np.ndarray:
     x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-    x /= np.abs(x).max(1, keepdims=True)  # no overflow below
+    x = x / np.abs(x).max(1, keepdims=True)  # no overflow below
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -104,8 +123,9 @@ def _links_of(
     lists = max(1, min(len(sample) // 8, 1024, int(rows**0.5)))
     index = fit(sample, lists)
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9
-    # Of a difference of this length only so much points from one centroid to another.
-    aside = min(reach, sigmas * reach / np.sqrt(dim))
+    # Of a difference of this length only so much points from one centroid to another, if differences lie as the
+    # vectors do: along few directions, all of it may.
+    aside = min(reach, sigmas * reach / np.sqrt(effective_rank(sample)))
     apart = np.sqrt(_distances(index.centroids, index.centroids))
     np.fill_diagonal(apart, np.inf)
 
@@ -124,9 +144,11 @@ def _links_of(
             yield pd.DataFrame({
                 "_node": batch["_node"], "_label": batch["_label"], "_size": batch["_size"],
                 "_home": home.astype(np.int32),
-                "_visits": [np.flatnonzero(b <= aside).astype(np.int32) for b in border],
+                "_visits": [
+                    h + np.flatnonzero(b[h:] <= aside).astype(np.int32) for h, b in zip(home, border)
+                ],
                 "_codes": [c.tobytes() for c in codes], "_miss": miss,
-                "_x": [v.tobytes() for v in x],
+                "_x": [_packed(np.asarray(v, np.float64)) for v in batch["_vector"]],
             })
 
     kind = dict(classes.dtypes)["_label"]
@@ -144,7 +166,7 @@ def _links_of(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks")
     )
     visits = placed.select(
-        "_label", F.explode("_visits").alias("_list"), "_node", "_x", "_size"
+        "_label", F.explode("_visits").alias("_list"), "_home", "_node", "_x", "_size"
     )
     crowds = placed.select("_label", F.explode("_visits").alias("_list")).groupBy(
         "_label", "_list"
@@ -162,7 +184,7 @@ def _links_of(
         visits.join(grid, ["_label", "_list"])
         .withColumn("_turn", F.pmod(deal, F.col("_turns")).cast("int"))
         .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .select(*key, "_node", "_x")
+        .select(*key, "_node", "_size", "_x", (F.col("_home") == F.col("_list")).alias("_inside"))
     )
     visitors = visitors.toDF(*visitors.columns)  # new columns, as both sides come from one table
 
@@ -172,8 +194,7 @@ def _links_of(
             return empty
         centre = index.centroids[int(group[1])]
         codes = np.frombuffer(b"".join(own["_codes"]), np.uint8).reshape(len(own), -1)
-        y = np.frombuffer(b"".join(own["_x"])).reshape(len(own), -1)
-        x = np.frombuffer(b"".join(others["_x"])).reshape(len(others), -1)
+        y, x = _unpacked(own["_x"], dim), _unpacked(others["_x"], dim)
         limit = reach + own["_miss"].to_numpy()
         nodes, visiting = own["_node"].to_numpy(), others["_node"].to_numpy()
         left, right = [], []
@@ -195,8 +216,12 @@ def _links_of(
         left, right = np.concatenate([*left, []]).astype(int), np.concatenate([*right, []]).astype(int)
         if not len(left):
             return empty
-        size = own["_size"].to_numpy()
-        links = np.bincount(left, size[right], len(x)).astype(np.int64)
+        # Inside a list both ends of a link visit; from outside only one does, and it counts for both.
+        outside = ~others["_inside"].to_numpy(bool)[left]
+        links = np.zeros(len(x), np.int64)
+        np.add.at(links, left, own["_size"].to_numpy()[right])
+        back = np.zeros(len(y), np.int64)
+        np.add.at(back, right[outside], others["_size"].to_numpy()[left[outside]])
         low_x, low_y = visiting.copy(), nodes.copy()
         while True:
             before = low_x.copy(), low_y.copy()
@@ -207,7 +232,7 @@ def _links_of(
         i, j = np.unique(left), np.unique(right)
         return pd.DataFrame({
             "_node": np.concatenate([visiting[i], nodes[j]]),
-            "_links": np.concatenate([links[i], np.zeros(len(j), np.int64)]),
+            "_links": np.concatenate([links[i], back[j]]),
             "_low": np.concatenate([low_x[i], low_y[j]]),
         })
 
@@ -236,8 +261,9 @@ def vector_components(
 
     The index is fitted on at most ``SAMPLE`` classes (by hash) and holds all of them. ``sigmas``
     says how far beyond the border of its list a vector looks, in standard deviations of a difference
-    of the threshold's length along one direction; the square root of the dimension looks everywhere a
-    neighbour can be.
+    of the threshold's length along one of the directions that the sample spreads over
+    (:func:`effective_rank`); the square root of their number looks everywhere a neighbour can be, which
+    the default does up to 16.
     """
     rows = vectors.select(
         F.col(ident).alias("_id"), F.col(label).alias("_label"),

@@ -414,6 +414,34 @@ def test_vector_links_equal_brute_force(spark):
     assert empty.count() == 0
 
 
+@pytest.mark.parametrize("rank, dim", [(2, 64), (4, 256), (8, 128), (16, 256), (64, 64), (128, 128)])
+def test_links_at_the_default_setting(spark, rank, dim):
+    """Planted near copies on vectors that spread over few or many directions; nearly all links are found."""
+    rng = np.random.default_rng(rank)
+    flat = np.linalg.qr(rng.normal(size=(dim, rank)))[0].T
+    base = rng.normal(size=(900, rank))
+    base = np.concatenate([base, base[:300] + rng.normal(scale=0.25, size=(300, rank))])
+    x = (base @ flat).astype(np.float32)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.93
+    np.fill_diagonal(linked, False)
+    rows = [(k, [float(v) for v in r], 1) for k, r in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").repartition(4)
+    got = {r["vec_id"]: r["_n_links"] for r in pq_dedup.vector_components(frame).collect()}
+    found = np.array([got[k] for k in range(len(x))])
+    assert (found <= linked.sum(1)).all() and linked.sum() > 100
+    assert found.sum() >= 0.99 * linked.sum()
+    assert pq_dedup.effective_rank(unit) <= 1.05 * rank
+
+
+def test_vectors_are_shipped_exactly():
+    rng = np.random.default_rng(1)
+    for v in (rng.normal(size=8).astype(np.float32).astype(float), rng.normal(size=8)):
+        back = pq_dedup._unpacked([pq_dedup._packed(v)], 8)[0]
+        assert (back == pq_dedup._unit([v])[0]).all()
+    assert len(pq_dedup._packed(np.ones(8))) == 32 and len(pq_dedup._packed(np.full(8, 0.1))) == 64
+
+
 # quality rules
 
 def test_statistics_equal_brute_force(docs, nothing):
