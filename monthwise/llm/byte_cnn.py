@@ -17,7 +17,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.window import Window
 
 from monthwise.llm.common import labelled_ids, labelled_texts, one_text_each, whole
 
@@ -198,17 +197,24 @@ def fit(
         F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_label")
     ).where(keep & F.col("_label").isin(0, 1)).groupBy("_label").agg(F.count("*").alias("n")).collect()}
 
-    size = F.ceil(F.octet_length("_text") / STEP)
-    each = F.when(F.col("_label") == 1, chunks * ones // (zeros + ones)).otherwise(
-        chunks * zeros // (zeros + ones)
-    )
-    before = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id")
-    texts = one_text_each(labelled_texts(documents, ids)).withColumn("_size", size).where(
-        F.col("_size") <= each
-    )
-    sample = texts.withColumn("_sum", F.sum("_size").over(before)).where(F.col("_sum") <= each).select(
-        "_id", "_label", "_text"
-    ).orderBy("_id").collect()  # at most zeros + ones rows and chunks * STEP bytes
+    texts = one_text_each(labelled_texts(documents, ids)).withColumn(
+        "_size", F.ceil(F.octet_length("_text") / STEP)
+    ).persist()
+    left = {0: chunks * zeros // (zeros + ones), 1: chunks * ones // (zeros + ones)}
+    taken = []
+    for row in sorted(
+        texts.select("_id", "_label", "_size", F.xxhash64("_id").alias("_hash")).collect(),
+        key=lambda r: (r["_hash"], r["_id"]),
+    ):  # at most zeros + ones rows
+        if row["_size"] <= left[row["_label"]]:
+            left[row["_label"]] -= row["_size"]
+            taken.append((row["_id"],))
+    kind = dict(ids.dtypes)["_id"]
+    chosen = F.broadcast(documents.sparkSession.createDataFrame(taken, f"_id {kind}"))
+    sample = texts.join(chosen, "_id", "left_semi").select("_id", "_label", "_text").orderBy(
+        "_id"
+    ).collect()  # at most chunks * STEP bytes
+    texts.unpersist()
     ids.unpersist()
     y = [r["_label"] for r in sample]
     n = {0: y.count(0), 1: y.count(1)}
