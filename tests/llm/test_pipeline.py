@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from monthwise.llm import byte_cnn, queries, tokens, toxicity
-from tests.llm.test_operators import brute_fingerprint, brute_groups, marked_documents
+from tests.llm.test_operators import (
+    SCHEMA, awkward, brute_fingerprint, brute_groups, brute_probability, brute_score, marked_documents,
+)
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +91,26 @@ def test_stages_on_an_empty_table(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_stages_on_awkward_rows_with_clashing_columns(spark, folder):
+    """Nulls, empty and very long texts, repeated rows and ids, columns that the operators name themselves."""
+    rows = [(*r, k % 3, None, "x", 3, "y", 4) for k, r in enumerate(awkward())]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    bag = lambda df: sorted(map(str, map(tuple, df.collect())))
+    network, model = queries.quality_network(spark, folder), queries.toxicity_model(spark, folder)
+    good = corpus_pipeline.STAGES[0][1](spark, docs, folder)
+    short = [r for r in rows if len(r[1] or "") < 20000]
+    keeps = [r for r in short if brute_probability(r[1], network) >= 0.5]
+    assert good.columns == docs.columns
+    assert bag(good.where("length(coalesce(text, '')) < 20000")) == sorted(map(str, keeps))
+    clean = corpus_pipeline.STAGES[1][1](spark, docs, folder)
+    assert bag(clean) == sorted(str(r) for r in rows if brute_score(r[1], model) < 0.5)
+    lined = corpus_pipeline.STAGES[2][1](spark, clean, folder)
+    assert lined.columns == docs.columns and lined.count() == clean.count()
+    single = corpus_pipeline.STAGES[3][1](spark, lined, folder)
+    group = brute_groups({brute_fingerprint(r["text"]) for r in lined.collect()}, 2)
+    assert single.columns == docs.columns and single.count() == len(set(group.values()))
+    packed = corpus_pipeline.STAGES[4][1](spark, docs, folder)
+    encoder = tokens.byte_bpe(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packed.agg(F.sum("length")).first()[0] == sum(len(encoder.ids(r[1] or "")) + 1 for r in rows)

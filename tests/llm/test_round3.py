@@ -304,3 +304,15 @@ def test_query_of_search_equals_its_sql(spark):
         queries.QUERIES["op13_exact_topk"](spark, data_dir()), queries.ORACLES["op13_exact_topk"], data_dir()
     )
     assert problem is None and rows > 0
+
+
+CHEAP = [n for n in queries.QUERIES if n not in ("op1_toxicity", "op6_lattice_lm", "op10_byte_cnn")]
+
+
+@pytest.mark.parametrize("name", CHEAP)
+def test_plans_hold_no_cross_join_and_no_row_at_a_time_python(spark, name):
+    plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert node not in plan
+    if name in ("op3_line_dedup", "op9_quality_rules"):
+        assert not re.search("Python|Pandas|Arrow", plan)
