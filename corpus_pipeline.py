@@ -2,6 +2,10 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns what it keeps; what it returns is written
 before the next one reads it.
+
+In every stage a null text is an empty one, a null id is an id like any other, repeated rows are judged each for
+itself, an empty table stays empty, and further columns, whatever their names, are kept as they are by all stages but
+the last, which returns places of pieces.
 """
 
 from __future__ import annotations
@@ -14,13 +18,13 @@ from monthwise.session import materialise
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier gives at least one half."""
+    """Documents that the quality classifier gives at least one half; equal texts share their fate."""
     network = queries.quality_network(spark, sf_dir)
     return docs.where(byte_cnn.quality_score(F.col("text"), network) >= 0.5)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below one half."""
+    """Documents whose toxicity is below one half; empty texts match nothing and stay."""
     model = queries.toxicity_model(spark, sf_dir)
     return docs.where(toxicity.toxicity_score(F.col("text"), model) < 0.5)
 
@@ -44,7 +48,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its place in a sequence."""
+    """Every piece of every document with its place in a sequence; empty texts are one token long."""
     return queries.packed(docs)
 
 
