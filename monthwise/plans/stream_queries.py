@@ -74,7 +74,7 @@ def stream_forecast_table(spark, sf_dir):
     return result.select(*PRIORITY, "date", "sales", (F.col("step") > 0).alias("is_forecast"))
 
 
-# Orders arriving up to 880 days late, year by year: one file, and so one micro-batch, for each year of arrival. A batch
+# Orders arriving up to 880 days late, year by year: as many files as a micro-batch takes for each year of arrival. A batch
 # drops what was late under the watermark its predecessor ran with, so what it may still count was
 # settled by the days seen two batches before and earlier.
 BATCHED_SQL = f"""
@@ -89,6 +89,9 @@ settled_in AS (
       <= (SELECT max(day) FROM orders_in))"""
 
 
+FILES = 4  # of a year, written and read by as many tasks
+
+
 def yearly_job(spark, sf_dir) -> ForecastJob:
     """Forecasts from orders that arrive in several micro-batches, late ones among them."""
     path = fresh_dir(spark, "arrivals")
@@ -97,10 +100,10 @@ def yearly_job(spark, sf_dir) -> ForecastJob:
     source = source.withColumn("batch", F.year(arrival))
     for row in source.select("batch").distinct().orderBy("batch").collect():
         year = source.filter(F.col("batch") == row["batch"]).drop("batch")
-        year.coalesce(1).write.mode("append").parquet(path)
+        year.repartition(FILES).write.mode("append").parquet(path)
     session = state_session(spark, STATE_PARTITIONS)
     stream = session.readStream.schema(source.drop("batch").schema)
-    stream = stream.option("maxFilesPerTrigger", "1").parquet(path)
+    stream = stream.option("maxFilesPerTrigger", FILES).parquet(path)
     closed = closed_month_stream(stream, series=PRIORITY, scale=2)
     job = ForecastJob(spark, fresh_dir(spark, "yearly"), oldest_feature(), "compat", PRIORITY)
     job.start(closed).awaitTermination()
