@@ -28,6 +28,7 @@ from monthwise.streaming.months import closed_month_stream
 
 PRIORITY = ["o_orderpriority"]
 STATE_PARTITIONS = 8  # the state is one sum for each of five priorities and open month
+BUCKETS = 4  # of the five series' latest months and results
 
 SETTLED_SQL = f"""
 {ORDERS_SQL},
@@ -68,7 +69,9 @@ def stream_closed_months(spark, sf_dir):
 )
 def stream_forecast_table(spark, sf_dir):
     closed = closed_month_stream(order_stream(spark, sf_dir), series=PRIORITY, scale=2)
-    job = ForecastJob(spark, fresh_dir(spark, "forecast"), oldest_feature(), "compat", PRIORITY)
+    job = ForecastJob(
+        spark, fresh_dir(spark, "forecast"), oldest_feature(), "compat", PRIORITY, buckets=BUCKETS
+    )
     job.start(closed).awaitTermination()
     result = job.results.read()
     return result.select(*PRIORITY, "date", "sales", (F.col("step") > 0).alias("is_forecast"))
@@ -105,7 +108,9 @@ def yearly_job(spark, sf_dir) -> ForecastJob:
     stream = session.readStream.schema(source.drop("batch").schema)
     stream = stream.option("maxFilesPerTrigger", FILES).parquet(path)
     closed = closed_month_stream(stream, series=PRIORITY, scale=2)
-    job = ForecastJob(spark, fresh_dir(spark, "yearly"), oldest_feature(), "compat", PRIORITY)
+    job = ForecastJob(
+        spark, fresh_dir(spark, "yearly"), oldest_feature(), "compat", PRIORITY, buckets=BUCKETS
+    )
     job.start(closed).awaitTermination()
     return job
 

@@ -2,23 +2,43 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthwise.sinks.batch_log import BatchLog
+from monthwise.sinks import files
 
 BUCKET = "bucket"
-_INDEX = "buckets int, schema string, note string, places map<int,bigint>"
+
+
+@dataclass(frozen=True)
+class _Index:
+    """What a version consists of: ``places`` says under which version each bucket lies."""
+
+    buckets: int
+    schema: dict
+    note: str
+    places: dict[int, int]
+
+    @classmethod
+    def read(cls, text: str) -> _Index:
+        body = json.loads(text)
+        body["places"] = {int(b): v for b, v in body["places"].items()}
+        return cls(**body)
+
+    def fields(self) -> list[T.StructField]:
+        return T.StructType.fromJson(self.schema).fields
 
 
 class BucketStore:
     """A table whose content at a version is one directory for each bucket.
 
-    A version writes new directories for the buckets it changes, in one job, and then an index of one
-    row that says under which version every bucket lies. The index is the commit: until it is complete,
+    A version writes new directories for the buckets it changes, in one job, and then a small index
+    file that says under which version every bucket lies. The index is the commit: until it is complete,
     readers see the version before, and a writer cut short repeats its version. The buckets of the
     version before are kept, so that readers of the moment can finish; older ones are removed. There are
     never more than twice ``buckets`` directories.
@@ -32,37 +52,36 @@ class BucketStore:
             raise ValueError("at least one bucket")
         self.spark, self.keys = spark, list(keys)
         self._wanted = buckets if self.keys else 1
-        self._data = BatchLog(spark, f"{root}/versions")
-        self._index = BatchLog(spark, f"{root}/index")
-        self._seen: dict[int, Row] = {}
+        self._versions, self._index = f"{root}/versions", f"{root}/index"
+        self._seen: dict[int, _Index] = {}
 
     def committed(self) -> list[int]:
         """The versions that can be read: the current one and the one before."""
-        return self._index.committed()
+        found = files.names(self.spark, f"{self._index}/*.json")
+        return sorted(int(name.removesuffix(".json")) for name in found)
 
     def version(self) -> int | None:
         """The current version; None before the first."""
         done = self.committed()
         return done[-1] if done else None
 
-    def _entry(self, version: int | None = None) -> Row | None:
+    def _entry(self, version: int | None = None) -> _Index | None:
         version = self.version() if version is None else version
         if version is None:
             return None
         if version not in self._seen:
-            self._seen = {k: v for k, v in self._seen.items() if k >= version - 1}
-            self._seen[version] = self._index.read(only=version).first()
+            self._seen[version] = _Index.read(files.read_text(self.spark, f"{self._index}/{version}.json"))
         return self._seen[version]
 
     def note(self) -> str | None:
         """What the current version's writer noted with it."""
         entry = self._entry()
-        return entry["note"] if entry else None
+        return entry.note if entry else None
 
     @property
     def buckets(self) -> int:
         entry = self._entry()
-        return entry["buckets"] if entry else self._wanted
+        return entry.buckets if entry else self._wanted
 
     def bucket(self) -> Column:
         """The bucket of a row."""
@@ -76,15 +95,15 @@ class BucketStore:
         return sorted(r[BUCKET] for r in found)
 
     def _place(self, version: int, bucket: int) -> str:
-        return f"{self._data.path(version)}/{BUCKET}={bucket}"
+        return f"{self._versions}/version-{version}/{BUCKET}={bucket}"
 
     def read(self, only: Sequence[int] | None = None) -> DataFrame | None:
         """All rows, or those of some buckets, in one pass; None before the first version."""
         entry = self._entry()
         if entry is None:
             return None
-        schema = T._parse_datatype_json_string(entry["schema"])
-        places = sorted(entry["places"].items())
+        schema = T.StructType(entry.fields())
+        places = sorted(entry.places.items())
         paths = [self._place(v, b) for b, v in places if only is None or b in only]
         if not paths:
             return self.spark.createDataFrame([], schema)
@@ -105,33 +124,29 @@ class BucketStore:
         before = self._entry()
         if before is not None and version <= self.version():
             return
-        count, kept = self.buckets, before["places"] if before else {}
+        count, kept = self.buckets, before.places if before else {}
+        path = f"{self._versions}/version-{version}"
         placed = (self.spread(rows) if spread else rows).withColumn(BUCKET, self.bucket())
-        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(self._data.path(version))
+        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         places = {b: v for b, v in kept.items() if b not in set(buckets)}
-        places |= {b: version for b in self._written(version)}
+        written = files.names(self.spark, f"{path}/{BUCKET}=*")
+        places |= {int(name.split("=", 1)[1]): version for name in written}
         fields = {f.name: f for f in rows.schema}
         if before:
-            old = T._parse_datatype_json_string(before["schema"])
-            fields = {f.name: f for f in old} | fields
+            fields = {f.name: f for f in before.fields()} | fields
         nullable = [T.StructField(f.name, f.dataType, True) for f in fields.values()]
-        row = (count, T.StructType(nullable).json(), note, places)
-        self._index.write(self.spark.createDataFrame([row], _INDEX).coalesce(1), version)
+        entry = _Index(count, T.StructType(nullable).jsonValue(), note, places)
+        files.write_text(self.spark, f"{self._index}/{version}.json", json.dumps(asdict(entry)))
         self._prune()
 
-    def _written(self, version: int) -> list[int]:
-        found, files = self._data._files(f"{self._data.path(version)}/{BUCKET}=*")
-        names = [s.getPath().getName() for s in files.globStatus(found) or []]
-        return [int(name.split("=", 1)[1]) for name in names]
-
     def _prune(self) -> None:
         done = self.committed()
-        kept = {place for v in done[-2:] for place in self._entry(v)["places"].items()}
+        kept = {place for v in done[-2:] for place in self._entry(v).places.items()}
         for old in done[:-2]:
-            gone = set(self._entry(old)["places"].items()) - kept
+            gone = set(self._entry(old).places.items()) - kept
             for bucket, version in gone:
-                self._data._delete(self._place(version, bucket))
+                files.delete(self.spark, self._place(version, bucket))
             for version in {v for _, v in gone} - {v for _, v in kept}:
-                self._data.drop(version)
-            self._index.drop(old)
+                files.delete(self.spark, f"{self._versions}/version-{version}")
+            files.delete(self.spark, f"{self._index}/{old}.json")
             self._seen.pop(old, None)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from monthwise.sinks import files
 from monthwise.sinks.batch_log import BatchLog
 from monthwise.sinks.bucket_store import BucketStore
 from monthwise.sinks.keyed_table import KeyedTable
@@ -82,11 +83,11 @@ def test_a_version_cut_short_is_repeated(spark, tmp_path, monkeypatch):
     store = BucketStore(spark, str(tmp_path / "t"), [], buckets=8)
     assert store.buckets == 1
     store.replace(spark.range(3), 0, [0])
-    write = BatchLog.write
-    monkeypatch.setattr(BatchLog, "write", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    write = files.write_text
+    monkeypatch.setattr(files, "write_text", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):
         store.replace(spark.range(50), 1, [0])
-    monkeypatch.setattr(BatchLog, "write", write)
+    monkeypatch.setattr(files, "write_text", write)
     again = BucketStore(spark, str(tmp_path / "t"), [])
     assert again.read().count() == 3
     again.replace(spark.range(4), 1, [0])
@@ -130,3 +131,14 @@ def test_a_fold_reads_only_the_buckets_it_touches(spark, tmp_path):
     table.compact()
     old = table.base.read(only=table.base.touched(spark.createDataFrame([(3,)], "k bigint")))
     assert 0 < old.count() < 100 and len(old.inputFiles()) == 1
+
+
+def test_small_files_appear_whole_and_stay(spark, tmp_path):
+    path = f"{tmp_path}/a/7.json"
+    files.write_text(spark, path, "größe")
+    files.write_text(spark, path, "other")
+    assert files.read_text(spark, path) == "größe"
+    assert files.names(spark, f"{tmp_path}/a/*.json") == ["7.json"]
+    assert [p.name for p in (tmp_path / "a").iterdir() if "7.json" in p.name and not p.name.endswith(".crc")] == ["7.json"]
+    files.delete(spark, path)
+    assert files.names(spark, f"{tmp_path}/a/*.json") == []
