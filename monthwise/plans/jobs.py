@@ -51,7 +51,7 @@ def job_root(spark: SparkSession, config: PipelineConfig, job: str) -> str:
 
 def keep_rejected(refused: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
     """Write a stream of dead letters to ``rejected`` below ``root``."""
-    log = BatchLog(refused.sparkSession, f"{root}/rejected")
+    log = BatchLog(refused.sparkSession, f"{root}/rejected", merge_every=16)
     return run_batches(refused, log.write, f"{root}/rejected-checkpoint", every)
 
 

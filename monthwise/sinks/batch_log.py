@@ -51,8 +51,6 @@ class BatchLog:
 
     def _runs(self) -> list[tuple[int, int, int]]:
         """``first, last, level`` of all complete runs, also of those that others hide."""
-        if not self.merge_every:
-            return []
         names = [name.split("-") for name in self._marked("merged-*")]
         return sorted((int(first), int(last), int(level)) for _, level, first, last in names)
 

@@ -72,7 +72,7 @@ def first_lines(spark: SparkSession, paths: Sequence[str], small: bool) -> DataF
 
     Tasks find them, and nothing is opened on the driver. Small files are packed into tasks, in which a line whose
     file is another than that of the line before is a first one. Every split of a longer file is a task of its own,
-    where it is the line at the start; the rest of the split is only cut into lines, a quarter of the work of reading it
+    where it is the line at the start; the rest of the split is only cut into lines, a third of the work of reading it
     as CSV.
     """
     session = spark
