@@ -1,19 +1,22 @@
 """Lines that many documents share, found with levelled sorted runs of line hashes.
 
-A run is a written table of line hashes with the number of documents that held them, sorted by
-hash. Every batch of documents merge-anti-joins the keys already known to be common and adds a run
-of its own; as soon as a level has ``fanout`` runs, they are merged into one run of the next level.
+A run is a written table of line hashes with the number of documents that held them, in buckets sorted
+by hash. Every batch of documents merge-anti-joins the keys already known to be common and adds a run
+of its own; as soon as a level has ``fanout`` runs, they are merge-joined into one run of the next level.
 So a batch costs its own size plus a logarithmic share of the merging, however much came before.
 Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.llm.common import WHITE, ascii_lower, whole
-from monthwise.session import fresh_dir, materialise
+from monthwise.session import fresh_dir
 
 HASH = ["_h1", "_h2"]
 
@@ -36,49 +39,91 @@ def _hashes(lines: Column) -> Column:
 
 
 class LineRuns:
-    """The runs, level by level. ``add`` takes a batch, ``common`` returns the frequent keys."""
+    """The runs, level by level. ``add`` takes a batch, ``common`` returns the frequent keys.
+
+    A run is written in ``buckets`` files by hash (default: the session's shuffle partitions), each sorted, so a
+    batch meets the runs, and runs meet one another, without being exchanged or sorted again. For that they are
+    planned in a sister session, whose partitions are the buckets, that trusts the order within a bucket's file.
+    The tables of the runs are dropped from the catalogue at once; their files stay in the shared folder.
+    """
 
-    def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 2):
+    def __init__(
+        self, spark: SparkSession, min_docs: int, fanout: int = 2, buckets: int | None = None
+    ):
         if min_docs < 1 or fanout < 2:
             raise ValueError("min_docs of at least 1 and fanout of at least 2")
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
-        self.levels: list[list[str]] = [[]]
-
-    def _read(self, paths: list[str]) -> DataFrame:
-        schema = "_h1 bigint, _h2 bigint, _docs bigint"
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def _write(self, counts: DataFrame) -> str:
-        path = fresh_dir(self.spark, "line-run")
-        counts.sortWithinPartitions(*HASH).write.parquet(path)
-        return path
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.session = spark.newSession()
+        for key, value in {
+            "spark.sql.shuffle.partitions": str(self.buckets),
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            # Else the anti-join goes below the sum, and every copy of a line is exchanged.
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+            "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+        }.items():
+            self.session.conf.set(key, value)
+        self.levels: list[list[DataFrame]] = [[]]
+
+    def _here(self, rows: DataFrame) -> DataFrame:
+        """``rows`` in the session of the runs."""
+        name = f"line_keys_{uuid.uuid4().hex}"
+        rows.createGlobalTempView(name)
+        try:
+            return self.session.table(f"{self.session.conf.get('spark.sql.globalTempDatabase')}.{name}")
+        finally:
+            rows.sparkSession.catalog.dropGlobalTempView(name)
+
+    def _write(self, counts: DataFrame) -> DataFrame:
+        """A run. Its rows come in order; the writer sorts them once more, as its order has the bucket before it."""
+        name = f"line_run_{uuid.uuid4().hex}"
+        writer = counts.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).format("parquet")
+        writer.option("path", fresh_dir(self.spark, "line-run")).saveAsTable(name)
+        run = self.session.table(name)
+        self.session.sql(f"DROP TABLE {name}")
+        return run
+
+    def _runs(self) -> list[DataFrame]:
+        return [run for level in self.levels for run in level]
+
+    def fresh(self, keys: DataFrame) -> DataFrame:
+        """The counts of a batch's keys without those that a run knows to be common."""
+        counts = self._here(keys).groupBy(*HASH).agg(F.count("*").alias("_docs"))
+        for run in self._runs():
+            settled = run.where(F.col("_docs") >= self.min_docs).select(*HASH)
+            counts = counts.join(settled.hint("merge"), HASH, "left_anti")
+        return counts
 
     def add(self, keys: DataFrame) -> None:
         """``keys``: one row for each document and distinct key, as ``_h1``, ``_h2``."""
-        counts = keys.groupBy(*HASH).agg(F.count("*").alias("_docs"))
-        paths = [p for level in self.levels for p in level]
-        if paths:
-            settled = self._read(paths).where(F.col("_docs") >= self.min_docs).select(*HASH)
-            counts = counts.join(settled, HASH, "left_anti")
-        self.levels[0].append(self._write(counts))
+        self.levels[0].append(self._write(self.fresh(keys)))
         level = 0
         while len(self.levels[level]) >= self.fanout:
-            merged = self._write(self._summed(self.levels[level]))
+            merged = self._write(self.merged(self.levels[level]))
             if level + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[level] = []
             self.levels[level + 1].append(merged)
             level += 1
 
-    def _summed(self, paths: list[str]) -> DataFrame:
-        return self._read(paths).groupBy(*HASH).agg(F.sum("_docs").alias("_docs"))
+    def merged(self, runs: list[DataFrame]) -> DataFrame:
+        """The sums of several runs, by merge joins; two need no exchange, from the third on Spark adds one."""
+        def two(one: DataFrame, other: DataFrame) -> DataFrame:
+            docs = F.coalesce(one["_docs"], F.lit(0)) + F.coalesce(other["_docs"], F.lit(0))
+            return one.join(other.hint("merge"), HASH, "full_outer").select(*HASH, docs.alias("_docs"))
+
+        return reduce(two, runs)
 
     def common(self) -> DataFrame:
-        """Keys found in at least ``min_docs`` documents."""
-        paths = [p for level in self.levels for p in level]
-        if not paths:
+        """Keys found in at least ``min_docs`` documents, as a written table."""
+        if not self._runs():
             return self.spark.createDataFrame([], "_h1 bigint, _h2 bigint")
-        return self._summed(paths).where(F.col("_docs") >= self.min_docs).select(*HASH)
+        # Not a union and a sum: over bucketed Parquet Spark 4.1 then adds up buckets that don't belong together.
+        found = self.merged(self._runs()).where(F.col("_docs") >= self.min_docs).select(*HASH)
+        path = fresh_dir(self.spark, "line-common")
+        found.write.parquet(path)
+        return self.spark.read.schema("_h1 bigint, _h2 bigint").parquet(path)
 
 
 def without_common_lines(
@@ -88,6 +133,7 @@ def without_common_lines(
     min_docs: int = 10,
     batches: int = 4,
     fanout: int = 2,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``row`` (all columns of ``docs`` as they are), ``kept`` (the text without common lines),
     ``n_lines`` and ``n_dropped``.
@@ -110,11 +156,13 @@ def without_common_lines(
     keys = rows.select(
         F.pmod(F.xxhash64(body), F.lit(batches)).alias("batch"), F.explode(distinct).alias("h")
     ).select("batch", "h.*")
-    keys = materialise(keys, "line-keys")
-    runs = LineRuns(spark, min_docs, fanout)
+    path = fresh_dir(spark, "line-keys")
+    keys.write.partitionBy("batch").parquet(path)
+    keys = spark.read.schema("_h1 bigint, _h2 bigint, batch bigint").parquet(path)
+    runs = LineRuns(spark, min_docs, fanout, buckets)
     for batch in range(batches):
         runs.add(keys.where(F.col("batch") == batch).select(*HASH))
-    common = materialise(runs.common(), "line-common")
+    common = runs.common()
 
     places = (
         rows.select(*mark, F.posexplode(_hashes(lines)).alias("pos", "h"))

@@ -84,6 +84,37 @@ def test_runs_merge_by_level(spark):
     assert bag(runs.common(), "_h1", "_h2") == {(1, 1): 1, (2, 2): 1}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_runs_are_merge_joined_as_they_lie(spark):
+    """Only the batch's own counts are exchanged and sorted; runs are read in order, bucket by bucket."""
+    keys = spark.range(4000).select((F.col("id") % 300).alias("_h1"), (F.col("id") % 300 * 7).alias("_h2"))
+    runs = line_dedup.LineRuns(spark, min_docs=10, fanout=3, buckets=5)
+    runs.add(keys)
+    runs.add(keys.where("_h1 < 400"))
+    anti = plan_of(runs.fresh(keys))
+    assert anti.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in anti
+    assert anti.count("Exchange") == 1 and anti.count("Sort [") == 1
+    assert anti.index("SortMergeJoin") < anti.index("HashAggregate") < anti.index("Exchange")
+    merging = plan_of(runs.merged(runs.levels[0]))
+    assert "SortMergeJoin" in merging and "Exchange" not in merging and "Sort [" not in merging
+    assert runs.fresh(keys).count() == 0
+    assert bag(runs.common(), "_h1") == {(i,): 1 for i in range(300)}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_")]
+
+
+def test_more_runs_a_level_and_other_bucket_counts_give_the_same(spark):
+    want = {(i,): 1 for i in range(50)}
+    for fanout, buckets in ((2, 1), (3, 4), (4, 7)):
+        runs = line_dedup.LineRuns(spark, min_docs=9, fanout=fanout, buckets=buckets)
+        for batch in range(9):
+            rows = spark.range(100).where(F.col("id") < 50 + batch)
+            runs.add(rows.select(F.col("id").alias("_h1"), F.lit(7).cast("long").alias("_h2")))
+        assert bag(runs.common(), "_h1") == want
+
+
 # packing
 
 def brute_pieces(size):
