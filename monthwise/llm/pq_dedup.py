@@ -1,7 +1,8 @@
 """Near-duplicate vectors with inverted lists and product-quantised residuals.
 
-Fitting: coarse centroids and, on the residuals, one small codebook for each subspace, from a bounded
-sample. Indexing: every vector gets its list, its codes and the length of what the codes miss.
+Fitting: coarse centroids of the first and of the second half of the coordinates, of which every pair is a
+list, and, on the residuals, one small codebook for each subspace, from a bounded sample. So the lists, as
+the square of the centroids, go on growing with the table where the sample does not. Indexing: every vector gets its list, its codes and the length of what the codes miss.
 Searching: every vector visits its own list and those after it that can hold a neighbour, compares its
 distance tables with the codes there, and reranks by exact cosine what the codes, less their known error,
 can't rule out. Of two lists only one side visits, as either sees the border between them.
@@ -26,11 +27,27 @@ BLOCK = 1024
 
 @dataclass
 class Index:
-    """What the fit found, in float64. ``books``: subspace, code, coordinate."""
+    """What the fit found, in float64. ``halves``: centroids of either half; ``books``: subspace, code, coordinate."""
 
-    centroids: np.ndarray
+    halves: tuple[np.ndarray, np.ndarray]
     books: np.ndarray
 
+    def centres(self, lists: np.ndarray) -> np.ndarray:
+        first, second = self.halves
+        return np.concatenate([first[lists // len(second)], second[lists % len(second)]], axis=1)
+
+    def borders(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The list of each vector, and by half how far it is from the border to each other centroid's cell."""
+        home, far = np.zeros(len(x), np.int64), []
+        for part, centres in zip(_split(x), self.halves):
+            square = _distances(part, centres)
+            at = square.argmin(1)
+            apart = np.sqrt(_distances(centres, centres))
+            apart[apart == 0] = np.inf  # itself, and centroids that coincide with it
+            far.append((square - square[np.arange(len(x)), at][:, None]) / (2 * apart[at]))
+            home = home * len(centres) + at
+        return home, far
+
     def residual_codes(self, rest: np.ndarray) -> np.ndarray:
         parts = self.books.shape[0]
         pieces = rest.reshape(len(rest), parts, -1)
@@ -67,16 +84,29 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     return centres
 
 
+def _split(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return x[:, : x.shape[1] // 2], x[:, x.shape[1] // 2 :]
+
+
 def fit(sample: np.ndarray, lists: int, rounds: int = 8, seed: int = 7) -> Index:
-    """Fit on unit vectors. Subspaces of four coordinates where the dimension allows, else of one."""
+    """Fit on unit vectors, at least ``lists`` lists if the sample has eight vectors for each centroid of a half.
+    Subspaces of four coordinates where the dimension allows, else of one."""
     dim = sample.shape[1]
     parts = dim // 4 if dim % 4 == 0 else dim
-    centroids = _kmeans(sample, lists, rounds, seed)
-    at, _ = _nearest(sample, centroids)
-    rest = (sample - centroids[at]).reshape(len(sample), parts, -1)
+    each = max(1, min(len(sample) // 8, int(np.ceil(lists**0.5))))
+    if dim == 1:
+        each = 1  # there is nothing in the first half
+    halves = tuple(_kmeans(half, each, rounds, seed + k) for k, half in enumerate(_split(sample)))
+    index = Index(halves, np.zeros((parts, 1, dim // parts)))
+    rest = (sample - index.centres(index.borders(sample)[0])).reshape(len(sample), parts, -1)
     codes = min(256, len(sample))
-    books = np.stack([_kmeans(rest[:, k], codes, rounds, seed + k) for k in range(parts)])
-    return Index(centroids, books)
+    index.books = np.stack([_kmeans(rest[:, k], codes, rounds, seed + k) for k in range(parts)])
+    return index
+
+
+def lists_for(rows: int, members: int) -> int:
+    """How many lists: as many as each has members, but those at least ``members``."""
+    return max(1, min(rows // members, int(rows**0.5)))
 
 
 def usable(vector: Column, label: Column) -> Column:
@@ -114,39 +144,37 @@ def _unit(vectors) -> np.ndarray:
 
 
 def _links_of(
-    classes: DataFrame, rows: int, dim: int, threshold: float, sigmas: float
+    classes: DataFrame, rows: int, dim: int, threshold: float, sigmas: float, least: int
 ) -> DataFrame:
-    """``_node``, ``_links``, ``_low``: parts of the link counts and of a spanning forest."""
+    """``_node``, ``_links``, ``_low``: parts of the link counts and of a spanning forest. ``rows``: of the
+    largest label, as lists are those of a label; ``least``: members of a list."""
     sample = _unit(
         classes.orderBy(F.xxhash64("_h1", "_node")).limit(SAMPLE).toPandas()["_vector"]
     )
-    lists = max(1, min(len(sample) // 8, 1024, int(rows**0.5)))
-    index = fit(sample, lists)
+    index = fit(sample, lists_for(rows, least))
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9
-    # Of a difference of this length only so much points from one centroid to another, if differences lie as the
-    # vectors do: along few directions, all of it may.
+    # Of a difference of this length only so much points from centroids to others, if differences lie as the
+    # vectors do: along few directions, all of it may. What points so in the halves adds up by squares.
     aside = min(reach, sigmas * reach / np.sqrt(effective_rank(sample)))
-    apart = np.sqrt(_distances(index.centroids, index.centroids))
-    np.fill_diagonal(apart, np.inf)
+
+    def visited(home: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The lists from ``home`` on that hold what is within ``aside``, by the borders of either half."""
+        i, j = np.flatnonzero(first <= aside), np.flatnonzero(second <= aside)
+        near = first[i, None] ** 2 + second[j] ** 2 <= aside**2
+        lists = (i[:, None] * len(second) + j)[near]
+        return lists[lists >= home].astype(np.int32)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in (b[at : at + BLOCK] for b in batches for at in range(0, len(b), BLOCK)):
             x = _unit(batch["_vector"])
-            square = _distances(x, index.centroids)
-            home = square.argmin(1)
-            rest = x - index.centroids[home]
+            home, (first, second) = index.borders(x)
+            rest = x - index.centres(home)
             codes = index.residual_codes(rest)
             miss = np.linalg.norm(rest - index.decoded(codes), axis=1)
-            own = square[np.arange(len(x)), home]
-            border = (square - own[:, None]) / (2 * apart[home])
             yield pd.DataFrame({
                 "_node": batch["_node"], "_label": batch["_label"], "_size": batch["_size"],
                 "_home": home.astype(np.int32),
-                "_visits": [
-                    h + np.flatnonzero(b[h:] <= aside).astype(np.int32) for h, b in zip(home, border)
-                ],
+                "_visits": [visited(*row) for row in zip(home, first, second)],
                 "_codes": [c.tobytes() for c in codes], "_miss": miss,
                 "_x": [_packed(np.asarray(v, np.float64)) for v in batch["_vector"]],
             })
@@ -192,7 +220,7 @@ def _links_of(
         empty = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("_node", "_links", "_low")})
         if not len(own) or not len(others):
             return empty
-        centre = index.centroids[int(group[1])]
+        centre = index.centres(np.array([int(group[1])]))[0]
         codes = np.frombuffer(b"".join(own["_codes"]), np.uint8).reshape(len(own), -1)
         y, x = _unpacked(own["_x"], dim), _unpacked(others["_x"], dim)
         limit = reach + own["_miss"].to_numpy()
@@ -251,6 +279,7 @@ def vector_components(
     label: str = "label",
     threshold: float = 0.93,
     sigmas: float = 4.0,
+    members: int = 256,
 ) -> DataFrame:
     """``<ident>``, ``_n_links``, ``_component`` of each row.
 
@@ -259,7 +288,9 @@ def vector_components(
     nothing; their component is their own id. Equal vectors form one class that is compared once and
     counted with its size. Null ids count as vectors but never name a component of others.
 
-    The index is fitted on at most ``SAMPLE`` classes (by hash) and holds all of them. ``sigmas``
+    The index is fitted on at most ``SAMPLE`` classes (by hash) and holds all of them. Lists grow with the root of
+    the largest label, up to 1,024 centroids a half: a million lists. They have about ``members`` members or more, as a
+    visit first computes 256 distances to the codes of each subspace, which shorter lists don't repay. ``sigmas``
     says how far beyond the border of its list a vector looks, in standard deviations of a difference
     of the threshold's length along one of the directions that the sample spreads over
     (:func:`effective_rank`); the square root of their number looks everywhere a neighbour can be, which
@@ -284,9 +315,10 @@ def vector_components(
         classes.withColumn("_node", F.monotonically_increasing_id()), "vector-classes"
     )
     parts = None
-    for found in classes.groupBy("_dim").agg(F.count("*").alias("n")).orderBy("_dim").collect():
+    sizes = classes.groupBy("_dim", "_label").agg(F.count("*").alias("n"))
+    for found in sizes.groupBy("_dim").agg(F.max("n").alias("n")).orderBy("_dim").collect():
         of = classes.where(F.col("_dim") == found["_dim"])
-        part = _links_of(of, int(found["n"]), int(found["_dim"]), threshold, sigmas)
+        part = _links_of(of, int(found["n"]), int(found["_dim"]), threshold, sigmas, members)
         parts = part if parts is None else parts.unionAll(part)
     own = rows.select("_id", "_usable", *key)
     if parts is None:

@@ -417,7 +417,7 @@ def test_vector_links_equal_brute_force(spark):
              (2003, [None, *[1.0] * 7], 1), (2004, hot, None), (2005, [float("inf")] * 8, 1),
              (2006, [1.0, 2.0], 1), (2007, [2.0, 4.0], 1), (2008, [], 1), (None, hot, 2)]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
-    got = pq_dedup.vector_components(frame.withColumn("_node", F.lit(1)), sigmas=9.0)
+    got = pq_dedup.vector_components(frame.withColumn("_node", F.lit(1)), sigmas=9.0, members=4)
 
     def fine(v, label):
         return label is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)
@@ -458,7 +458,7 @@ def test_links_at_the_default_setting(spark, rank, dim):
     np.fill_diagonal(linked, False)
     rows = [(k, [float(v) for v in r], 1) for k, r in enumerate(x)]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").repartition(4)
-    got = {r["vec_id"]: r["_n_links"] for r in pq_dedup.vector_components(frame).collect()}
+    got = {r["vec_id"]: r["_n_links"] for r in pq_dedup.vector_components(frame, members=16).collect()}
     found = np.array([got[k] for k in range(len(x))])
     assert (found <= linked.sum(1)).all() and linked.sum() > 100
     assert found.sum() >= 0.99 * linked.sum()
@@ -473,6 +473,31 @@ def test_vectors_are_shipped_exactly():
     assert len(pq_dedup._packed(np.ones(8))) == 32 and len(pq_dedup._packed(np.full(8, 0.1))) == 64
 
 
+@pytest.mark.parametrize("dim", [1, 2, 5, 8])
+def test_lists_of_halves_hold_every_neighbour(dim):
+    """Where a neighbour lies, its list passes the borders of both halves together, coinciding centroids included."""
+    rng = np.random.default_rng(dim)
+    x = pq_dedup._unit(np.round(rng.normal(size=(600, dim)), 0 if dim > 2 else 2) + 1e-3)
+    index = pq_dedup.fit(x, 30)
+    near = pq_dedup._unit(x + rng.normal(size=x.shape) * 0.1)
+    reach = np.linalg.norm(x - near, axis=1)
+    home, (first, second) = index.borders(x)
+    other, _ = index.borders(near)
+    width = len(index.halves[1])
+    rows = np.arange(len(x))
+    border = first[rows, other // width] ** 2 + second[rows, other % width] ** 2
+    assert (border <= reach**2 + 1e-9).all()
+    assert (home < len(index.halves[0]) * width).all()
+    assert dim == 1 or len(set(home)) > 4 and (home != other).any()
+
+
+def test_lists_grow_with_the_table_beyond_the_sample():
+    assert [pq_dedup.lists_for(n, 256) for n in (0, 100, 5120, 10**6, 10**10)] == [1, 1, 20, 1000, 10**5]
+    x = pq_dedup._unit(np.random.default_rng(3).normal(size=(2000, 8)))
+    index = pq_dedup.fit(x, 10**4)
+    assert len(index.halves[0]) * len(index.halves[1]) == 10**4  # five times the sample
+
+
 # quality rules
 
 def test_statistics_equal_brute_force(docs, nothing):
