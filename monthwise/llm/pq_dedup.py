@@ -23,6 +23,7 @@ from monthwise.session import materialise
 
 SAMPLE = 8192
 BLOCK = 1024
+SALTS = 16
 
 
 @dataclass
@@ -200,16 +201,21 @@ def _links_of(
         "_label", "_list"
     ).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_turns"))
     grid = sizes.join(crowds, ["_label", "_list"])
+    # Until a row knows into how many blocks its list is dealt, a salt keeps the rows of a large list apart.
+    grid = grid.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(F.lit(1), "_node"), F.lit(SALTS)).cast("int")
     key = ["_label", "_list", "_block", "_turn"]
     members = (
         placed.withColumn("_list", F.col("_home"))
-        .join(grid, ["_label", "_list"])
+        .withColumn("_salt", salt)
+        .join(grid, ["_label", "_list", "_salt"])
         .withColumn("_block", F.pmod(deal, F.col("_blocks")).cast("int"))
         .withColumn("_turn", F.explode(F.sequence(F.lit(0), F.col("_turns") - 1)))
         .select(*key, "_node", "_size", "_codes", "_miss", "_x")
     )
     visitors = (
-        visits.join(grid, ["_label", "_list"])
+        visits.withColumn("_salt", salt)
+        .join(grid, ["_label", "_list", "_salt"])
         .withColumn("_turn", F.pmod(deal, F.col("_turns")).cast("int"))
         .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .select(*key, "_node", "_size", "_x", (F.col("_home") == F.col("_list")).alias("_inside"))
